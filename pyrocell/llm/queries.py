@@ -7,21 +7,34 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pyrocell.llm import bpe_codec, token_counts
+from pyrocell.llm import bpe_codec, quality, secret_scan, token_counts, url_filter
 from pyrocell.llm.common import read
 
 
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = url_filter.SITE_RULES + [url_filter.Rule("block", word=w) for w in url_filter.BLOCKED_WORDS]
+    return url_filter.judge(read(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limit=2048)
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digests(secret_scan.scan(read(spark, sf_dir, "documents")))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(bpe_codec.encode(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), decoded=True))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_counts, op9_bpe_codec)}
+    return {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_secret_scan, op6_quality, op9_bpe_codec)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_url_filter": url_filter.ORACLE}
