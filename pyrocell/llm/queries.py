@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pyrocell.llm import bpe_codec, packing, quality, secret_scan, token_counts, url_filter
+from pyrocell.llm import bpe_codec, fingerprints, packing, quality, secret_scan, token_counts, url_filter
 from pyrocell.llm.common import read
 
 
@@ -32,12 +32,16 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_probe(read(spark, sf_dir, "documents"))
+
+
 def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(bpe_codec.encode(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), decoded=True))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_secret_scan, op4_packing, op6_quality, op9_bpe_codec)}
+    return {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_secret_scan, op4_packing, op6_quality, op8_fingerprints, op9_bpe_codec)}
 
 
 def oracle_sql() -> dict[str, str]:
