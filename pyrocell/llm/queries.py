@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pyrocell.llm import bpe_codec, fingerprints, packing, quality, secret_scan, token_counts, url_filter
+from pyrocell.llm import bpe_codec, fingerprints, neighbours, packing, quality, secret_scan, token_counts, url_filter
 from pyrocell.llm.common import read
 
 
@@ -28,6 +28,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048, end_id=1)
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(read(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -41,7 +45,7 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_secret_scan, op4_packing, op6_quality, op8_fingerprints, op9_bpe_codec)}
+    return {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_secret_scan, op4_packing, op5_neighbours, op6_quality, op8_fingerprints, op9_bpe_codec)}
 
 
 def oracle_sql() -> dict[str, str]:
