@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pyrocell.llm import bpe_codec, fingerprints, neighbours, packing, quality, secret_scan, token_counts, url_filter
+from pyrocell.llm import bpe_codec, fingerprints, jaccard_join, neighbours, packing, quality, secret_scan, token_counts, url_filter
 from pyrocell.llm.common import read
 
 
@@ -44,8 +44,12 @@ def op9_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_codec.digests(bpe_codec.encode(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), decoded=True))
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(read(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_secret_scan, op4_packing, op5_neighbours, op6_quality, op8_fingerprints, op9_bpe_codec)}
+    return {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_secret_scan, op4_packing, op5_neighbours, op6_quality, op8_fingerprints, op9_bpe_codec, op10_ngram_jaccard)}
 
 
 def oracle_sql() -> dict[str, str]:
