@@ -2,12 +2,58 @@
 
 from __future__ import annotations
 
-STAGES: list = []
+import uuid
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pyrocell.llm import jaccard_join, packing, quality, secret_scan
+from pyrocell.llm.common import read, shared_path
+
+SHINGLE_WORDS, SIMILAR_PERCENT, CAPACITY, END_ID = 5, 80, 2048, 1
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rule ensemble scores at its threshold or above; it learns from the labels of those given."""
+    stats, names = quality.with_statistics(docs, ["doc_id"])
+    score = quality.learn(stats, names, read(spark, sf_dir, "labels")).score()
+    scored = docs.select("*", *[c.cast("double").alias(f"stat_{n}") for n, c in quality.statistics(F.col("text")).items()])
+    inner = scored.select(F.struct(*docs.columns).alias("doc"), *[F.col(f"stat_{n}").alias(n) for n in names])
+    return inner.where(score >= quality.THRESHOLD).select("doc.*")
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group linked by five-word shingles at 80 percent; no other change.
+
+    Rows that repeat an id and its text count once; rows without an id stay.
+    """
+    groups = jaccard_join.join(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
+    others = groups.where("component_id <> doc_id").select("doc_id").distinct()
+    named = docs.where("doc_id IS NOT NULL").join(others, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    return named.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret found in the text replaced by a mark; ``n_chars`` follows."""
+    return secret_scan.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's tokens packed into sequences."""
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), CAPACITY, END_ID)
+
+
+STAGES = [("quality classifier", keep_quality), ("n-gram jaccard join", keep_one_of_near_copies), ("secret scans", mask_secrets), ("packing", pack_sequences)]
+
+#: Learning, tokenising and packing can't be said in SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, with what each returns written to the shared folder and read again."""
+    docs, folder = read(spark, sf_dir, "documents"), f"{shared_path(spark)}/pipeline-{uuid.uuid4().hex}"
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -18,12 +18,13 @@ def shared_folder(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
 
 
+def shared_path(spark: SparkSession) -> str:
+    """The shared folder's path."""
+    shared_folder(spark)
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def kept(df: DataFrame) -> DataFrame:
     """The rows written to the shared checkpoint folder and read back: computed once, safe when executors go."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def two_columns(df: DataFrame, first: str, second: str) -> DataFrame:
-    """Only the columns an operator reads, so that others can't clash with what it makes."""
-    return df.select(df[first], df[second])

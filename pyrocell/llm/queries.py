@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pyrocell.llm import bpe_codec, fingerprints, jaccard_join, neighbours, packing, quality, secret_scan, token_counts, url_filter
+from pyrocell.llm import bpe_codec, chat, fingerprints, jaccard_join, neighbours, packing, quality, secret_scan, token_counts, url_filter
 from pyrocell.llm.common import read
 
 
@@ -36,6 +36,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(*chat.exchanges(read(spark, sf_dir, "conversations")), chat.REPLY)
+
+
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_probe(read(spark, sf_dir, "documents"))
 
@@ -49,8 +53,8 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_secret_scan, op4_packing, op5_neighbours, op6_quality, op8_fingerprints, op9_bpe_codec, op10_ngram_jaccard)}
+    return {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_secret_scan, op4_packing, op5_neighbours, op6_quality, op7_chat, op8_fingerprints, op9_bpe_codec, op10_ngram_jaccard)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": url_filter.ORACLE}
+    return {"op1_url_filter": url_filter.ORACLE, "op7_chat": chat.ORACLE}
