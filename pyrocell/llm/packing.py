@@ -23,7 +23,8 @@ from pyrocell.llm import pieces as P
 from pyrocell.llm.common import kept
 
 BINS = 512
-ROWS_BY_SALT = 20_000
+#: Rows of a bin that share a window, about.
+ROWS_BY_SALT = 1000
 
 
 @functools.lru_cache(maxsize=2)
@@ -70,7 +71,7 @@ def cut(df: DataFrame, path: str, capacity: int = 2048, end_id: int = 1, id_col:
 def pack(pieces: DataFrame, capacity: int = 2048, order: tuple[str, ...] = ("doc_id", "start")) -> DataFrame:
     """The rows with ``sequence_id`` (0, 1, ...) and ``offset``, gapless from 0; lengths must be 1..capacity.
 
-    ``pieces`` should be written already (it is read twice). Which of several pieces of one bin goes where follows
+    ``pieces`` should be written already (it is read more than once). Which of several pieces of one bin goes where follows
     ``order``; equal rows may stand for each other. An empty table gives an empty result.
     """
     spark = pieces.sparkSession
@@ -79,13 +80,12 @@ def pack(pieces: DataFrame, capacity: int = 2048, order: tuple[str, ...] = ("doc
     binned = pieces.withColumn("__bin", F.ceil(F.col("length") / unit).cast("int"))
     if capacity % unit:  # the last bin then holds what is longer than room * unit
         binned = binned.withColumn("__bin", F.least(F.col("__bin"), F.lit(room)))
-    total = pieces.count()
-    n_salts = max(1, -(-total // ROWS_BY_SALT))
-    salted = binned.withColumn("__salt", F.pmod(F.xxhash64(*order), F.lit(n_salts)).cast("int"))
-    counts = kept(salted.groupBy("__bin", "__salt").agg(F.count("*").alias("n")))
     demand = np.zeros(room + 1, np.int64)
-    for r in counts.groupBy("__bin").agg(F.sum("n").alias("n")).collect():
+    for r in binned.groupBy("__bin").agg(F.count("*").alias("n")).collect():
         demand[r["__bin"]] = r["n"]
+    salts = F.element_at(F.lit([max(1, -(-int(n) // ROWS_BY_SALT)) for n in demand]), F.col("__bin") + 1)
+    salted = binned.withColumn("__salt", F.pmod(F.xxhash64(*order), salts).cast("int"))
+    counts = salted.groupBy("__bin", "__salt").agg(F.count("*").alias("n"))
     ranges, used, sequence = [], np.zeros(room + 1, np.int64), 0
     for pattern, times in cutting_stock.plan(demand, room):
         for size, n in pattern.items():
