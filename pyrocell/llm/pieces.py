@@ -11,6 +11,8 @@ import functools
 import unicodedata
 
 import numpy as np
+from tokenizers import Regex
+from tokenizers.pre_tokenizers import Split
 
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 #: White space as the tokenizer's regular expressions know it (fixed values).
@@ -24,6 +26,11 @@ def classes() -> np.ndarray:
     kind = {"L": LETTER, "N": NUMBER}
     out = np.fromiter((kind.get(unicodedata.category(chr(i))[0], OTHER) for i in range(0x110000)), np.uint8, 0x110000)
     out[SPACES] = SPACE
+    # Characters younger than Python's tables: as the tokenizer library's expressions class them.
+    young = "".join(chr(i) for i in range(0x40000) if unicodedata.category(chr(i)) == "Cn")
+    for name, value in kind.items():
+        for _, (a, b) in Split(Regex(rf"\p{{{name}}}+"), "removed", invert=True).pre_tokenize_str(young):
+            out[[ord(c) for c in young[a:b]]] = value
     return out
 
 
