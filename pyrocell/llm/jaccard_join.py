@@ -9,7 +9,7 @@
    needn't be compared, so a group of near copies costs as many pairs as it has members.
 4. A pair is compared by fragments: overlaps are counted in each on its own and summed.
 
-No candidate is dropped but by the bounds that hold for every linked pair (prefix, sizes).
+No candidate is dropped but by bounds that hold for every linked pair (prefix, sizes, positions).
 """
 
 from __future__ import annotations
@@ -180,11 +180,16 @@ def id_filter(ids: DataFrame) -> np.ndarray:
 
 
 def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """``pairs`` (a, b, size_a, size_b) with the overlap of their sets: counted by fragment, summed by pair."""
+    """``pairs`` (a, b, size_a, size_b) with the overlap of their sets: counted by fragment, summed by pair.
+
+    Both joins are on (class, fragment), so the segments are shuffled once; a class may come more than once.
+    """
+    parted = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))))
     left = segments.select(F.col("key").alias("a"), "fragment", F.col("grams").alias("grams_a"))
     right = segments.select(F.col("key").alias("b"), "fragment", F.col("grams").alias("grams_b"))
-    partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "size_a", "size_b", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("n"))
-    return partial.groupBy("a", "b", "size_a", "size_b").agg(F.sum("n").alias("overlap"))
+    partial = parted.join(left, ["a", "fragment"]).join(right, ["b", "fragment"]).select("a", "b", "size_a", "size_b", "fragment", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("n"))
+    once = partial.groupBy("a", "b", "size_a", "size_b", "fragment").agg(F.max("n").alias("n"))
+    return once.groupBy("a", "b", "size_a", "size_b").agg(F.sum("n").alias("overlap"))
 
 
 def linked(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -197,36 +202,47 @@ def linked(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
     order = spark.sparkContext.broadcast(Order(sketch(docs.select("text"), n)))
     rows = kept(classes_of(docs, order, n, percent))
     members = rows.select("id", "size", "key")
-    classes = rows.where("size > 0").groupBy("key", "check", "size").agg(F.min("id").alias("id"), F.first("cold").alias("cold"), F.first("hot").alias("hot"))
-    near = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * percent
+    classes = rows.where("size > 0").groupBy("key", "check", "size").agg(F.first("cold").alias("cold"), F.first("hot").alias("hot"))
+
+    def may_link(size_a, at_a, size_b, at_b):
+        """What holds at the first common n-gram of a linked pair: the overlap can't be more than what is left of
+        either set from there on, and must reach its share of both sizes."""
+        return F.least(size_a - at_a, size_b - at_b) * (100 + percent) >= (size_a + size_b) * percent
 
-    one = F.struct("key", "size", "id")
+    def ordered(key_a: str, size_a: str, key_b: str, size_b: str):
+        """A pair's columns, the lesser key first."""
+        lower = F.col(key_a) < F.col(key_b)
+        pick = lambda x, y: F.when(lower, F.col(x)).otherwise(F.col(y))
+        return [pick(key_a, key_b).alias("a"), pick(key_b, key_a).alias("b"), pick(size_a, size_b).alias("size_a"), pick(size_b, size_a).alias("size_b")]
+
+    # The hub of a bucket is the class with the fewest rarer n-grams before the shared one: what the others vary.
+    one = F.struct("at", "key", "size")
     window = Window.partitionBy("gram")
-    cold = classes.select("key", "size", "id", F.explode("cold").alias("gram")).withColumns({"hub": F.min(one).over(window), "top": F.max("key").over(window)}).where("hub.key <> top").drop("top")
-    hot = classes.select("key", "size", "id", F.explode("hot").alias("gram"))
-    hubs = hot.groupBy("gram").agg(F.min(one).alias("hub"), F.max("key").alias("top")).where("hub.key <> top").drop("top")
+    cold = classes.select("key", "size", F.posexplode("cold").alias("at", "gram")).withColumns({"hub": F.min(one).over(window), "low": F.min("key").over(window), "top": F.max("key").over(window)})
+    cold = cold.where("low <> top").drop("low", "top")
+    hot = classes.select("key", "size", F.size("cold").alias("before"), F.posexplode("hot").alias("at", "gram")).withColumn("at", F.col("at") + F.col("before")).drop("before")
+    hubs = hot.groupBy("gram").agg(F.min(one).alias("hub"), F.min("key").alias("low"), F.max("key").alias("top")).where("low <> top").drop("low", "top")
     buckets = kept(cold.unionByName(hot.join(hubs, "gram").select(*cold.columns)))
 
     def compare(pairs: DataFrame) -> DataFrame:
-        """Which pairs (a, b, with sizes and ids) are linked."""
-        pairs = kept(pairs)
-        wanted = spark.sparkContext.broadcast(id_filter(pairs.select(F.explode(F.array("id_a", "id_b")).alias("id"))))
-        segments = segments_of(docs, order, n, wanted).dropDuplicates(["key", "fragment"])
-        found = overlaps(pairs.drop("id_a", "id_b"), segments)
+        """Which pairs (a, b, with sizes) are linked."""
+        keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+        ids = members.join(keys, "key", "left_semi").groupBy("key").agg(F.min("id").alias("id"))
+        wanted = spark.sparkContext.broadcast(id_filter(ids))
+        found = overlaps(pairs, segments_of(docs, order, n, wanted))
         return kept(found.where(F.col("overlap") * 100 >= (F.col("size_a") + F.col("size_b") - F.col("overlap")) * percent).select("a", "b"))
 
-    sides = lambda x, y: [F.col(f"{x}.key").alias("a"), F.col(f"{y}.key").alias("b"), F.col(f"{x}.size").alias("size_a"), F.col(f"{y}.size").alias("size_b"), F.col(f"{x}.id").alias("id_a"), F.col(f"{y}.id").alias("id_b")]
-    star = buckets.withColumn("own", one).where((F.col("hub.key") != F.col("key")) & near(F.col("hub.size"), F.col("size"))).select(*sides("hub", "own")).dropDuplicates(["a", "b"])
-    star = kept(star)
+    star = buckets.where((F.col("hub.key") != F.col("key")) & may_link(F.col("hub.size"), F.col("hub.at"), F.col("size"), F.col("at")))
+    star = star.select(*ordered("hub.key", "hub.size", "key", "size"))
+    star = kept(star.dropDuplicates(["a", "b"]))
     links = compare(star)
-    of = components(links)
-    labelled = buckets.drop("hub").join(of, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    labelled = buckets.drop("hub").join(components(links), "key", "left").withColumn("component", F.coalesce("component", "key"))
     by = labelled.groupBy("gram", "component").agg(F.count("*").alias("n")).groupBy("gram").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts"))
     several = kept(labelled.join(by.where("parts > 1"), "gram").withColumn("aside", F.col("component") != F.col("most.component")).drop("most", "parts"))
     x, y = several.where("aside").alias("x"), several.alias("y")
-    across = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.component") != F.col("y.component")) & near(F.col("x.size"), F.col("y.size")))
-    across = across.select(F.when(F.col("x.key") < F.col("y.key"), F.struct("x.key", "x.size", "x.id")).otherwise(F.struct("y.key", "y.size", "y.id")).alias("lo"), F.when(F.col("x.key") < F.col("y.key"), F.struct("y.key", "y.size", "y.id")).otherwise(F.struct("x.key", "x.size", "x.id")).alias("hi"))
-    rest = across.select(*sides("lo", "hi")).dropDuplicates(["a", "b"]).join(star.select("a", "b"), ["a", "b"], "left_anti")
+    across = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.component") != F.col("y.component")) & may_link(F.col("x.size"), F.col("x.at"), F.col("y.size"), F.col("y.at")))
+    across = across.select(*ordered("x.key", "x.size", "y.key", "y.size"))
+    rest = kept(across.dropDuplicates(["a", "b"]).join(star.select("a", "b"), ["a", "b"], "left_anti"))
     return members, links.union(compare(rest))
 
 
