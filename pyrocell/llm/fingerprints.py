@@ -10,7 +10,6 @@ So paragraphs can be added or taken away without the others, and their order doe
 
 from __future__ import annotations
 
-import functools
 import hashlib
 from collections.abc import Iterable
 
@@ -28,15 +27,17 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-@functools.lru_cache(maxsize=2)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base modulo 2^64, and of its inverse."""
-    out = []
-    for factor in (_BASE, pow(_BASE, -1, 1 << 64)):
-        steps = np.full(size + 1, factor, np.uint64)
-        steps[0] = 1
-        out.append(np.cumprod(steps, dtype=np.uint64))
-    return out[0], out[1]
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _powers(size: int) -> list[np.ndarray]:
+    """Powers of the base modulo 2^64, and of its inverse, ``size`` at least; one table for each worker."""
+    if len(_POWERS[0]) < size:
+        for k, factor in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(size + size // 4, factor, np.uint64)
+            steps[0] = 1
+            _POWERS[k] = np.cumprod(steps, dtype=np.uint64)
+    return _POWERS
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -49,9 +50,12 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where the words of UTF-8 bytes begin and end, and a 64-bit hash of each."""
     edge = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[data], [True]])))
     start, stop = edge[0::2], edge[1::2]
-    up, down = _powers(1 << max(16, int(len(data)).bit_length()))
+    up, down = _powers(len(data) + 1)
     run = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=run[1:])
+    run[1:] = data
+    run[1:] += np.uint64(1)
+    run[1:] *= up[: len(data)]
+    np.cumsum(run[1:], out=run[1:])
     return start, stop, mixed((run[stop] - run[start]) * down[start])
 
 

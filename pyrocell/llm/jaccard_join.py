@@ -66,9 +66,10 @@ def sketch(df: DataFrame, n: int) -> np.ndarray:
         total = np.zeros(1 << SLOT_BITS, np.uint32)
         for batch in batches:
             texts = [t or "" for t in batch.column(0).to_pylist()]
-            for a, b in P.blocks(texts, 4 * P.BLOCK_CHARS):
+            for a, b in P.blocks(texts):
                 h, _ = grams(texts[a:b], n)
-                total += np.bincount((h >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(total)).astype(np.uint32)
+                slots, n_times = np.unique(h >> np.uint64(64 - SLOT_BITS), return_counts=True)
+                total[slots.astype(np.int64)] += n_times.astype(np.uint32)
         parts = [zlib.compress(p.tobytes(), 1) for p in np.split(total, SLICES)]
         yield pa.record_batch([pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], names=["slice", "counts"])
 
