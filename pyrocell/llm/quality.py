@@ -19,6 +19,7 @@ from pyrocell.llm.common import kept
 #: Labelled rows that a fit takes at most, on average: above it, rows are drawn by a hash of their id.
 FIT_ROWS = 200_000
 THRESHOLD = 0.7
+ROWS_BY_TASK = 10_000
 
 
 def statistics(text: Column) -> dict[str, Column]:
@@ -137,7 +138,8 @@ def learn(stats: DataFrame, names: list[str], labels: DataFrame, id_col: str = "
     n = known.count()
     if n > fit_rows:
         known = known.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < int(fit_rows / n * (1 << 20)))
-    return fit(stats.select(id_col, *names).dropDuplicates([id_col]).join(known, id_col), names, "__label")
+    rows = stats.select(id_col, *names).dropDuplicates([id_col]).join(known, id_col)
+    return fit(rows.repartition(1 + min(n, fit_rows) // ROWS_BY_TASK), names, "__label")  # every round of a fit is a job
 
 
 def score(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
