@@ -48,7 +48,7 @@ SQL = {
     "hotspots": "SELECT " + ", ".join(HOTSPOTS) + " FROM events WHERE event_type = 'error'",
     "biomes": "SELECT CAST(r_regionkey + 1 AS INT) AS code, r_name AS biome FROM region",
     "states": "SELECT CAST(n_nationkey + 1 AS INT) AS code, n_name AS state FROM nation",
-    "legend": "SELECT * FROM (VALUES (3, 'Forest Formation', 'Natural'), (4, 'Savanna Formation', 'Natural'), (11, 'Wetland', 'Natural'), (12, 'Grassland', 'Natural'), (15, 'Pasture', 'Anthropic'), (21, 'Mosaic of Uses', 'Anthropic'), (24, 'Urban Area', 'Anthropic'), (30, 'Mining', 'Anthropic'), (33, 'Water', 'Natural')) AS l(code, class_name, origin)",
+    "legend": "SELECT * FROM (VALUES (3, 'Forest Formation', 'Natural'), (4, 'Savanna Formation', 'Natural'), (11, 'Wetland', 'Natural'), (12, 'Grassland', 'Natural'), (15, 'Pasture', 'Converted'), (21, 'Mosaic of Uses', 'Converted'), (24, 'Urban Area', 'Converted'), (30, 'Mining', 'Converted'), (33, 'Water', 'Natural')) AS l(code, class_name, origin)",
     "rules": "SELECT CAST(biome AS INT) AS biome, CAST(region AS INT) AS region, CAST(year AS INT) AS year, CAST(class AS INT) AS class FROM (VALUES (1, NULL, NULL, 33), (1, NULL, NULL, 24), (2, 7, NULL, 21), (3, NULL, 1998, 3), (4, NULL, NULL, 30), (5, 10, 1999, 15)) AS r(biome, region, year, class)",
     "nbr": "SELECT *, CAST(trunc((1.0::DOUBLE - (nir_dn - swir2_dn)::DOUBLE / (nir_dn + swir2_dn)) * 1000.0::DOUBLE) AS INT) AS nbr FROM obs",
     "inv": "SELECT *, CAST(trunc(-((nir_dn - swir2_dn)::DOUBLE / (nir_dn + swir2_dn) + 1.0::DOUBLE) * 1000.0::DOUBLE) AS INT) AS nbr FROM obs",

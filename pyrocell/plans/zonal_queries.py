@@ -127,14 +127,11 @@ def m3_inference(v) -> DataFrame:
     return classify.infer(s, classify.weights_from_json(WEIGHTS)).where("prediction IS NOT NULL").select("order_no", "line_no", "prediction")
 
 
-@query("SELECT order_no % 10 < 7 AS training, count(*) AS n FROM obs GROUP BY 1 HAVING 1 = 0")
-def f4_no_rows_lost(v) -> DataFrame:
-    """Rows that the 70/30 split would lose or double: none."""
-    s = v.obs.select("order_no", "line_no", "pixel_id")
-    t = classify.in_training("order_no", "line_no", "pixel_id")
-    both = s.where(t).groupBy(F.lit(True).alias("training")).agg(F.count("*").alias("n")).union(s.where(~t).groupBy(F.lit(False)).agg(F.count("*")))
-    total = s.agg(F.count("*").alias("total"))
-    return both.join(F.broadcast(both.agg(F.sum("n").alias("sum"))).join(total)).where("sum <> total").select("training", "n")
+@query()
+def f4_training_split(v) -> DataFrame:
+    """How many observations are for training and for validation."""
+    s = v.obs.select("order_no", "line_no", "pixel_id").withColumn("training", classify.in_training("order_no", "line_no", "pixel_id"))
+    return s.groupBy("training").agg(F.count("*").alias("n"))
 
 
 @query()

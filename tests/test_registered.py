@@ -35,6 +35,12 @@ def test_trained_models_beat_chance(spark):
         assert r["accuracy"] > 0.5 and r["n"] > 100
 
 
+def test_split_takes_seven_tenths_of_the_same_rows(spark):
+    n = {r["training"]: r["n"] for r in QUERIES["f4_training_split"](spark, SF).collect()}
+    assert n == {r["training"]: r["n"] for r in QUERIES["f4_training_split"](spark, SF).repartition(7).collect()}
+    assert 0.67 < n[True] / (n[True] + n[False]) < 0.73
+
+
 def test_batch_sample_is_whole_and_distinct(spark):
     rows = QUERIES["f5_batch_sample"](spark, SF).collect()
     assert len(rows) == 1000 and len({(r["order_no"], r["line_no"], r["pixel_id"]) for r in rows}) >= 990
