@@ -41,12 +41,23 @@ def c3_cover_of_burned(v) -> DataFrame:
     return v.cover.where("year = 2000").select("pixel_id", "class").join(v.fire.select("pixel_id"), "pixel_id", "left_semi")
 
 
-PERIODS = "SELECT DISTINCT y0, y1 FROM (SELECT 1995 AS y0, CAST(y AS INT) AS y1 FROM range(1995, 2002) r(y) UNION ALL SELECT CAST(y AS INT), 2001 FROM range(1995, 2002) r(y) UNION ALL SELECT * FROM (VALUES (1990, 1995), (1995, 2000), (2000, 2005), (2005, 2010), (2010, 2015), (2015, 2020), (1995, 2005), (2005, 2015), (2000, 2015)) s(y0, y1))"
+BOUNDS = "(SELECT min(year) AS lo, max(year) AS hi FROM fire) b, range(0, 100) r(k)"
+PERIODS = f"""SELECT DISTINCT y0, y1 FROM (SELECT lo AS y0, CAST(lo + k AS INT) AS y1 FROM {BOUNDS} WHERE lo + k <= hi UNION ALL SELECT CAST(hi - k AS INT), hi FROM {BOUNDS} WHERE hi - k >= lo
+UNION ALL SELECT * FROM (VALUES (1990, 1995), (1995, 2000), (2000, 2005), (2005, 2010), (2010, 2015), (2015, 2020), (1995, 2005), (2005, 2015), (2000, 2015)) s(y0, y1))"""
 
 
 @query(PERIODS)
 def d8_b36_periods(v) -> DataFrame:
-    return series.periods(v.spark, FIRST, LAST_YEAR, series.SPECIAL_PERIODS)
+    """From the first burned year to each, from each to the last, and the special ones."""
+    first, last = v.fire.agg(F.min("year"), F.max("year")).first()
+    return series.periods(v.spark, first, last, series.SPECIAL_PERIODS)
+
+
+@query(f"SELECT p.y0, p.y1, count(*) AS pixels FROM fire f JOIN (SELECT * FROM ({PERIODS}) ORDER BY y0, y1 LIMIT 10) p ON f.year BETWEEN p.y0 AND p.y1 GROUP BY 1, 2")
+def f6_f7_first_periods(v) -> DataFrame:
+    """Burns of the first ten periods in order."""
+    few = d8_b36_periods(v).orderBy("y0", "y1").limit(10)
+    return v.fire.join(F.broadcast(few), F.col("year").between(F.col("y0"), F.col("y1"))).groupBy("y0", "y1").agg(F.count("*").alias("pixels"))
 
 
 @query(f"SELECT f.pixel_id, p.y0, p.y1, count(*) AS frequency FROM fire f JOIN ({PERIODS}) p ON f.year BETWEEN p.y0 AND p.y1 GROUP BY 1, 2, 3")
