@@ -32,6 +32,7 @@ SLOT_BITS, SLICES, FRAGMENTS = 21, 64, 8
 #: n-grams that the sketch counts this often or more go through joins that split, so no window is larger.
 HOT = 100_000
 FILTER_BITS = 23
+LARGE_CLASSES = 1000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -228,7 +229,7 @@ def linked(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
     def compare(pairs: DataFrame) -> DataFrame:
         """Which pairs (a, b, with sizes) are linked."""
         keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-        ids = members.join(keys, "key", "left_semi").groupBy("key").agg(F.min("id").alias("id"))
+        ids = members.groupBy("key").agg(F.min("id").alias("id")).join(keys, "key", "left_semi")
         wanted = spark.sparkContext.broadcast(id_filter(ids))
         found = overlaps(pairs, segments_of(docs, order, n, wanted))
         return kept(found.where(F.col("overlap") * 100 >= (F.col("size_a") + F.col("size_b") - F.col("overlap")) * percent).select("a", "b"))
@@ -257,8 +258,13 @@ def join(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", t
     """
     members, links = linked(df, n, percent, id_col, text_col)
     of = components(links)
-    classes = members.where("size > 0").groupBy("key").agg(F.min("id").alias("least")).join(of, "key", "left").withColumn("component", F.coalesce("component", "key"))
+    classes = members.where("size > 0").groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("copies")).join(of, "key", "left").withColumn("component", F.coalesce("component", "key"))
     least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    found = classes.join(least, "component").select("key", "component_id")
-    out = members.join(found, "key", "left")
-    return out.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    found = kept(classes.join(least, "component").select("key", "component_id", "copies"))
+    # Classes that hold a thousandth of all rows or more are at most a thousand: they are looked up, not shuffled.
+    many = F.broadcast(found.join(F.broadcast(members.agg((F.count("*") / LARGE_CLASSES).alias("most"))), F.col("copies") >= F.col("most")).select("key", F.col("component_id").alias("of_many")))
+    marked = members.where("size > 0").join(many.withColumn("large", F.lit(True)), "key", "left")
+    few = marked.where("large IS NULL").drop("large", "of_many").join(found.drop("copies"), "key", "left")
+    out = few.unionByName(marked.where("large").withColumnRenamed("of_many", "component_id").drop("large"))
+    out = out.unionByName(members.where("size = 0").withColumn("component_id", F.col("id")))
+    return out.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "component_id")

@@ -71,6 +71,15 @@ def test_join_on_documents(spark):
     assert got == brute_join([(r["doc_id"], r["text"]) for r in docs.collect()], 4, 85)
 
 
+def test_large_and_small_classes_get_the_same_answer(spark, monkeypatch):
+    rnd = random.Random(12)
+    rows = [(i, "one text that very many rows share with each other") for i in range(80)] + [(100 + i, " ".join(rnd.choice("abcdef") for _ in range(9))) for i in range(60)] + [(300 + i, "") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for large in (1, 5, 1000):
+        monkeypatch.setattr(jaccard_join, "LARGE_CLASSES", large)
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join(df, 4, 85).collect()} == brute_join(rows, 4, 85)
+
+
 def test_join_edges(spark):
     df = spark.createDataFrame([(1, "a b c d e"), (1, "a b c d e"), (None, "a b c d e"), (None, None)], "doc_id long, text string")
     assert sorted(map(tuple, jaccard_join.join(df, 4, 85).collect()), key=repr) == sorted([(1, 2, 1), (1, 2, 1), (None, 2, 1), (None, 0, None)], key=repr)
