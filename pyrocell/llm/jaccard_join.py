@@ -262,7 +262,7 @@ def join(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", t
     least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
     found = kept(classes.join(least, "component").select("key", "component_id", "copies"))
     # Classes that hold a thousandth of all rows or more are at most a thousand: they are looked up, not shuffled.
-    many = F.broadcast(found.join(F.broadcast(members.agg((F.count("*") / LARGE_CLASSES).alias("most"))), F.col("copies") >= F.col("most")).select("key", F.col("component_id").alias("of_many")))
+    many = F.broadcast(found.where(F.col("copies") * LARGE_CLASSES >= members.count()).select("key", F.col("component_id").alias("of_many")))
     marked = members.where("size > 0").join(many.withColumn("large", F.lit(True)), "key", "left")
     few = marked.where("large IS NULL").drop("large", "of_many").join(found.drop("copies"), "key", "left")
     out = few.unionByName(marked.where("large").withColumnRenamed("of_many", "component_id").drop("large"))
