@@ -29,7 +29,7 @@ from pyrocell.llm.components import components
 from pyrocell.llm.fingerprints import mixed, word_hashes
 
 SLOT_BITS, SLICES, FRAGMENTS = 21, 64, 8
-#: n-grams that the sketch counts this often or more go through joins that split, so no window is larger.
+#: n-grams of this count's rank or above go through joins that split, so no window is larger.
 HOT = 100_000
 FILTER_BITS = 23
 LARGE_CLASSES = 1000
@@ -95,12 +95,14 @@ class Order:
     """The global order of n-grams: by the class of their slot's count, then by hash; and its fragments."""
 
     def __init__(self, counts: np.ndarray, fragments: int = FRAGMENTS):
-        self.rank = np.floor(2 * np.log2(np.maximum(counts, 1))).astype(np.uint8)
+        rank = lambda n: np.floor(2 * np.log2(np.maximum(n, 1))).astype(np.uint8)
+        self.rank = rank(counts)
         by = np.argsort(self.rank, kind="stable")
         mass = np.cumsum(counts[by], dtype=np.float64)
         self.fragment = np.zeros(len(counts), np.uint8)
         self.fragment[by] = np.minimum(fragments * mass / max(1.0, mass[-1]), fragments - 1e-9).astype(np.uint8)
-        self.hot = counts >= HOT
+        # From a rank's edge, so that in every set the cold n-grams come before the hot ones.
+        self.hot = self.rank >= rank(HOT)
 
     def sets(self, texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct n-grams of each text in the global order: hashes, texts, slots."""

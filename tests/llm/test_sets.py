@@ -65,6 +65,29 @@ def test_hot_buckets_give_the_same_links(spark, monkeypatch):
     assert got == brute_join(rows, 4, 85)
 
 
+def test_hot_inside_a_rank_keeps_positions_right(spark, monkeypatch):
+    """Counts 4 and 5 are of one rank. The pair's only common prefix word has 5 (hot) and is the first of a's; the three
+    after it have 4 (cold)."""
+    monkeypatch.setattr(jaccard_join, "HOT", 5)
+    g, *cold = sorted(["river", "stone", "cloud", "field"], key=lambda w: jaccard_join.grams([w], 1)[0][0])
+    often = [f"often{k}" for k in range(12)]
+    a, b = [g, *cold, *often], [g, *cold, *often, "rare1", "rare2", "rare3", "rare4"]
+    texts = [" ".join(a), " ".join(b)] + [g] * 3 + cold * 2 + often * 6
+    rows = list(enumerate(texts))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string"), 1, 80).collect()}
+    assert got == brute_join(rows, 1, 80) and got[1] == (20, 0)
+
+
+@pytest.mark.parametrize("hot", [5, 11])
+def test_hot_inside_a_rank_by_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(jaccard_join, "HOT", hot)
+    rnd = random.Random(hot)
+    bases = [[f"w{rnd.randrange(60)}" for _ in range(18)] for _ in range(12)]
+    rows = [(i, " ".join(w for w in rnd.choice(bases) if rnd.random() < 0.9) + f" u{i}") for i in range(100)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string"), 1, 80).collect()}
+    assert got == brute_join(rows, 1, 80)
+
+
 def test_join_on_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join(docs, 4, 85).collect()}
