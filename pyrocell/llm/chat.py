@@ -10,6 +10,8 @@ break this are ordered by rounds over the links among them, and those in a circl
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,6 +60,11 @@ def problem(name: Column, arguments: Column, tools: dict[str, Tool]) -> Column:
     return out.otherwise("unknown tool")
 
 
+def firsts(results: DataFrame) -> DataFrame:
+    """(conv_id, call_id, first, n_results): the first result of each id, with its ``__row``, and how many there are."""
+    return results.where("call_id IS NOT NULL").groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "place", "content", "__row")).alias("first"), F.count("*").alias("n_results"))
+
+
 def links(calls: DataFrame, results: DataFrame) -> DataFrame:
     """Each call with ``copies`` (calls of its id), ``result_turn`` and ``content`` of the first result of its id.
 
@@ -65,9 +72,8 @@ def links(calls: DataFrame, results: DataFrame) -> DataFrame:
     of one id in one conversation stay row by row.
     """
     keys = ["conv_id", "call_id"]
-    first = results.where("call_id IS NOT NULL").groupBy(*keys).agg(F.min(F.struct("turn", "place", "content")).alias("first"), F.count("*").alias("n_results"))
     copies = calls.where("call_id IS NOT NULL").groupBy(*keys).agg(F.count("*").alias("copies"))
-    out = calls.join(first, keys, "left").join(copies, keys, "left")
+    out = calls.join(firsts(results), keys, "left").join(copies, keys, "left")
     return out.select(*calls.columns, F.coalesce("copies", F.lit(1)).alias("copies"), F.coalesce("n_results", F.lit(0)).alias("n_results"), F.col("first.turn").alias("result_turn"), F.col("first.content").alias("content"))
 
 
@@ -112,28 +118,33 @@ def positions(calls: DataFrame) -> DataFrame:
     before = ordered.groupBy(*group).agg(F.count("*").alias("n"))
     before = before.withColumn("__before", F.coalesce(F.sum("n").over(Window.partitionBy("conv_id").orderBy("__last", "level", "__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
     inside = F.row_number().over(Window.partitionBy(*group).orderBy("turn", "place", "call_id"))
-    out = ordered.withColumn("position", inside - 1).join(before, group)
+    # Null conversations and turns are groups too.
+    before = before.select(*[F.col(c).alias(f"{c}_b") for c in group], "__before")
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"{c}_b")) for c in group])
+    out = ordered.withColumn("position", inside - 1).join(before, same)
     return out.select(*calls.columns, "level", (F.col("position") + F.col("__before")).cast("long").alias("position"))
 
 
 def formatted(messages: DataFrame, calls: DataFrame, results: DataFrame, tools: dict[str, Tool]) -> DataFrame:
-    """One row for each plain message, call and unclaimed result: conv_id, turn, place, kind, position, status, json.
+    """One row for each plain message, call and result not in a call: conv_id, turn, place, kind, position, status, json.
 
     ``calls``: conv_id, turn, place, call_id, name, arguments (JSON text), after (ids); ``results``: conv_id, turn,
     place, call_id, content. ``status`` of a call: ``ok``, ``no result``, ``repeated id``, ``circle`` or what is wrong
-    with its arguments, the worst first; a result that no call claims is an ``orphan``. Positions count a
-    conversation's calls. Null ids never match; null texts and contents are JSON nulls left out; repeated rows stay
+    with its arguments, the worst first; a result that no call claims is an ``orphan``, one after the first of a
+    claimed id a ``repeated result``. Positions count a conversation's calls. Null ids never match; null texts and contents are JSON nulls left out; repeated rows stay
     row by row; empty tables give an empty result; other columns aren't read.
     """
-    calls, results = kept(calls), kept(results)
+    calls, results = kept(calls), kept(results.withColumn("__row", F.monotonically_increasing_id()))
     linked = positions(links(calls, results))
     bad = problem(F.col("name"), F.col("arguments"), tools)
     status = F.when(bad.isNotNull(), bad).when(F.col("level") < 0, "circle").when(F.col("copies") > 1, "repeated id").when(F.col("n_results") == 0, "no result").otherwise("ok")
     text = F.to_json(F.struct(F.try_parse_json("arguments").alias("arguments"), F.col("call_id").alias("id"), "name", F.col("content").alias("result"), F.lit("call").alias("role")))
     out = linked.select("conv_id", "turn", "place", F.lit("call").alias("kind"), "position", status.alias("status"), text.alias("json"))
     none = F.lit(None).cast("long")
-    orphans = results.join(calls.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_anti")
-    out = out.union(orphans.select("conv_id", "turn", "place", F.lit("result"), none, F.lit("orphan"), F.to_json(F.struct(F.col("content"), F.col("call_id").alias("id"), F.lit("result").alias("role")))))
+    claimed = calls.select("conv_id", "call_id").distinct().join(firsts(results), ["conv_id", "call_id"]).select("conv_id", "call_id", F.col("first.__row").alias("taken"))
+    others = results.join(claimed, ["conv_id", "call_id"], "left").where("taken IS NULL OR taken <> __row")
+    why = F.when(F.col("taken").isNull(), "orphan").otherwise("repeated result")
+    out = out.union(others.select("conv_id", "turn", "place", F.lit("result"), none, why, F.to_json(F.struct(F.col("content"), F.col("call_id").alias("id"), F.lit("result").alias("role")))))
     return out.union(messages.select("conv_id", "turn", F.lit(0), F.lit("message"), none, F.lit("ok"), F.to_json(F.struct(F.col("text").alias("content"), "role"))))
 
 
@@ -143,11 +154,11 @@ REPLY = {"reply": Tool({"prompt": "string", "turn": "integer"}, ("prompt", "turn
 
 def exchanges(messages: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Messages of other roles; users' turns as calls; assistants' turns as results of the turn before."""
-    name = lambda turn: F.concat_ws("-", F.col("conv_id").cast("string"), turn.cast("string"))
+    name = lambda turn: F.concat(F.col("conv_id").cast("string"), F.lit("-"), turn.cast("string"))
     turn = F.col("turn")
     calls = messages.where("role = 'user'").select("conv_id", "turn", F.lit(0).alias("place"), name(turn).alias("call_id"), F.lit("reply").alias("name"), F.to_json(F.struct(turn, F.col("text").alias("prompt"))).alias("arguments"), F.array(name(turn - 2)).alias("after"))
     results = messages.where("role = 'assistant'").select("conv_id", "turn", F.lit(0).alias("place"), name(turn - 1).alias("call_id"), F.col("text").alias("content"))
-    return messages.where("role NOT IN ('user', 'assistant')"), calls, results
+    return messages.where("coalesce(role, '') NOT IN ('user', 'assistant')"), calls, results
 
 
 ORACLE = """

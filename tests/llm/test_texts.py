@@ -232,6 +232,25 @@ def test_calls_are_linked_ordered_and_checked(spark):
     assert empty.count() == 0
 
 
+def test_nulls_and_repeated_rows_stay(spark):
+    said = [
+        (1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 1, "assistant", "a"), (1, 1, "assistant", "b"), (1, 2, None, "no role"), (1, 2, None, "no role"),
+        (2, None, "user", "no turn"), (2, None, "user", "no turn"), (2, None, "assistant", "no turn"), (2, 4, "user", "after"), (2, 4, "user", "after"),
+        (None, 0, "user", "no conversation"), (None, 1, "assistant", "no conversation"), (None, None, "user", None), (None, None, None, None),
+    ]
+    messages = spark.createDataFrame(said, "conv_id long, turn long, role string, text string")
+    rows = chat.formatted(*chat.exchanges(messages), chat.REPLY).collect()
+    of = lambda kind: sorted(((r["conv_id"], r["turn"], r["status"], json.loads(r["json"]).get("content")) for r in rows if r["kind"] == kind), key=repr)
+    assert len(rows) == len(said) - 1  # all but the one result that a call holds
+    assert of("message") == sorted([(1, 2, "ok", "no role")] * 2 + [(None, None, "ok", None)], key=repr)
+    assert of("result") == sorted([(1, 1, "repeated result", "a"), (1, 1, "repeated result", "b"), (2, None, "orphan", "no turn"), (None, 1, "orphan", "no conversation")], key=repr)
+    calls = [r for r in rows if r["kind"] == "call"]
+    positions = {c: sorted(r["position"] for r in calls if r["conv_id"] == c) for c in (1, 2, None)}
+    assert positions == {1: [0], 2: [0, 1, 2, 3], None: [0, 1]}
+    assert [json.loads(r["json"]).get("result") for r in calls if r["conv_id"] == 1] == ["a"]
+    assert sorted(r["status"] for r in calls if r["conv_id"] == 2) == ["missing turn"] * 2 + ["repeated id"] * 2
+
+
 def test_long_conversations_are_ranked_in_ranges(spark, monkeypatch):
     monkeypatch.setattr(chat, "TURNS_BY_RANGE", 4)
     messages = spark.createDataFrame([(1, k, "user" if k % 2 == 0 else "assistant", f"t{k}") for k in range(61)], "conv_id long, turn long, role string, text string")
