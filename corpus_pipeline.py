@@ -26,11 +26,14 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group linked by five-word shingles at 80 percent; no other change.
 
-    Rows that repeat an id and its text count once; rows without an id stay.
+    Rows are told apart by id and text: where texts of one group share its least id, that of the least hash stays, and
+    a text under an id whose other texts go is judged by itself. Rows that repeat an id and its text count once; rows
+    without an id stay.
     """
-    groups = jaccard_join.join(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
-    others = groups.where("component_id <> doc_id").select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(others, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"])
+    rows = docs.withColumn("__row", F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", F.xxhash64("text").alias("hash")))
+    groups = jaccard_join.join(rows, SHINGLE_WORDS, SIMILAR_PERCENT, id_col="__row")
+    others = groups.where("component_id <> __row").select("__row").distinct()
+    named = rows.where("doc_id IS NOT NULL").join(others, "__row", "left_anti").dropDuplicates(["doc_id", "text"])
     return named.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 

@@ -150,6 +150,20 @@ def test_neighbour_edges(spark):
     assert neighbours.search(df.limit(0)).count() == 0
 
 
+def test_one_row_of_each_component_stays_where_ids_repeat(spark):
+    import corpus_pipeline as p
+
+    base, near = " ".join(f"w{k}" for k in range(60)), " ".join(f"w{k}" for k in range(59))
+    more, like = " ".join(f"x{k}" for k in range(60)), " ".join(f"x{k}" for k in range(59))
+    rows = [(1, base), (5, near), (5, "a text like no other of them all"), (7, more), (7, like), (7, like), (8, "A b c d e f"), (8, "a b c d e f"), (9, ""), (9, None), (None, near), (None, near)]
+    df = spark.createDataFrame([(*r, "en") for r in rows], "doc_id long, text string, lang string")
+    out = p.keep_one_of_near_copies(spark, df, "")
+    got = [(r["doc_id"], r["text"]) for r in out.collect()]
+    assert out.columns == df.columns and set(got) <= set(rows)
+    assert [sum(i == k for i, _ in got) for k in (1, 5, 7, 8, 9, None)] == [1, 1, 1, 1, 2, 2]
+    assert (5, "a text like no other of them all") in got
+
+
 def test_pipeline_by_brute_force(spark, tmp_path):
     import corpus_pipeline as p
 
