@@ -1,26 +1,35 @@
 """Secrets in texts: three fixed patterns, and strings that a battery of randomness tests takes for keys.
 
-A candidate is a run of 20 or more characters of an encoding's alphabet. Two questions are asked of each.
-
-* Could written language have made it? Under a model of written text (letters by their frequency, rare changes
-  between lower case, upper case, digits and signs), the likelihood ratio against a uniform string has mean 1, so its
-  inverse is a valid p-value that falls with length. A weighted Benjamini-Hochberg step over the candidates of a text,
-  with weights in proportion to length, holds the rate of false discoveries.
-* Does it look like a uniform string of its inferred encoding (hexadecimal, base 32, base 36, base 62, base 64)?
-  Chi-squared over equal groups of the alphabet, the runs test about its middle and the first serial correlation must
-  not speak against it (least of the three p-values, corrected for three tests and the text's candidates).
+A candidate is a run of 20 or more characters of an encoding's alphabet. Three statistics of its letters' places in the
+alphabet of its inferred encoding (hexadecimal, base 32, base 36, base 62, base 64) are tested: chi-squared over equal
+groups of the alphabet, the number of runs of its two sorts of characters (lower case and the rest, or letters and
+digits), and the first serial correlation.
+
+* Each test asks how often written text of that length and alphabet would look as random as that or more. Written text
+  is a chain that keeps to a kind of character (lower case, upper case, digits, signs), with letters by their frequency;
+  the statistics' medians and lower tails under it are tabulated by simulation. The three p-values are combined by their
+  Cauchy mean, which holds for tests that depend on each other.
+* A Benjamini-Hochberg step over the candidates of a text, with weights in proportion to length, holds the rate of
+  false discoveries. What it keeps are the method's spans.
+* A discovery must also be likely as a uniform string: the same battery's p-values under uniformity, least of three and
+  corrected for three tests and the text's candidates, must reach a level. Alphabets in order and patterns fail here.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from collections.abc import Iterable
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyrocell.llm.pieces import text_blocks
+
 KINDS = ["assign", "access", "hex", "random"]
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ASSIGN_WORDS = ("passw", "secret", "token", "apikey", "api_key")
@@ -54,121 +63,216 @@ def encoding(s: str) -> tuple[str, str]:
     return ("base62" if set(body) <= set(ALPHABETS["base62"]) else "base64"), body
 
 
-def _two_sided(z: float) -> float:
-    return math.erfc(abs(z) / math.sqrt(2))
+def statistics(xs: np.ndarray, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row of places in the alphabet ``name``: chi-squared over equal groups of the alphabet (two or more
+    expected in each), the number of runs of its two sorts of characters, the serial correlation (1 for constant rows)."""
+    (rows, n), size = xs.shape, len(ALPHABETS[name])
+    groups = _groups(n, size)
+    share = np.bincount(np.arange(size) * groups // size, minlength=groups) / size
+    counts = np.bincount((np.arange(rows)[:, None] * groups + xs * groups // size).ravel(), minlength=rows * groups).reshape(rows, groups)
+    chi = ((counts - n * share) ** 2 / (n * share)).sum(axis=1)
+    sort = _sorts(name)[xs]
+    runs = 1 + (sort[:, 1:] != sort[:, :-1]).sum(axis=1)
+    d = xs - xs.mean(axis=1, keepdims=True)
+    var = (d * d).sum(axis=1)
+    serial = np.where(var > 0, (d[:, 1:] * d[:, :-1]).sum(axis=1) / np.where(var > 0, var, 1), 1.0)
+    return chi, runs, serial
+
+
+def _groups(n: int, size: int) -> int:
+    return max(2, min(size, n // 2))
+
 
+@functools.cache
+def _sorts(name: str) -> np.ndarray:
+    """An alphabet's two sorts: lower-case letters and the rest, or letters and digits where it has one case."""
+    letters = ALPHABETS[name]
+    return np.array([c.islower() if letters != letters.upper() and letters != letters.lower() else c.isalpha() for c in letters])
 
-def chi_squared_p(xs: list[int], size: int) -> float:
-    """Uniformity over equal groups of the alphabet with five or more expected in each; by Wilson and Hilferty."""
-    groups = max(2, min(size, len(xs) // 5))
-    counts = [0] * groups
-    for x in xs:
-        counts[x * groups // size] += 1
-    share = [sum(1 for k in range(size) if k * groups // size == g) / size for g in range(groups)]
-    stat = sum((c - len(xs) * p) ** 2 / (len(xs) * p) for c, p in zip(counts, share, strict=True))
-    d = groups - 1
-    z = ((stat / d) ** (1 / 3) - (1 - 2 / (9 * d))) / math.sqrt(2 / (9 * d))
-    return 0.5 * math.erfc(z / math.sqrt(2))
 
+def _below(z: float) -> float:
+    """The standard normal distribution."""
+    return 0.5 * math.erfc(-z / math.sqrt(2))
 
-def runs_p(xs: list[int], size: int) -> float:
-    """The runs test about the middle of the alphabet."""
-    high = [x * 2 >= size for x in xs]
-    a, n = sum(high), len(high)
-    b = n - a
-    if not a or not b:
-        return 2.0 ** (1 - n)
-    runs = 1 + sum(x != y for x, y in zip(high, high[1:], strict=False))
-    mean = 2 * a * b / n + 1
-    var = (mean - 1) * (mean - 2) / (n - 1)
-    return _two_sided((runs - mean) / math.sqrt(var)) if var > 0 else 1.0
 
+def uniform_p(chi: float, runs: float, serial: float, xs: np.ndarray, name: str) -> float:
+    """How likely a uniform string is to look as odd as this: the least of three p-values, corrected for three tests.
 
-def serial_p(xs: list[int]) -> float:
-    """The correlation of neighbours."""
+    Chi-squared by Wilson and Hilferty, runs given the counts of both sorts, serial correlation by its normal limit.
+    """
     n = len(xs)
-    mean = sum(xs) / n
-    var = sum((x - mean) ** 2 for x in xs)
-    if not var:
-        return 0.0
-    r = sum((x - mean) * (y - mean) for x, y in zip(xs, xs[1:], strict=False)) / var
-    return _two_sided((r + 1 / n) * math.sqrt(n))
+    d = _groups(n, len(ALPHABETS[name])) - 1
+    by_chi = 1 - _below(((chi / d) ** (1 / 3) - (1 - 2 / (9 * d))) / math.sqrt(2 / (9 * d)))
+    sort = _sorts(name)
+    a = int(sort[xs].sum())
+    if a in (0, n):
+        by_runs = float(sort.mean() if a else 1 - sort.mean()) ** n
+    else:
+        mean = 2 * a * (n - a) / n + 1
+        var = (mean - 1) * (mean - 2) / (n - 1)
+        by_runs = _below((runs - mean) / math.sqrt(var)) if var > 0 else 1.0  # many runs are no sign of writing
+    by_serial = 2 * _below(-abs(serial + 1 / n) * math.sqrt(n))
+    return min(1.0, 3 * min(by_chi, by_runs, by_serial))
+
+
+def _kind(c: str) -> int:
+    return 0 if c.islower() else 1 if c.isupper() else 2 if c.isdigit() else 3
+
+
+#: Lengths at which written text is simulated, and how often.
+LENGTHS, SAMPLES = (20, 26, 34, 44, 57, 74, 96, 125, 162, 211), 4000
+
+
+def written(name: str, n: int, rows: int, rng: np.random.Generator) -> np.ndarray:
+    """Rows of ``n`` places of written text that keeps within the alphabet ``name``."""
+    letters = ALPHABETS[name]
+    rate = np.array([LETTER_RATE[c.lower()] / 1000 if c.isalpha() else 0.1 if c.isdigit() else 0.25 for c in letters])
+    kind = np.array([_kind(c) for c in letters])
+    present = sorted(set(kind.tolist()))
+    # Signs stand alone and upper case begins words, so both are left sooner.
+    stay = {0: STAY, 1: STAY / 2, 2: STAY, 3: 0.1}
+    usual = {0: 0.8, 1: 0.1, 2: 0.07, 3: 0.03}
+    share = np.array([usual[k] for k in present]) / sum(usual[k] for k in present)
+    at = rng.choice(len(present), rows, p=share)
+    kinds = np.empty((rows, n), np.int64)
+    for j in range(n):
+        kinds[:, j] = at
+        move = rng.random(rows) >= np.array([stay[k] for k in present])[at]
+        at = np.where(move, rng.choice(len(present), rows, p=share), at)
+    out = np.empty((rows, n), np.int64)
+    for i, k in enumerate(present):
+        where = kinds == i
+        of = np.flatnonzero(kind == k)
+        out[where] = rng.choice(of, int(where.sum()), p=rate[of] / rate[of].sum())
+    return out
 
 
-def randomness_p(s: str) -> float:
-    name, form = encoding(s)
-    place = {c: k for k, c in enumerate(ALPHABETS[name])}
-    xs = [place[c] for c in form]
-    return min(1.0, 3 * min(chi_squared_p(xs, len(place)), runs_p(xs, len(place)), serial_p(xs)))
+@functools.cache
+def _written_table(name: str) -> tuple[np.ndarray, np.ndarray]:
+    """Medians and lower deviations, (lengths, 3), of the statistics' normal forms under written text; the deviation is
+    that of a normal distribution with the same median and lower half percent."""
+    rng = np.random.default_rng(5)
+    forms = [_forms(*statistics(written(name, n, SAMPLES, rng), name), n) for n in LENGTHS]
+    middle = np.array([[np.median(f) for f in fs] for fs in forms])
+    return middle, (middle - np.array([[np.quantile(f, 0.005) for f in fs] for fs in forms])) / 2.576
+
+
+def _forms(chi, runs, serial, n: int):
+    """Roots and shares that are nearly normal, each greater for written than for random strings."""
+    return np.sqrt(chi / n), -np.sqrt(runs / n), serial
+
+
+def written_p(chi: float, runs: float, serial: float, n: int, name: str) -> list[float]:
+    """How likely written text is to look as random as this, by each test."""
+    mean, sd = _written_table(name)
+    at = np.log(LENGTHS)
+    out = []
+    for k, x in enumerate(_forms(chi, runs, serial, n)):
+        m = float(np.interp(math.log(n), at, mean[:, k]))
+        d = float(np.interp(math.log(n), at, sd[:, k])) * math.sqrt(min(1.0, LENGTHS[-1] / n))
+        out.append(max(1e-300, _below((float(x) - m) / max(d, 1e-6))))
+    return out
+
+
+def cauchy(ps: list[float]) -> float:
+    """The Cauchy combination of p-values, valid whatever their dependence in the tail; cut at 0.99, so that one test
+    that sees nothing doesn't outweigh the others."""
+    t = sum(math.tan((0.5 - min(p, 0.99)) * math.pi) if p > 1e-15 else 1 / (p * math.pi) for p in ps) / len(ps)
+    return 1 / (t * math.pi) if t > 1e15 else 0.5 - math.atan(t) / math.pi
 
 
-def _kind(c: str) -> str:
-    return "l" if c.islower() else "u" if c.isupper() else "d" if c.isdigit() else "s"
+@dataclass(frozen=True)
+class Candidate:
+    """A string that may be a key, with its tests: ``tests`` are the three p-values under written text, ``p`` their
+    combination, ``fit`` the p-value under uniformity; ``key`` is the verdict."""
 
+    start: int
+    end: int
+    encoding: str
+    tests: tuple[float, float, float]
+    p: float
+    fit: float
+    key: bool
 
-def natural_p(s: str) -> float:
-    """Written text's likelihood over the uniform string's, at most 1."""
-    name, _ = encoding(s)
-    bits, before = 0.0, None
-    for c in s.rstrip("="):
-        kind = _kind(c)
-        rate = LETTER_RATE[c.lower()] / 1000 if c.isalpha() else 0.1 if kind == "d" else 0.25
-        move = 0.25 if before is None else STAY if kind == before else (1 - STAY) / 3
-        bits += math.log2(rate * move) + math.log2(len(ALPHABETS[name]))
-        before = kind
-    return 2.0 ** min(0.0, bits)
 
+def tested(s: str) -> tuple[str, tuple[float, float, float], float, float]:
+    """Encoding, p-values under written text, their combination, and the p-value under uniformity."""
+    name, form = encoding(s)
+    place = {c: k for k, c in enumerate(ALPHABETS[name])}
+    xs = np.array([place[c] for c in form])
+    chi, runs, serial = (float(x[0]) for x in statistics(xs[None], name))
+    tests = written_p(chi, runs, serial, len(xs), name)
+    return name, tuple(tests), cauchy(tests), uniform_p(chi, runs, serial, xs, name)
 
-def discoveries(candidates: list[str], rate: float = FALSE_RATE, level: float = RANDOM_LEVEL) -> list[bool]:
-    """Which candidates of one text are keys."""
+
+def discoveries(candidates: list[str], rate: float = FALSE_RATE, level: float = RANDOM_LEVEL) -> list[tuple[bool, tuple]]:
+    """Which candidates of one text are keys, and each one's tests."""
     if not candidates:
         return []
     m, total = len(candidates), sum(map(len, candidates))
-    weighted = sorted((natural_p(c) * total / (m * len(c)), i) for i, c in enumerate(candidates))
+    tests = [tested(c) for c in candidates]
+    weighted = sorted((t[2] * total / (m * len(c)), i) for i, (c, t) in enumerate(zip(candidates, tests, strict=True)))
     last = max((k for k, (p, _) in enumerate(weighted, 1) if p <= rate * k / m), default=0)
-    out = [False] * m
-    for _, i in weighted[:last]:
-        out[i] = randomness_p(candidates[i]) >= level / m
-    return out
+    found = {i for _, i in weighted[:last]}
+    return [(i in found and t[3] >= level / m, t) for i, t in enumerate(tests)]
 
 
-def find(text: str) -> list[tuple[str, int, int]]:
-    """All spans (kind, start, end) in code points, by start, then kind as listed; base kinds don't depend on others."""
+def candidates(text: str) -> list[Candidate]:
+    """All candidates of a text with their tests and verdicts."""
+    if b"\1" * 20 not in text.encode("utf-8", "surrogatepass").translate(IN_KEY):
+        return []
+    found = list(RANDOM.finditer(text))
+    return [Candidate(m.start(), m.end(), t[0], t[1], t[2], t[3], key) for m, (key, t) in zip(found, discoveries([m.group() for m in found]), strict=True)]
+
+
+def base(text: str) -> list[tuple[str, int, int]]:
+    """The spans of the fixed patterns."""
     spans = []
     low = text.lower()
     if any(w in low for w in ASSIGN_WORDS):
         spans += [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 8]
     if "AKIA" in text:
         spans += [("access", m.start(), m.end()) for m in ACCESS.finditer(text)]
-    data = text.encode("utf-8", "surrogatepass")
-    if b"\1" * 32 in data.translate(IN_HEX):
+    if b"\1" * 32 in text.encode("utf-8", "surrogatepass").translate(IN_HEX):
         spans += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
-    if b"\1" * 20 in data.translate(IN_KEY):
-        found = list(RANDOM.finditer(text))
-        for m, key in zip(found, discoveries([m.group() for m in found]), strict=True):
-            if key and not any(a < m.end() and m.start() < b for _, a, b in spans):
-                spans.append(("random", m.start(), m.end()))
+    return spans
+
+
+def find(text: str) -> list[tuple[str, int, int]]:
+    """All spans (kind, start, end) in code points, by start, then kind as listed; base kinds don't depend on others,
+    and what the battery finds is a span whether or not a pattern finds it too."""
+    return _sorted(base(text) + [("random", c.start, c.end) for c in candidates(text) if c.key])
+
+
+def _sorted(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     return sorted(spans, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
+CANDIDATES = "array<struct<start:int,end:int,encoding:string,chi_p:double,runs_p:double,serial_p:double,p:double,fit:double,key:boolean>>"
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """For each row its id and ``spans``, in order of start.
+    """For each row its id, ``spans`` in order of start, and ``candidates``: every string that was tested, with the
+    p-values of its tests (see ``Candidate``).
 
     A null or empty text has none; repeated rows and null ids are kept row by row; an empty table gives an empty
     result; other columns aren't read. Whole texts are scanned, in one pass without a shuffle.
     """
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+    tests = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("encoding", pa.string()), *((n, pa.float64()) for n in ("chi_p", "runs_p", "serial_p", "p", "fit")), ("key", pa.bool_())]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
-            found = [[{"kind": k, "start": a, "end": b} for k, a, b in find(t or "")] for t in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(found, kind)], names=["id", "spans"])
+            for first, stop, texts in text_blocks(batch.column(1)):
+                tried = [candidates(t) for t in texts]
+                found = [_sorted(base(t) + [("random", c.start, c.end) for c in cs if c.key]) for t, cs in zip(texts, tried, strict=True)]
+                spans = [[{"kind": k, "start": a, "end": b} for k, a, b in f] for f in found]
+                rows = [[{"start": c.start, "end": c.end, "encoding": c.encoding, "chi_p": c.tests[0], "runs_p": c.tests[1], "serial_p": c.tests[2], "p": c.p, "fit": c.fit, "key": c.key} for c in cs] for cs in tried]
+                yield pa.record_batch([batch.column(0).slice(first, stop - first), pa.array(spans, kind), pa.array(rows, tests)], names=["id", "spans", "candidates"])
 
     rows = df.select(df[id_col].alias("id"), df[text_col].alias("text"))
-    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, spans {SPANS}").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, spans {SPANS}, candidates {CANDIDATES}").withColumnRenamed("id", id_col)
 
 
 def redact(df: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -178,18 +282,25 @@ def redact(df: DataFrame, mark: str = "[SECRET]", id_col: str = "doc_id", text_c
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for t in batch.column(at).to_pylist():
-                for _, a, b in reversed(merged(find(t or ""))):
-                    t = t[:a] + mark + t[b:]
-                texts.append(t)
-            arrays = list(batch.columns)
-            arrays[at] = pa.array(texts, pa.string())
-            yield pa.record_batch(arrays, names=names)
+            for first, stop, texts in text_blocks(batch.column(at)):
+                part = batch.slice(first, stop - first)
+                arrays = list(part.columns)
+                empty = arrays[at].is_null().to_numpy(zero_copy_only=False)
+                arrays[at] = pa.array([None if n else masked(t, mark) for t, n in zip(texts, empty, strict=True)], pa.string())
+                yield pa.record_batch(arrays, names=names)
 
     return df.mapInArrow(run, df.schema)
 
 
+def masked(text: str, mark: str) -> str:
+    """The text with every found span replaced; overlapping ones by one mark."""
+    out, at = [], 0
+    for _, a, b in merged(find(text)):
+        out += [text[at:a], mark]
+        at = b
+    return "".join([*out, text[at:]])
+
+
 def merged(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Overlapping spans as one."""
     out: list[tuple[str, int, int]] = []
@@ -202,10 +313,13 @@ def merged(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
 
 
 def digests(scanned: DataFrame) -> DataFrame:
-    """Counts of the base kinds, the SHA-256 of their spans as text, and all spans as text."""
+    """Counts of the base kinds, the SHA-256 of their spans as text, and all spans as text; the method's own counts of
+    spans and of strings tested, and the tests as text (start:end:encoding:p:fit)."""
     text = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     n = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
     return scanned.select(
         "doc_id", n("assign").alias("n_assign"), n("access").alias("n_access"), n("hex").alias("n_hex"),
         F.sha2(text(F.filter("spans", lambda s: s["kind"] != "random")), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"),
+        n("random").alias("n_random"), F.size("candidates").cast("long").alias("n_tested"),
+        F.array_join(F.transform("candidates", lambda c: F.format_string("%d:%d:%s:%.3e:%.3e", c["start"], c["end"], c["encoding"], c["p"], c["fit"])), ",").alias("tests"),
     )

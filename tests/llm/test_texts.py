@@ -6,6 +6,7 @@ import random
 import re
 import string
 
+import numpy as np
 import pytest
 from conftest import SF
 from support import database, rows_of, rows_of_sql
@@ -83,7 +84,7 @@ def test_random_keys_are_found_and_writing_is_not():
 
 
 def brute_random(text):
-    """Maximal runs of key characters with up to two '=' after them, read one by one; outside the base spans."""
+    """Maximal runs of key characters with up to two '=' after them, read one by one."""
     inside, runs, k = set(string.ascii_letters + string.digits + "+/_-"), [], 0
     while k < len(text):
         end = k
@@ -92,9 +93,57 @@ def brute_random(text):
         if end - k >= 20:
             runs.append((k, end + len(re.match("={0,2}", text[end:]).group())))
         k = max(end, k + 1)
-    base = brute_base(text)
     keys = secret_scan.discoveries([text[a:b] for a, b in runs])
-    return [("random", a, b) for (a, b), key in zip(runs, keys, strict=True) if key and not any(x < b and a < y for _, x, y in base)]
+    return [("random", a, b) for (a, b), (key, _) in zip(runs, keys, strict=True) if key]
+
+
+def test_planted_keys_of_five_encodings(spark):
+    """Keys put between words of real documents: nearly all are found, and nothing else that wasn't found before."""
+    rnd = random.Random(9)
+    texts = [r["text"] for r in read(spark, SF, "documents").collect() if r["text"] and len(r["text"]) > 40]
+    for name, letters in secret_scan.ALPHABETS.items():
+        missed = extra = 0
+        for t in texts:
+            words = t.split(" ")
+            at = rnd.randrange(len(words))
+            key = "".join(rnd.choice(letters) for _ in range(48))
+            before = len(" ".join(words[:at])) + (at > 0)
+            planted = " ".join([*words[:at], key, *words[at:]])
+            got = {s[1:] for s in secret_scan.find(planted) if s[0] == "random"}
+            missed += (before, before + 48) not in got
+            extra += len(got) - ((before, before + 48) in got) - sum(s[0] == "random" for s in secret_scan.find(t))
+        assert missed <= 0.05 * len(texts) * (4 if name == "base32" else 1) and extra <= 0.01 * len(texts), (name, missed, extra, len(texts))
+
+
+def test_written_text_is_rarely_taken_for_a_key():
+    """The p-values hold what they say on strings made by the model of written text with another seed."""
+    rng = np.random.default_rng(123)
+    for name in secret_scan.ALPHABETS:
+        for n in (24, 60):
+            xs = secret_scan.written(name, n, 2000, rng)
+            ps = np.array([secret_scan.cauchy(secret_scan.written_p(*x, n, name)) for x in zip(*secret_scan.statistics(xs, name), strict=True)])
+            assert (ps <= 0.01).mean() <= 0.02 and (ps <= 0.001).mean() <= 0.004, (name, n)
+
+
+def test_patterns_are_no_uniform_strings():
+    for s in ("abcdefghijklmnopqrstuvwxyz0123456789", "0123456789abcdef0123456789abcdef", "a1" * 15, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "aB3" * 12):
+        assert not secret_scan.discoveries([s])[0][0], s
+
+
+def test_false_discoveries_are_weighed_by_length():
+    """A longer string needs a less small p-value than a shorter one of the same text."""
+    key, word = "q7ZxT2mKd9RwB4uYc1HsLfV8nJpE3aGgX6tQ0iWo", "antidisestablishmentarianism"
+    (found, tests), (other, _) = secret_scan.discoveries([key, word])
+    assert found and not other and tests[0] == "base62" and tests[2] < 1e-4
+    assert secret_scan.cauchy([1.0, 1e-8, 0.5]) < 1e-7 < secret_scan.cauchy([0.5, 0.5, 0.5])
+
+
+def test_candidates_are_listed_with_their_tests(spark):
+    df = spark.createDataFrame([(1, "see q7ZxT2mKd9RwB4uYc1HsLfV8nJpE3aGgX6tQ0iWo or antidisestablishmentarianism"), (2, None)], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in secret_scan.scan(df).collect()}
+    assert [(c["encoding"], c["key"]) for c in rows[1]["candidates"]] == [("base62", True), ("base36", False)] and rows[2]["candidates"] == []
+    out = {r["doc_id"]: r for r in secret_scan.digests(secret_scan.scan(df)).collect()}
+    assert (out[1]["n_random"], out[1]["n_tested"], out[1]["spans"]) == (1, 2, "random:4:44") and out[2]["tests"] == ""
 
 
 def test_keys_after_equals_signs_by_brute_force(spark):
