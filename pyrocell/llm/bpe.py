@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import functools
 import json
+from array import array
 
 import ahocorasick
 
@@ -22,26 +23,31 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+def read_spec(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
 class Vocabulary:
     """Tokens as strings of letters; with an end-of-word suffix, a word's last letter is a letter of its own."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        self.path, spec = path, read_spec(path)
         model = spec["model"]
         self.suffix = model.get("end_of_word_suffix") or ""
         self.byte_level = spec["normalizer"] is None
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.names = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.specials.items()}
         self.by_byte = byte_letters()
+        self.of_byte = dict(enumerate(self.by_byte))
         #: The last letters: private-use characters, one for each byte letter.
         self.last = {c: chr(0xF0000 + ord(c)) for c in self.by_byte}
         self.id = {self.letters(t): i for t, i in model["vocab"].items()}
-        self.text = {i: t for t, i in self.id.items()}
-        merges = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
-        self.rank = {(self.letters(a), self.letters(b)): k for k, (a, b) in enumerate(merges)}
         self.memo: dict[tuple[str, str], bool] = {}
-        self.longest = max(map(len, self.id))
+
+    @functools.cached_property
+    def rank(self) -> dict[tuple[str, str], int]:
+        merges = (m if isinstance(m, list) else m.split(" ") for m in read_spec(self.path)["model"]["merges"])
+        return {(self.letters(a), self.letters(b)): k for k, (a, b) in enumerate(merges)}
 
     def letters(self, token: str) -> str:
         if self.suffix and token.endswith(self.suffix) and token != self.suffix:
@@ -51,7 +57,7 @@ class Vocabulary:
 
     def word(self, piece: bytes) -> str:
         """The letters of one piece."""
-        s = "".join([self.by_byte[b] for b in piece])
+        s = piece.decode("latin-1").translate(self.of_byte)
         return s[:-1] + self.last[s[-1]] if self.suffix and s else s
 
     def merged(self, letters: str) -> list[str]:
@@ -108,47 +114,48 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 class BacktrackingEncoder:
-    """Longest token first; where it can't follow what stands before it, the next shorter one, else a step back.
+    """Longest token first; where it can't follow what stands before it, the longest token that begins it, else a step back.
 
-    An Aho-Corasick automaton over the tokens gives all matches of a word in one pass; positions from which no way
-    leads on are marked, so no position is tried twice with the same token and the time is linear in the word.
+    An Aho-Corasick automaton over the tokens gives the longest match at every start of a word in one pass; a table
+    gives every token's longest proper beginning that is a token. Positions from which no way leads on are marked, so
+    no position is tried twice with the same token and the time is linear in the word. A letter of a word costs ten
+    bytes or so besides the word itself.
     """
 
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
         self.trie = ahocorasick.Automaton()
-        for token in vocab.id:
-            self.trie.add_word(token, len(token))
+        self.token = {i: t for t, i in vocab.id.items()}
+        for token, i in vocab.id.items():
+            self.trie.add_word(token, (i, len(token)))
         self.trie.make_automaton()
+        beginnings = ((i, next((vocab.id[t[:k]] for k in range(len(t) - 1, 0, -1) if t[:k] in vocab.id), None)) for t, i in vocab.id.items())
+        self.shorter = {i: x for i, x in beginnings if x is not None}
 
-    def encode(self, piece: bytes) -> list[int]:
+    def encode(self, piece: bytes) -> array:
         letters = self.vocab.word(piece)
         if letters in self.vocab.id:
-            return [self.vocab.id[letters]]
+            return array("i", [self.vocab.id[letters]])
         n = len(letters)
-        ends: list[list[int]] = [[] for _ in range(n)]  # by start, ends ascending
-        for last, size in self.trie.iter(letters):
-            ends[last + 1 - size].append(last + 1)
-        fits, dead, starts, tokens = self.vocab.fits, bytearray(n + 1), [0], []
-        left = [e[:] for e in ends]  # what is still to be tried at each start
-        while (at := starts[-1]) < n:
-            options, previous = left[at], tokens[-1] if tokens else None
-            while options:
-                end = options.pop()
-                token = letters[at:end]
-                if not dead[end] and (previous is None or fits(previous, token)):
-                    tokens.append(token)
-                    starts.append(end)
-                    if end < n:
-                        left[end] = ends[end][:]
-                    break
-            else:
-                if not tokens:
-                    raise ValueError(f"no way to write {piece!r} in this vocabulary")
+        longest = array("i", [-1]) * n
+        for last, (i, size) in self.trie.iter(letters):
+            longest[last + 1 - size] = i  # ends ascend
+        token, fits, dead, ids, at = self.token, self.vocab.fits, bytearray(n + 1), array("i"), 0
+        now: int | None = longest[0] if longest[0] >= 0 else None
+        while at < n:
+            while now is not None and (dead[at + len(token[now])] or (ids and not fits(token[ids[-1]], token[now]))):
+                now = self.shorter.get(now)
+            if now is not None:
+                ids.append(now)
+                at += len(token[now])
+                now = longest[at] if at < n and longest[at] >= 0 else None
+            elif ids:
                 dead[at] = 1
-                tokens.pop()
-                starts.pop()
-        return [self.vocab.id[t] for t in tokens]
+                now = ids.pop()  # its end is dead now, so a shorter one follows
+                at -= len(token[now])
+            else:
+                raise ValueError(f"no way to write {piece!r} in this vocabulary")
+        return ids
 
 
 class PieceCodes:

@@ -8,16 +8,23 @@ regular expression runs over the corpus.
 from __future__ import annotations
 
 import functools
+import re
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
-from tokenizers import Regex
+import pyarrow as pa
+import pyarrow.compute as pc
+from tokenizers import Regex, normalizers
 from tokenizers.pre_tokenizers import Split
 
 LETTER, NUMBER, SPACE, OTHER = 1, 2, 3, 0
 #: White space as the tokenizer's regular expressions know it (fixed values).
 SPACES = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-BLOCK_CHARS = 1 << 20
+#: Characters, or bytes, of the texts that are worked on at once, about; a longer text is a block of its own.
+BLOCK_CHARS = 1 << 18
+#: Characters up to here are their own NFC and compose with none of each other.
+ABOVE = re.compile("[^\x00-\u02ff]")
 
 
 @functools.cache
@@ -34,16 +41,15 @@ def classes() -> np.ndarray:
     return out
 
 
-def lower_each(text: str) -> str:
-    """Lower case code point by code point; unlike str.lower(), a final sigma gets no form of its own."""
-    return text.lower() if "Σ" not in text else "σ".join(part.lower() for part in text.split("Σ"))
+@functools.cache
+def library_normal():
+    """NFC, then lower case code point by code point, by the tokenizer library's own tables."""
+    return normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()]).normalize_str
 
 
 def normal_word(text: str) -> str:
-    """NFC and lower case. White space needs no replacing: the pattern drops it."""
-    if text.isascii():
-        return text.lower()
-    return lower_each(unicodedata.normalize("NFC", text))
+    """NFC and lower case as the library has them. White space needs no replacing: the pattern drops it."""
+    return text.lower() if text.isascii() or not ABOVE.search(text) else library_normal()(text)
 
 
 def blocks(texts: list[str], most: int = BLOCK_CHARS):
@@ -58,6 +64,20 @@ def blocks(texts: list[str], most: int = BLOCK_CHARS):
         yield begin, len(texts)
 
 
+def text_blocks(column: pa.Array, most: int = BLOCK_CHARS) -> Iterator[tuple[int, int, list[str]]]:
+    """(begin, end, texts) of consecutive rows of at most ``most`` bytes or one row; nulls as empty texts.
+
+    Only one block's texts are Python strings at a time, so memory follows the longest text and not the batch.
+    """
+    total = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    begin = 0
+    while begin < len(column):
+        before = total[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(total, before + most, side="right")))
+        yield begin, end, [t or "" for t in column.slice(begin, end - begin).to_pylist()]
+        begin = end
+
+
 class Pieces:
     """Pieces of the texts of one block: byte ranges in ``data`` and the text that each belongs to."""
 
@@ -145,17 +165,18 @@ def _mask(bits: np.ndarray) -> np.ndarray:
 class PieceTable:
     """An exact hash table from pieces to entry numbers, looked up for whole arrays at once.
 
-    It is a cache of at most ``most`` entries that begins anew when full, so a worker's memory is bounded.
+    It is a cache of about ``most`` entries and ``most_bytes`` of long pieces that begins anew when full, so a worker's
+    memory is bounded.
     """
 
-    def __init__(self, add, most: int = 3 << 19):
+    def __init__(self, add, most: int = 1 << 19, most_bytes: int = 4 << 20):
         #: add(list of pieces as bytes, first entry number): make the entries.
-        self.add, self.most = add, most
+        self.add, self.most, self.most_bytes = add, most, most_bytes
         self.clear()
 
     def clear(self):
         self.bits = 16
-        self.count = 0
+        self.count = self.long_bytes = 0
         self.long: dict[bytes, int] = {}
         self._arrays()
 
@@ -196,7 +217,7 @@ class PieceTable:
 
     def find(self, pieces: Pieces) -> np.ndarray:
         """The entry number of each piece; makes the missing ones."""
-        if self.count > self.most:
+        if self.count > self.most or self.long_bytes > self.most_bytes:
             self.clear()
             self.add(None, 0)
         low, high, longer = pieces.keys()
@@ -211,6 +232,7 @@ class PieceTable:
                     self.add([piece], self.count)
                     known = self.long[piece] = self.count
                     self.count += 1
+                    self.long_bytes += len(piece)
                 out[i] = known
         missing = np.flatnonzero(out == -1)
         if len(missing):
@@ -226,7 +248,7 @@ class PieceTable:
                 old = self.entry >= 0
                 kept = self.low[old], self.high[old], self.entry[old]
                 while self.count * 2 > 1 << self.bits:
-                    self.bits += 2
+                    self.bits += 1
                 self._arrays()
                 self._put(*kept)
             self._put(new["low"].copy(), new["high"].copy(), entry)

@@ -33,6 +33,33 @@ def test_ids_are_the_librarys(path):
     assert [x.tolist() for x in got] == [ids(path, t) for t in texts]
 
 
+@pytest.mark.parametrize("form", ["{}", "a{}\u0301b \u0327{}"])
+def test_every_code_point_is_encoded_as_the_library_does(form):
+    """Alone, and between letters and combining marks; also those younger than Python's tables."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and not 0xF0010 <= c < 0xFFFF0 and c < 0x100010]
+    for path in (WORD, BYTE):
+        of = bpe.piece_codes(path) if path == WORD else packing.codes(path)
+        texts = [form.replace("{}", c) for c in (points if path == WORD else points[::7])]
+        for a in range(0, len(texts), 20_000):
+            want = LIBRARY[path].encode_batch(texts[a : a + 20_000], add_special_tokens=False)
+            assert [x.tolist() for x in of.ids_of(texts[a : a + 20_000])] == [w.ids for w in want]
+
+
+def test_long_words_are_encoded_in_arrays():
+    rnd = random.Random(3)
+    word = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(60_000))
+    assert bpe.piece_codes(WORD).ids_of([word])[0].tolist() == ids(WORD, word)
+
+
+def test_full_tables_of_pieces_begin_anew():
+    rnd = random.Random(6)
+    texts = [" ".join("".join(rnd.choice("abcdef") for _ in range(rnd.randint(1, 30))) for _ in range(40)) for _ in range(60)]
+    for most, most_bytes in ((50, 1 << 20), (1 << 20, 100)):
+        of = bpe.PieceCodes(bpe.vocabulary(WORD), bpe.BacktrackingEncoder(bpe.vocabulary(WORD)).encode)
+        of.table.most, of.table.most_bytes = most, most_bytes
+        assert [of.ids_of([t])[0].tolist() for t in texts] == [ids(WORD, t) for t in texts]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=60))
 def test_any_text_is_encoded_as_the_library_does(text):
