@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 
 
@@ -52,7 +54,8 @@ def relaxed(demand: np.ndarray, capacity: int, gap: float = 5e-4, most: int = 40
     """Patterns and fractional amounts that meet demand with the fewest sequences.
 
     Revised simplex with an explicit inverse. The greedy solution's patterns may enter first; then the knapsack prices
-    new ones by the duals. Farley's bound (the objective over the best value) ends it within ``gap`` of the optimum.
+    new ones by the duals. Farley's bound (the objective over the best value) ends it within ``gap`` of the optimum; a
+    warning says so if ``most`` rounds don't get there.
     """
     sizes = np.flatnonzero(demand)
     if not len(sizes):
@@ -93,19 +96,26 @@ def relaxed(demand: np.ndarray, capacity: int, gap: float = 5e-4, most: int = 40
         inverse -= np.outer(step, pivot)
         inverse[out] = pivot
         patterns[out] = enter
+    else:
+        warnings.warn(f"column generation stopped after {most} rounds, above its bound", stacklevel=2)
     return [(p, float(x)) for p, x in zip(patterns, amount, strict=True) if x > 0]
 
 
-def plan(demand: np.ndarray, capacity: int) -> list[tuple[dict[int, int], int]]:
-    """Whole patterns that use every piece exactly once: the relaxation rounded down, the rest packed greedily; or the
-    greedy packing, where that needs fewer sequences. ``demand[s]`` pieces have size s; sizes are 1..capacity."""
-    simple = greedy(demand, capacity)
+def plan(demand: np.ndarray, capacity: int, rounds: int = 3) -> list[tuple[dict[int, int], int]]:
+    """Whole patterns that use every piece exactly once; ``demand[s]`` pieces have size s; sizes are 1..capacity.
+
+    The relaxation is rounded down, and what is left is a smaller problem of the same kind, relaxed anew; after some
+    rounds, or when nothing is a whole pattern any more, the last few pieces go by decreasing size.
+    """
     left, out = demand.astype(np.int64).copy(), []
-    for pattern, amount in relaxed(demand, capacity):
-        times = min([int(amount + 1e-6), *(int(left[s]) // n for s, n in pattern.items())])
-        if times > 0:
-            out.append((pattern, times))
-            for s, n in pattern.items():
-                left[s] -= times * n
-    out += greedy(left, capacity)
-    return min(out, simple, key=lambda p: sum(n for _, n in p))
+    for _ in range(rounds):
+        before = int(left.sum())
+        for pattern, amount in relaxed(left, capacity):
+            times = min([int(amount + 1e-6), *(int(left[s]) // n for s, n in pattern.items())])
+            if times > 0:
+                out.append((pattern, times))
+                for s, n in pattern.items():
+                    left[s] -= times * n
+        if int(left.sum()) == before or not left.any():
+            break
+    return out + greedy(left, capacity)

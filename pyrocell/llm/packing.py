@@ -24,17 +24,18 @@ from pyrocell.llm.common import kept
 
 BINS = 512
 #: Rows of a bin that share a window, about.
-ROWS_BY_SALT = 1000
+ROWS_BY_SALT = 128
 
 
 @functools.lru_cache(maxsize=2)
 def codes(path: str) -> bpe.PieceCodes:
     """Ids of a byte-level vocabulary; single pieces are merged by the tokenizer library that takes ranks."""
-    vocab = bpe.vocabulary(path)
+    vocab = bpe.Vocabulary(path)
     if not vocab.byte_level:
         return bpe.piece_codes(path)
     to_byte = {c: b for b, c in enumerate(vocab.by_byte)}
     ranks = {bytes(to_byte[c] for c in t): i for t, i in vocab.id.items()}
+    vocab.id = {}  # the library holds them from here on
     merge = tiktoken.Encoding("pieces", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
     return bpe.PieceCodes(vocab, lambda piece: merge.encode_ordinary(piece.decode("utf-8", "surrogateescape")))
 
@@ -45,10 +46,9 @@ def cut(df: DataFrame, path: str, capacity: int = 2048, end_id: int = 1, id_col:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         of = codes(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in P.blocks(texts):
+            for a, _, texts in P.text_blocks(batch.column(1)):
                 rows, columns, ids = [], [[], [], [], []], []
-                for i, x in enumerate(of.ids_of(texts[a:b]), a):
+                for i, x in enumerate(of.ids_of(texts), a):
                     x = np.append(x, end_id).astype("<u4")
                     for s in range(0, len(x), capacity):
                         part = x[s : s + capacity]

