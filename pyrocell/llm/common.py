@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +14,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> None:
-    """Lineage is cut in the folder that the cluster names; one of our own is only set where there is none."""
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+    """Lineage is cut in the folder that the cluster names; one of our own is only made on a single machine."""
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() is not None:
+        return
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
 
 
 def shared_path(spark: SparkSession) -> str:

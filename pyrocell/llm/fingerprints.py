@@ -10,6 +10,7 @@ So paragraphs can be added or taken away without the others, and their order doe
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterable
 
@@ -27,17 +28,19 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Bytes that are hashed at once; the tables of powers are as long.
+SEGMENT = 1 << 18
 
 
-def _powers(size: int) -> list[np.ndarray]:
-    """Powers of the base modulo 2^64, and of its inverse, ``size`` at least; one table for each worker."""
-    if len(_POWERS[0]) < size:
-        for k, factor in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            steps = np.full(size + size // 4, factor, np.uint64)
-            steps[0] = 1
-            _POWERS[k] = np.cumprod(steps, dtype=np.uint64)
-    return _POWERS
+@functools.cache
+def _powers() -> list[np.ndarray]:
+    """Powers of the base modulo 2^64, and of its inverse; one table for each worker."""
+    out = []
+    for factor in (_BASE, pow(_BASE, -1, 1 << 64)):
+        steps = np.full(SEGMENT + 1, factor, np.uint64)
+        steps[0] = 1
+        out.append(np.cumprod(steps, dtype=np.uint64))
+    return out
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -47,16 +50,33 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where the words of UTF-8 bytes begin and end, and a 64-bit hash of each."""
+    """Where the words of UTF-8 bytes begin and end, and a 64-bit hash of each: a polynomial of its bytes, mixed.
+
+    Words are hashed a segment at a time; one longer than a segment is summed over its parts.
+    """
     edge = np.flatnonzero(np.diff(np.concatenate([[True], _SPACE[data], [True]])))
     start, stop = edge[0::2], edge[1::2]
-    up, down = _powers(len(data) + 1)
-    run = np.zeros(len(data) + 1, np.uint64)
-    run[1:] = data
-    run[1:] += np.uint64(1)
-    run[1:] *= up[: len(data)]
-    np.cumsum(run[1:], out=run[1:])
-    return start, stop, mixed((run[stop] - run[start]) * down[start])
+    up, down = _powers()
+    out, k = np.empty(len(start), np.uint64), 0
+    while k < len(start):
+        end = max(k + 1, int(np.searchsorted(stop, start[k] + SEGMENT, side="right")))
+        if stop[k] - start[k] > SEGMENT:
+            total, scale = 0, 1
+            for a in range(start[k], stop[k], SEGMENT):
+                part = data[a : min(a + SEGMENT, stop[k])].astype(np.uint64) + np.uint64(1)
+                total += int((part * up[: len(part)]).sum(dtype=np.uint64)) * scale
+                scale = scale * pow(_BASE, SEGMENT, 1 << 64) % (1 << 64)
+            out[k] = total % (1 << 64)
+        else:
+            first = start[k]
+            run = np.zeros(stop[end - 1] - first + 1, np.uint64)
+            run[1:] = data[first : stop[end - 1]]
+            run[1:] += np.uint64(1)
+            run[1:] *= up[: len(run) - 1]
+            np.cumsum(run[1:], out=run[1:])
+            out[k:end] = (run[stop[k:end] - first] - run[start[k:end] - first]) * down[start[k:end] - first]
+        k = end
+    return start, stop, mixed(out)
 
 
 def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -126,9 +146,8 @@ def fingerprint(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in P.blocks(texts):
-                yield pa.record_batch([batch.column(0).slice(a, b - a), pa.array(as_text(vectors(texts[a:b])), pa.string())], names=["id", "fingerprint"])
+            for a, b, texts in P.text_blocks(batch.column(1)):
+                yield pa.record_batch([batch.column(0).slice(a, b - a), pa.array(as_text(vectors(texts)), pa.string())], names=["id", "fingerprint"])
 
     rows = df.select(df[id_col].alias("id"), df[text_col].alias("text"))
     return rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, fingerprint string").withColumnRenamed("id", id_col)

@@ -66,9 +66,8 @@ def sketch(df: DataFrame, n: int) -> np.ndarray:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         total = np.zeros(1 << SLOT_BITS, np.uint32)
         for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
-            for a, b in P.blocks(texts):
-                h, _ = grams(texts[a:b], n)
+            for _, _, texts in P.text_blocks(batch.column(0)):
+                h, _ = grams(texts, n)
                 slots, n_times = np.unique(h >> np.uint64(64 - SLOT_BITS), return_counts=True)
                 total[slots.astype(np.int64)] += n_times.astype(np.uint32)
         parts = [zlib.compress(p.tobytes(), 1) for p in np.split(total, SLICES)]
@@ -125,9 +124,8 @@ def classes_of(df: DataFrame, order, n: int, percent: int) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         of = order.value
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for a, b in P.blocks(texts):
-                h, owner, slot = of.sets(texts[a:b], n)
+            for a, b, texts in P.text_blocks(batch.column(1)):
+                h, owner, slot = of.sets(texts, n)
                 size = np.bincount(owner, minlength=b - a)
                 begin = np.cumsum(size) - size
                 full = np.flatnonzero(size)
@@ -154,9 +152,8 @@ def segments_of(df: DataFrame, order, n: int, wanted) -> DataFrame:
         for batch in batches:
             at = batch.column(2).to_numpy()
             keep = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
-            texts = [t or "" for t in batch.column(1).take(pa.array(keep)).to_pylist()]
-            for a, b in P.blocks(texts):
-                h, owner, slot = of.sets(texts[a:b], n)
+            for a, b, texts in P.text_blocks(batch.column(1).take(pa.array(keep))):
+                h, owner, slot = of.sets(texts, n)
                 if not len(h):
                     continue
                 size = np.bincount(owner, minlength=b - a)
@@ -261,9 +258,13 @@ def join(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", t
     members, links = linked(df, n, percent, id_col, text_col)
     of = components(links)
     classes = members.where("size > 0").groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("copies")).join(of, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    least = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    found = kept(classes.join(least, "component").select("key", "component_id", "copies"))
-    # Classes that hold a thousandth of all rows or more are at most a thousand: they are looked up, not shuffled.
+    classes = kept(classes)
+    least = classes.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
+    # What holds a thousandth of all classes, or of all rows, or more is at most a thousand: looked up, not shuffled.
+    large = F.broadcast(least.where(F.col("n") * LARGE_CLASSES >= classes.count()).select("component", F.col("component_id").alias("of_large")))
+    placed = classes.join(large, "component", "left")
+    small = placed.where("of_large IS NULL").join(least.drop("n"), "component").select("key", "component_id", "copies")
+    found = kept(small.unionByName(placed.where("of_large IS NOT NULL").select("key", F.col("of_large").alias("component_id"), "copies")))
     many = F.broadcast(found.where(F.col("copies") * LARGE_CLASSES >= members.count()).select("key", F.col("component_id").alias("of_many")))
     marked = members.where("size > 0").join(many.withColumn("large", F.lit(True)), "key", "left")
     few = marked.where("large IS NULL").drop("large", "of_many").join(found.drop("copies"), "key", "left")
