@@ -125,20 +125,28 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2
 
 
-def with_statistics(df: DataFrame, keep: list[str], text_col: str = "text") -> tuple[DataFrame, list[str]]:
-    """The ``keep`` columns and the statistics of every whole text, written once: learning and scoring read them."""
-    stats = statistics(df[text_col])
-    return kept(df.select(*[df[c] for c in keep], *[c.cast("double").alias(n) for n, c in stats.items()])), list(stats)
+def scored(df: DataFrame, ensemble: RuleEnsemble, text_col: str = "text") -> DataFrame:
+    """(row, score): each row as one struct, so that no column's name can clash with a statistic's, and its score."""
+    row = df.select(F.struct("*").alias("row"))
+    stats = row.select("row", *[c.cast("double").alias(n) for n, c in statistics(F.col("row").getField(text_col)).items()])
+    return stats.select("row", ensemble.score().alias("score"))
 
 
-def learn(stats: DataFrame, names: list[str], labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", fit_rows: int = FIT_ROWS) -> RuleEnsemble:
-    """Fits on the labelled rows that aren't held out. An id with several labels counts with their rounded mean."""
+def learn(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", fit_rows: int = FIT_ROWS) -> RuleEnsemble:
+    """Fits on the labelled rows that aren't held out; statistics are made of these rows alone.
+
+    An id with several labels counts with their rounded mean, one with several texts with one of them. At most
+    ``fit_rows`` labels are taken on average, drawn by a hash of their id, so they are few enough to be broadcast.
+    """
     known = labels.where(labels[id_col].isNotNull() & labels[label_col].isNotNull()).groupBy(id_col).agg(F.round(F.avg(label_col)).cast("int").alias("__label"))
     known = known.where(~held_out(id_col))
     n = known.count()
     if n > fit_rows:
         known = known.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 20)) < int(fit_rows / n * (1 << 20)))
-    rows = stats.select(id_col, *names).dropDuplicates([id_col]).join(known, id_col)
+    stats = statistics(F.col("__text"))
+    labelled = df.select(df[id_col].alias("__id"), df[text_col].alias("__text")).join(F.broadcast(known.withColumnRenamed(id_col, "__id")), "__id")
+    rows, names = labelled.select("__id", "__label", *[c.cast("double").alias(x) for x, c in stats.items()]), list(stats)
+    rows = kept(rows.groupBy("__id").agg(F.min(F.struct("__label", *names)).alias("row")).select("row.*"))
     return fit(rows.repartition(1 + min(n, fit_rows) // ROWS_BY_TASK), names, "__label")  # every round of a fit is a job
 
 
@@ -149,7 +157,7 @@ def score(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     their (finite) statistics; repeated rows and null ids are kept row by row, a null id being no held-out row; an
     empty table gives an empty result.
     """
-    stats, names = with_statistics(df, [id_col], text_col)
-    ensemble = learn(stats, names, labels, id_col)
-    out = stats.select(id_col, F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"), ensemble.score().alias("score"))
+    rows = df.select(df[id_col], df[text_col])
+    out = scored(rows, learn(df, labels, id_col, text_col), text_col).select(F.col("row").getField(id_col).alias(id_col), "score")
+    out = out.select(id_col, F.coalesce(held_out(id_col), F.lit(False)).alias("held_out"), "score")
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
