@@ -15,12 +15,16 @@ SHINGLE_WORDS, SIMILAR_PERCENT, CAPACITY, END_ID = 5, 80, 2048, 1
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rule ensemble scores at its threshold or above; it learns from the labels of those given."""
-    stats, names = quality.with_statistics(docs, ["doc_id"])
-    score = quality.learn(stats, names, read(spark, sf_dir, "labels")).score()
-    scored = docs.select("*", *[c.cast("double").alias(f"stat_{n}") for n, c in quality.statistics(F.col("text")).items()])
-    inner = scored.select(F.struct(*docs.columns).alias("doc"), *[F.col(f"stat_{n}").alias(n) for n in names])
-    return inner.where(score >= quality.THRESHOLD).select("doc.*")
+    """Documents that the rule ensemble scores at its threshold or above; it learns from the labels of those given.
+
+    Rows are kept or go as they are, whatever other columns they have; null and empty texts are judged by their
+    statistics, repeated rows alike, rows without an id too (they have no label to learn from). Where the labels teach
+    nothing (none, or all of one kind) every row stays. An empty table gives an empty result.
+    """
+    ensemble = quality.learn(docs, read(spark, sf_dir, "labels"))
+    if not ensemble.rules and not ensemble.linear:
+        return docs
+    return quality.scored(docs, ensemble).where(F.col("score") >= quality.THRESHOLD).select("row.*")
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +32,8 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
     Rows are told apart by id and text: where texts of one group share its least id, that of the least hash stays, and
     a text under an id whose other texts go is judged by itself. Rows that repeat an id and its text count once; rows
-    without an id stay.
+    without an id stay. Null texts and texts without words are like no other. An empty table gives an empty result;
+    other columns are kept as they are.
     """
     rows = docs.withColumn("__row", F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", F.xxhash64("text").alias("hash")))
     groups = jaccard_join.join(rows, SHINGLE_WORDS, SIMILAR_PERCENT, id_col="__row")
@@ -38,12 +43,20 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with every secret found in the text replaced by a mark; ``n_chars`` follows."""
+    """All documents, with every secret found in the text replaced by a mark; ``n_chars`` follows.
+
+    Null texts stay null (and ``n_chars`` with them), empty ones empty; repeated rows and null ids are kept row by row;
+    other columns stay as they are. An empty table gives an empty result.
+    """
     return secret_scan.redact(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's tokens packed into sequences."""
+    """Every document's tokens packed into sequences: one row for each piece.
+
+    A null or empty text is a piece of the end id alone; repeated rows are packed one by one, null ids kept; other
+    columns aren't read. An empty table gives an empty result.
+    """
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), CAPACITY, END_ID)
 
 
@@ -54,7 +67,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, with what each returns written to the shared folder and read again."""
+    """All stages over ``documents``, with what each returns written to the shared folder and read again.
+
+    The folder is the run's own; the result reads from it, so it is left to whoever clears the shared folder.
+    """
     docs, folder = read(spark, sf_dir, "documents"), f"{shared_path(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES[:-1]):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
