@@ -160,7 +160,7 @@ def inside_ring(lon: Column, lat: Column, ring: Column) -> Column:
         at = a["lon"] + F.try_divide((lat - a["lat"]) * (b["lon"] - a["lon"]), b["lat"] - a["lat"])
         return ((a["lat"] > lat) != (b["lat"] > lat)) & F.coalesce(lon < at, F.lit(False))
 
-    return F.size(F.filter(F.sequence(F.lit(1), n), crossed)) % 2 == 1
+    return F.when(n > 0, F.size(F.filter(F.sequence(F.lit(1), n), crossed)) % 2 == 1).otherwise(False)
 
 
 def metres_to_degrees(metres: Column, lat: Column) -> tuple[Column, Column]:

@@ -28,14 +28,19 @@ def standardised(df: DataFrame, mean: list[float], std: list[float], bands: list
     return df.withColumns({b: F.try_divide(F.col(b) - m, F.lit(s)) for b, m, s in zip(bands, mean, std, strict=True)})
 
 
+def _hashed(seed: int, *key: str) -> Column:
+    """A hash, as text, that other engines have too."""
+    return F.md5(F.concat_ws("-", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
+
+
 def in_training(*key: str, share: int = 70, seed: int = 0) -> Column:
     """A fixed share of the rows, by a hash of their key: the same rows whatever the partitioning."""
-    return F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(100)) < share
+    return _hashed(seed, *key) < f"{int(share / 100 * (1 << 32)):08x}"
 
 
 def batch_sample(df: DataFrame, rows: int, seed: int, *key: str) -> DataFrame:
     """``rows`` rows without replacement: those with the smallest hashes."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *key), *key).limit(rows)
+    return df.orderBy(_hashed(seed, *key), *key).limit(rows)
 
 
 def train(samples: DataFrame, layers: list[int] = LAYERS, steps: int = 100, seed: int = 1) -> MultilayerPerceptronClassificationModel:

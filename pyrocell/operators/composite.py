@@ -23,6 +23,12 @@ def any_of(df: DataFrame, keys: list[str], value: str = "burned") -> DataFrame:
     return df.groupBy(*keys).agg((F.sum(value) >= 1).cast("int").alias("burned"))
 
 
+def mean_and_any(df: DataFrame, keys: list[str], value: str = "burned") -> DataFrame:
+    """Both of the above from one aggregate: ``mean``, ``burned`` and ``any_burned``."""
+    both = df.groupBy(*keys).agg(F.avg(value).alias("mean"), (F.sum(value) >= 1).cast("int").alias("any_burned"))
+    return both.withColumn("burned", (F.col("mean") >= 1).cast("int"))
+
+
 def month_of_burn(obs: DataFrame, burned: DataFrame, ties: list[str]) -> DataFrame:
     """Burned pixels and years with the month of their most burned observation.
 

@@ -21,9 +21,9 @@ def scar_table(labelled: DataFrame, area_m2: float = 900.0) -> DataFrame:
     return numbered(table)
 
 
-def numbered(table: DataFrame, bucket: int = 1 << 48) -> DataFrame:
-    """``unique_id`` by year in the order of scar_id: ranks within ranges of ids, plus the counts of the ranges before,
-    so a year's scars are many windows."""
+def numbered(table: DataFrame, bucket: int = 64 << 32) -> DataFrame:
+    """``unique_id`` by year in the order of scar_id: ranks within ranges of ids (64 rows of the grid), plus the counts
+    of the ranges before, so a year's scars are many small windows and only the counts meet in one."""
     ranged = table.withColumn("__range", F.floor(F.col("scar_id") / bucket))
     counts = ranged.groupBy("year", "__range").agg(F.count("*").alias("n"))
     before = counts.select("year", "__range", F.coalesce(F.sum("n").over(Window.partitionBy("year").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))

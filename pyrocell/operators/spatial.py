@@ -5,49 +5,57 @@ Sets of cells are rows (x, y) with further ``keys`` (scene, year ...) that keep
 
 from __future__ import annotations
 
-import tempfile
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyrocell.sources.shared import shared_folder
+
 TILE = 1024
 
 
 def kept(df: DataFrame) -> DataFrame:
-    """Lineage cut in the shared checkpoint folder; one of our own only where none is set."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+    """Lineage cut in the shared checkpoint folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def _offsets(low: int, high: int) -> Column:
-    steps = F.sequence(F.lit(low), F.lit(high))
-    return F.flatten(F.transform(steps, lambda dx: F.transform(steps, lambda dy: F.struct(dx.alias("dx"), dy.alias("dy")))))
+def _spread(cells: DataFrame, low: int, high: int, keys: list[str]) -> DataFrame:
+    """Cells of a set moved by every step from ``low`` to ``high`` in x and in y, without repeats.
+
+    A square is a row of columns, so it is spread along one axis after the other: each row is exploded twice by the
+    side, not once by the area, and repeats go between (map-side first).
+    """
+    for axis in ("x", "y"):
+        step = F.explode(F.sequence(F.lit(low), F.lit(high)))
+        cells = cells.select("x", "y", *keys, step.alias("__step")).withColumn(axis, (F.col(axis) + F.col("__step")).cast("int")).drop("__step").distinct()
+    return cells
 
 
-def _moved(cells: DataFrame, low: int, high: int, keys: list[str]) -> DataFrame:
-    spread = cells.select("x", "y", *keys, F.explode(_offsets(low, high)).alias("o"))
-    return spread.select((F.col("x") + F.col("o.dx")).cast("int").alias("x"), (F.col("y") + F.col("o.dy")).cast("int").alias("y"), *keys)
+def _shrunk(cells: DataFrame, low: int, high: int, keys: list[str]) -> DataFrame:
+    """Cells for which all steps from -``high`` to -``low`` in x and in y lie in the set (which has no repeats)."""
+    for axis in ("x", "y"):
+        step = F.explode(F.sequence(F.lit(low), F.lit(high)))
+        moved = cells.select("x", "y", *keys, step.alias("__step")).withColumn(axis, (F.col(axis) + F.col("__step")).cast("int"))
+        cells = moved.groupBy("x", "y", *keys).agg(F.count("*").alias("n")).where(F.col("n") == high - low + 1).drop("n")
+    return cells
 
 
 def dilated(cells: DataFrame, radius: int, keys: list[str] = []) -> DataFrame:
-    """All cells within a square of ``radius`` about a cell; the explosion is (2r+1)^2 and is reduced map-side."""
-    return _moved(cells, -radius, radius, keys).distinct()
+    """All cells within a square of ``radius`` about a cell."""
+    return _spread(cells.select("x", "y", *keys), -radius, radius, keys)
 
 
 def eroded(cells: DataFrame, radius: int, keys: list[str] = []) -> DataFrame:
     """Cells whose whole square of ``radius`` is in the set."""
-    n = (2 * radius + 1) ** 2
-    return _moved(cells.select("x", "y", *keys).distinct(), -radius, radius, keys).groupBy("x", "y", *keys).agg(F.count("*").alias("n")).where(F.col("n") == n).drop("n")
+    return _shrunk(cells.select("x", "y", *keys).distinct(), -radius, radius, keys)
 
 
 def opened(cells: DataFrame, size: int, keys: list[str] = []) -> DataFrame:
     """The union of all size x size windows that lie wholly in the set; 1 changes nothing."""
-    corners = _moved(cells.select("x", "y", *keys).distinct(), 1 - size, 0, keys).groupBy("x", "y", *keys).agg(F.count("*").alias("n")).where(F.col("n") == size * size).drop("n")
-    return _moved(corners, 0, size - 1, keys).distinct()
+    corners = _shrunk(cells.select("x", "y", *keys).distinct(), 1 - size, 0, keys)
+    return _spread(corners, 0, size - 1, keys)
 
 
 def closed(cells: DataFrame, size: int, keys: list[str] = []) -> DataFrame:
@@ -55,8 +63,7 @@ def closed(cells: DataFrame, size: int, keys: list[str] = []) -> DataFrame:
 
     Cells outside the grid count as empty.
     """
-    grown = _moved(cells.select("x", "y", *keys).distinct(), 0, size - 1, keys).distinct()
-    return _moved(grown, 1 - size, 0, keys).groupBy("x", "y", *keys).agg(F.count("*").alias("n")).where(F.col("n") == size * size).drop("n")
+    return _shrunk(_spread(cells.select("x", "y", *keys), 0, size - 1, keys), 1 - size, 0, keys)
 
 
 def filtered(cells: DataFrame, opening: int = 4, closing: int = 8, keys: list[str] = []) -> DataFrame:

@@ -2,23 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pyrocell.functions.optics import inside_ring
 from pyrocell.sources.scans import dimension
 
-#: Factors of a territory's composite code (fixed values): by columns from the coarsest.
+#: Territory units: the columns of a composite code with their factors, the coarsest first (fixed values). A pixel
+#: outside one of a unit's layers (void there) isn't part of the unit.
 UNITS = {
-    "biome": ["biome_id"],
-    "state": ["biome_id", "state_id"],
-    "tenure": ["biome_id", "state_id", "tenure_id"],
-    "indigenous": ["biome_id", "state_id", "ti_id"],
-    "protected": ["biome_id", "state_id", "uc_id"],
-    "municipality": ["biome_id", "municipality_id"],
+    "biome": {"biome_id": 1},
+    "state": {"biome_id": 100, "state_id": 1},
+    "tenure": {"biome_id": 10_000, "state_id": 100, "tenure_id": 1},
+    "indigenous": {"biome_id": 1_000_000, "ti_id": 1},
+    "protected_state_strict": {"biome_id": 1_000_000, "uc_state_strict": 1},
+    "protected_state_use": {"biome_id": 1_000_000, "uc_state_use": 1},
+    "protected_federal_strict": {"biome_id": 1_000_000, "uc_federal_strict": 1},
+    "protected_federal_use": {"biome_id": 1_000_000, "uc_federal_use": 1},
+    "municipality": {"biome_id": 10_000_000, "municipality_id": 1},
+    "municipality_alone": {"municipality_id": 1},
+    "indigenous_alone": {"ti_id": 1},
 }
 
 
+def packed_code(unit: dict[str, int]) -> Column:
+    """A unit's composite code; void where one of its columns is."""
+    return reduce(add, [F.col(c).cast("long") * f for c, f in unit.items()])
+
+
+def unpacked_code(code: Column, unit: dict[str, int]) -> dict[str, Column]:
+    """The columns that a composite code was packed from."""
+    whole = [None, *unit.values()]  # what a column can't reach is the factor of the coarser one
+    return {c: (F.floor(code / f) if above is None else F.floor(code % above / f)).cast("int") for (c, f), above in zip(unit.items(), whole, strict=False)}
+
+
 def product_on_cover(cover: DataFrame, product: DataFrame, keys: list[str] = ["pixel_id", "year"]) -> DataFrame:
     """Every land-cover pixel with the product's value, 0 where it has none."""
     return cover.join(product.select(*keys, "value"), keys, "left").withColumn("value", F.coalesce("value", F.lit(0)))
@@ -29,16 +48,42 @@ def zonal_area(df: DataFrame, by: list[str]) -> DataFrame:
     return df.groupBy(*by).agg((F.sum("area_km2") * 100).alias("area_ha"))
 
 
-def all_units(df: DataFrame, classes: list[str], units: dict[str, list[str]] = UNITS) -> DataFrame:
-    """Hectares by every unit at once, in one scan: grouping sets over the units' columns; columns that a unit
-    doesn't have are void, and ``unit`` names it."""
-    columns = list(dict.fromkeys(c for cs in units.values() for c in cs))
-    sets = [[*classes, *cs] for cs in units.values()]
-    grouped = df.groupingSets([[F.col(c) for c in s] for s in sets], *classes, *columns).agg((F.sum("area_km2") * 100).alias("area_ha"), F.grouping_id().alias("__gid"))
-    width = len(classes) + len(columns)
-    ids = {u: sum(1 << (width - 1 - k) for k, c in enumerate([*classes, *columns]) if c not in [*classes, *cs]) for u, cs in units.items()}
-    unit = F.element_at(F.create_map(*[x for u, i in ids.items() for x in (F.lit(i).cast("long"), F.lit(u))]), F.col("__gid").cast("long"))
-    return grouped.withColumn("unit", unit).drop("__gid")
+def all_units(df: DataFrame, by: list[str], units: dict[str, dict[str, int]] = UNITS) -> DataFrame:
+    """Hectares by ``by`` and every territory unit in one scan: (by, unit, territory, area_ha), ``territory`` packed.
+
+    Pixels are first summed by all territory columns together, which is far fewer rows; these are then counted in each
+    of their units.
+    """
+    columns = list(dict.fromkeys(c for u in units.values() for c in u))
+    fine = df.groupBy(*by, *columns).agg(F.sum("area_km2").alias("__area"))
+    codes = F.array_compact(F.array(*[F.when(packed_code(u).isNotNull(), F.struct(F.lit(n).alias("unit"), packed_code(u).alias("territory"))) for n, u in units.items()]))
+    each = fine.select(*by, "__area", F.explode(codes).alias("__u"))
+    return each.groupBy(*by, F.col("__u.unit").alias("unit"), F.col("__u.territory").alias("territory")).agg((F.sum("__area") * 100).alias("area_ha"))
+
+
+def named_units(df: DataFrame, legends: dict[str, DataFrame], units: dict[str, dict[str, int]] = UNITS) -> DataFrame:
+    """Rows with (unit, territory) and, for each legend (column -> code, name), the column's number and its name; void
+    where the unit hasn't the column or the legend hasn't the code."""
+    out = df
+    for column, legend in legends.items():
+        number = reduce(lambda x, nu: x.when(F.col("unit") == nu[0], unpacked_code(F.col("territory"), nu[1])[column]), [(n, u) for n, u in units.items() if column in u], F.when(F.lit(False), F.lit(None).cast("int")))
+        named = legend.select(F.col("code").alias(column), F.col("name").alias(f"{column}_name"))
+        out = out.withColumn(column, number).join(dimension(named), column, "left")
+    return out
+
+
+#: The products whose values are crossed with land cover as value * 100 + class, and by themselves (fixed names).
+PRODUCTS = ["annual_burned", "monthly_burned", "fire_frequency", "year_last_fire", "scar_size_range", "time_after_fire", "accumulated_burned"]
+
+
+def product_rows(wide: DataFrame, products: list[str] = PRODUCTS, cover: str = "class") -> DataFrame:
+    """(product, value) rows from one column for each product; with land cover each product comes twice, alone and as
+    ``..._coverage`` with the packed code. Void values drop out, and void covers with their codes. The other columns
+    stay."""
+    alone = [F.when(F.col(p).isNotNull(), F.struct(F.lit(p).alias("product"), F.col(p).cast("int").alias("value"))) for p in products]
+    crossed = [F.when(F.col(p).isNotNull() & F.col(cover).isNotNull(), F.struct(F.lit(f"{p}_coverage").alias("product"), (F.col(p) * 100 + F.col(cover)).cast("int").alias("value"))) for p in products]
+    rest = [c for c in wide.columns if c not in (*products, cover)]
+    return wide.select(*rest, F.explode(F.array_compact(F.array(*alone, *crossed))).alias("__p")).select(*rest, "__p.product", "__p.value")
 
 
 def area_by_period(df: DataFrame, least: float = 0.001) -> DataFrame:
@@ -66,24 +111,40 @@ def prepared_layer(layer: DataFrame, names: list[str], name: str = "name", numbe
     return layer.where(F.col(name).isin(names)).withColumns({"label": F.initcap(name), "number": F.col(number).try_cast("int")})
 
 
-def labelled_by_polygon(pixels: DataFrame, polygons: DataFrame, cell: int = 16) -> DataFrame:
+def scanlines(polygons: DataFrame) -> DataFrame:
+    """(code, y, x0, x1) for every row of the grid that a polygon (code, ring array<struct<lon, lat>>) covers: its
+    points there are x0 <= x < x1.
+
+    Each edge gives one crossing for each row that it spans; a row's crossings in order are the ends of its stretches.
+    So a polygon costs what its outline costs, whatever its area, and no row carries the ring. Points on an edge count
+    as the ray test going east has them. Polygons of one code are told apart; equal ones count once.
+    """
+    n = F.size("ring")
+    edge = F.explode(F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(F.element_at("ring", i).alias("a"), F.element_at("ring", i % n + 1).alias("b"))))
+    edges = polygons.select("code", "ring").distinct().withColumn("__polygon", F.xxhash64("code", "ring")).where(n > 0).select("__polygon", "code", edge.alias("e"))
+    low, high = F.least("e.a.lat", "e.b.lat"), F.greatest("e.a.lat", "e.b.lat")
+    rows = edges.withColumns({"__from": F.ceil(low).cast("int"), "__to": (F.ceil(high) - 1).cast("int")}).where("__from <= __to")
+    rows = rows.withColumn("y", F.explode(F.sequence("__from", "__to")))
+    at = F.col("e.a.lon") + (F.col("y") - F.col("e.a.lat")) * (F.col("e.b.lon") - F.col("e.a.lon")) / (F.col("e.b.lat") - F.col("e.a.lat"))
+    ends = rows.select("__polygon", "code", "y", at.alias("at")).groupBy("__polygon", "code", "y").agg(F.array_sort(F.collect_list("at")).alias("ends"))
+    stretch = F.explode(F.transform(F.sequence(F.lit(1), F.floor(F.size("ends") / 2).cast("int")), lambda k: F.struct(F.element_at("ends", 2 * k - 1).alias("x0"), F.element_at("ends", 2 * k).alias("x1"))))
+    return ends.select("code", "y", stretch.alias("s")).select("code", "y", "s.x0", "s.x1")
+
+
+def labelled_by_polygon(pixels: DataFrame, polygons: DataFrame, cell: int = 256) -> DataFrame:
     """Pixels (x, y) that lie in polygons (code, ring array<struct<lon, lat>>), with the polygon's code.
 
-    Polygons are cut into the grid cells that their boxes meet; the join is on cells, and the exact test runs on
-    what meets there. Edges count as the ray test has them.
+    The polygons' stretches of each row are cut at every ``cell`` columns, and the join is on row and cut.
     """
-    box = lambda f, c: f(F.transform("ring", lambda p: p[c]))
     at = lambda c: F.floor(c / cell).cast("int")
-    pieces = polygons.select("code", "ring", F.explode(F.sequence(at(box(F.array_min, "lon")), at(box(F.array_max, "lon")))).alias("cx"))
-    pieces = pieces.withColumn("cy", F.explode(F.sequence(at(box(F.array_min, "lat")), at(box(F.array_max, "lat")))))
-    placed = pixels.withColumns({"cx": at(F.col("x")), "cy": at(F.col("y"))})
-    met = placed.join(pieces, ["cx", "cy"])
-    return met.where(inside_ring(F.col("x").cast("double"), F.col("y").cast("double"), F.col("ring"))).select(*pixels.columns, "code")
+    pieces = scanlines(polygons).where("x0 < x1").withColumn("cx", F.explode(F.sequence(at(F.col("x0")), at(F.col("x1")))))
+    met = pixels.withColumn("cx", at(F.col("x"))).join(pieces, ["y", "cx"])
+    return met.where("x >= x0 AND x < x1").select(*pixels.columns, "code")
 
 
-def clipped_to_scenes(pixels: DataFrame, scenes: DataFrame, buffer: float, least: float = 0.01, cell: int = 16) -> DataFrame:
+def clipped_to_scenes(pixels: DataFrame, scenes: DataFrame, buffer: float, least: float = 0.01, cell: int = 1024) -> DataFrame:
     """Pixels within each scene's box (scene, x0, y0, x1, y1) grown by ``buffer``; scenes that share less than
-    ``least`` of area with the pixels' extent are left out."""
+    ``least`` of area with the pixels' extent are left out. A box is cut into squares of ``cell``, some dozens for a scene."""
     extent = pixels.agg(F.min("x").alias("ex0"), F.min("y").alias("ey0"), F.max("x").alias("ex1"), F.max("y").alias("ey1"))
     grown = scenes.select("scene", *[(F.col(c) + d * buffer).alias(c) for c, d in (("x0", -1), ("y0", -1), ("x1", 1), ("y1", 1))]).join(F.broadcast(extent))
     side = lambda a: F.greatest(F.lit(0.0), F.least(f"{a}1", f"e{a}1") - F.greatest(f"{a}0", f"e{a}0"))
@@ -94,8 +155,26 @@ def clipped_to_scenes(pixels: DataFrame, scenes: DataFrame, buffer: float, least
     return placed.join(pieces, ["cx", "cy"]).where("x >= x0 AND x <= x1 AND y >= y0 AND y <= y1").select("scene", *pixels.columns)
 
 
-def overview(df: DataFrame, levels: int, value: str = "value", how: str = "mode", keys: list[str] = []) -> DataFrame:
-    """The grid with cells of 2^levels: mode (ties: the least), median or mean of what isn't void."""
-    of = {"mode": F.mode(value, True), "median": F.median(value), "mean": F.avg(value)}[how]
+def overview(df: DataFrame, levels: int, value: str = "value", how: str | list[str] = "mode", keys: list[str] = []) -> DataFrame:
+    """The grid with cells of 2^levels: mode (ties: the least), median or mean of what isn't void; with a list, each as
+    ``<how>_<value>`` from one aggregate."""
+    of = {"mode": F.mode(value, True), "median": F.median(value), "mean": F.avg(value)}
     down = lambda c: F.floor(F.col(c) / (1 << levels)).cast("int").alias(c)
-    return df.groupBy(*keys, down("x"), down("y")).agg(of.alias(value))
+    wanted = [of[how].alias(value)] if isinstance(how, str) else [of[h].alias(f"{h}_{value}") for h in how]
+    return df.groupBy(*keys, down("x"), down("y")).agg(*wanted)
+
+
+def pyramid(df: DataFrame, levels: list[int], value: str = "value", how: str = "mode", keys: list[str] = []) -> DataFrame:
+    """Overviews of several levels at once, with a column ``level``: values are counted by cell of the finest level,
+    and the coarser ones are made from these counts, so the grid is read once. Mode and mean only."""
+    if how not in ("mode", "mean"):
+        raise ValueError(how)
+    at = lambda c, by: F.floor(F.col(c) / by).cast("int")
+    first = 1 << min(levels)
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, at("x", first).alias("x"), at("y", first).alias("y"), value).agg(F.count("*").alias("__n"))
+    step = F.explode(F.array(*[F.struct(F.lit(n).alias("level"), F.lit(1 << (n - min(levels))).alias("by")) for n in sorted(levels)]))
+    spread = counts.withColumn("__l", step)
+    level, x, y = F.col("__l.level").alias("level"), at("x", F.col("__l.by")).alias("x"), at("y", F.col("__l.by")).alias("y")
+    summed = spread.groupBy(*keys, level, x, y, value).agg(F.sum("__n").alias("__n"))
+    best = F.max_by(value, F.struct(F.col("__n"), -F.col(value))) if how == "mode" else F.sum(F.col(value) * F.col("__n")) / F.sum("__n")
+    return summed.groupBy(*keys, "level", "x", "y").agg(best.alias(value))

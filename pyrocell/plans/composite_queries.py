@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,20 +49,24 @@ UNION ALL SELECT 'scl', count(*) FROM obs WHERE b8a IS NOT NULL AND b9 IS NOT NU
 UNION ALL SELECT 'strict', count(*) FROM obs WHERE b8a IS NOT NULL AND b9 IS NOT NULL AND cloud_probability < 65 AND scl NOT IN (1, 3, 6, 8, 9, 10) AND qa60 < 1""")
 def b9_b10_b12_sentinel_masks(v) -> DataFrame:
     low = optics.low_cloud(F.col("cloud_probability"), F.col("b8a"), F.col("b9"))
-    n = lambda name, test: v.obs.where(test).agg(F.lit(name).alias("mask"), F.count("*").alias("n"))
-    return model.merged([n("low", low), n("scl", low & optics.scene_class_clear(F.col("scl"))), n("strict", low & optics.strictly_clear(F.col("scl"), F.col("qa60")))])
-
-
-@query("""WITH o AS (SELECT scene_id, x, y, max(cloud_probability) AS p, min(scl) AS scl, min(nir_dn) AS nir FROM obs WHERE sensor = 'LC08' GROUP BY 1, 2, 3),
-c AS (SELECT scene_id, x, y FROM o WHERE p > 40),
-t AS (SELECT DISTINCT scene_id, x + k AS x, y FROM c, range(1, 4) r(k)),
-b AS (SELECT * FROM c UNION SELECT o.scene_id, o.x, o.y FROM o JOIN t USING (scene_id, x, y) WHERE o.scl <> 6 AND o.nir < 12000),
-w AS (SELECT scene_id, x, y FROM b),
-g AS (SELECT DISTINCT scene_id, x + i AS x, y + j AS y FROM w, range(-1, 2) a(i), range(-1, 2) d(j))
+    tests = {"low": low, "scl": low & optics.scene_class_clear(F.col("scl")), "strict": low & optics.strictly_clear(F.col("scl"), F.col("qa60"))}
+    counts = v.obs.agg(*[F.count_if(t).alias(n) for n, t in tests.items()])
+    return counts.unpivot([], list(tests), "mask", "n")
+
+
+@query("""WITH o AS (SELECT concat(sensor, '_', year(acq_ts)) AS scene_id, x, y, max(cloud_probability) AS p, min(scl) AS scl, min(nir_dn) AS nir FROM obs GROUP BY 1, 2, 3),
+c AS (SELECT scene_id, x, y FROM o WHERE p > 97),
+t AS (SELECT DISTINCT scene_id, x + k AS x, y FROM c, range(1, 21) r(k)),
+b AS (SELECT * FROM c UNION SELECT o.scene_id, o.x, o.y FROM o JOIN t USING (scene_id, x, y) WHERE o.scl <> 6 AND o.nir < 10500),
+m AS (SELECT scene_id, x + i AS x, y + j AS y FROM b, range(-1, 1) a(i), range(-1, 1) d(j) GROUP BY 1, 2, 3 HAVING count(*) = 4),
+w AS (SELECT DISTINCT scene_id, x + i AS x, y + j AS y FROM m, range(0, 2) a(i), range(0, 2) d(j)),
+q AS (SELECT DISTINCT scene_id, x + i AS x, y FROM w, range(-5, 6) a(i)),
+g AS (SELECT DISTINCT scene_id, x, y + j AS y FROM q, range(-5, 6) d(j))
 SELECT o.scene_id, o.x, o.y FROM o WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.scene_id = o.scene_id AND g.x = o.x AND g.y = o.y)""")
 def b13_cloud_and_shadow(v) -> DataFrame:
-    o = v.obs.where("sensor = 'LC08'").groupBy("scene_id", "x", "y").agg(F.max("cloud_probability").alias("cloud_probability"), F.min("scl").alias("scl"), F.min("nir_dn").alias("nir_dn")).withColumn("solar_azimuth", F.lit(90.0))
-    return sentinel.without_cloud_and_shadow(o, dark=12000, cells=3, grow=1, erode=1).select("scene_id", "x", "y")
+    """A scene is a sensor's year; sizes are the operator's, the two levels are those of these data."""
+    o = v.obs.groupBy(F.concat_ws("_", "sensor", F.year("acq_ts")).alias("scene_id"), "x", "y").agg(F.max("cloud_probability").alias("cloud_probability"), F.min("scl").alias("scl"), F.min("nir_dn").alias("nir_dn")).withColumn("solar_azimuth", F.lit(90.0))
+    return sentinel.without_cloud_and_shadow(o, probability=97, dark=10500).select("scene_id", "x", "y")
 
 
 @query("SELECT order_no, line_no, blue_dn AS blue, green_dn AS green, red_dn AS red, nir_dn AS nir, swir1_dn AS swir1, swir2_dn AS swir2 FROM obs")
@@ -70,13 +75,13 @@ def b14_band_names(v) -> DataFrame:
     return model.merged([optics.harmonised(df, s, ID) for df, s in zip(raw, [s for s in optics.SOURCE_BANDS if s != "S2"], strict=True)])
 
 
-@query("SELECT pixel_id FROM territory WHERE least(x, 49 - x, y, 60 - y) >= 3 AND y <= 60")
+@query("SELECT pixel_id FROM territory WHERE CASE WHEN y <= 60 THEN least(x, 49 - x, y, 60 - y) ELSE y - 60 END >= 3")
 def b15_scene_edge(v) -> DataFrame:
     """The ring is in cells that stand for a hundred-thousandth of a degree, so 3 cells are 3 * 1.1132 metres."""
     d = 1e-5
     ring = F.array(*[F.struct(F.lit(a * d).alias("lon"), F.lit(b * d).alias("lat")) for a, b in ((0, 0), (49, 0), (49, 60), (0, 60))])
     far = optics.edge_distance_m(F.col("x") * d, F.col("y") * d, ring) >= 3 * 1.1132 - 1e-3
-    return v.territory.where((F.col("y") <= 60) & far).select("pixel_id")
+    return v.territory.where(far).select("pixel_id")
 
 
 @query("SELECT order_no, line_no, CAST(trunc((1.0::DOUBLE - r) * 1000.0::DOUBLE) AS INT) AS burn_index, CAST(trunc(-(r + 1.0::DOUBLE) * 1000.0::DOUBLE) AS INT) AS severity_index FROM (SELECT *, (nir_dn - swir2_dn)::DOUBLE / (nir_dn + swir2_dn) AS r FROM obs)")
@@ -84,7 +89,15 @@ def b16_b17_burn_indices(v) -> DataFrame:
     return v.obs.select(*ID, optics.burn_index(F.col("nir_dn"), F.col("swir2_dn")).alias("burn_index"), optics.severity_index(F.col("nir_dn"), F.col("swir2_dn")).alias("severity_index"))
 
 
-@query()
+def fractions() -> str:
+    """Unmixing as SQL: the pseudo-inverse's rows as sums over the bands."""
+    inverse = np.linalg.pinv(np.array(list(optics.ENDMEMBERS.values())).T)
+    total = lambda row: " + ".join(f"({b}_dn * 0.0000275::DOUBLE - 0.2::DOUBLE) * 10000.0::DOUBLE * ({float(w)!r})::DOUBLE" for b, w in zip(optics.BANDS, row, strict=True))
+    each = ", ".join(f"CAST(floor(least(greatest({total(row)}, 0.0) * 100.0, 255.0)) AS INT) AS {n}" for n, row in zip(optics.ENDMEMBERS, inverse, strict=True))
+    return f"SELECT *, abs(gv + npv + soil + cloud - 100) AS shade, gv * 100.0::DOUBLE / nullif(gv + npv + soil + cloud, 0) AS gvs, gv + soil + cloud AS \"npvSoil\" FROM (SELECT order_no, line_no, {each} FROM obs)"
+
+
+@query(fractions())
 def b18_unmixing(v) -> DataFrame:
     r = v.obs.select(*ID, *[optics.reflectance(F.col(f"{b}_dn")).alias(b) for b in optics.BANDS])
     return optics.unmixed(r).drop(*optics.BANDS)
@@ -125,8 +138,7 @@ def d2_f1_last_mosaic(v) -> DataFrame:
 
 @query("SELECT pixel_id, avg(label::DOUBLE) AS mean, (avg(label::DOUBLE) >= 1)::INT AS burned, (sum(label) >= 1)::INT AS any_burned FROM obs GROUP BY pixel_id")
 def d3_d4_mean_and_any(v) -> DataFrame:
-    mean = composite.mean_mosaic(v.obs, ["pixel_id"], "label")
-    return mean.join(composite.any_of(v.obs, ["pixel_id"], "label").withColumnRenamed("burned", "any_burned"), "pixel_id")
+    return composite.mean_and_any(v.obs, ["pixel_id"], "label")
 
 
 @query("SELECT pixel_id, year, (class IN (24, 30, 33))::INT AS excluded FROM cover")

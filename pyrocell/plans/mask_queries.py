@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyrocell.functions import optics
 from pyrocell.operators import masks, scars, spatial
 from pyrocell.plans.registry import query
+from pyrocell.plans.views import LAST_YEAR, YEARS
 
 
 def located(v) -> DataFrame:
@@ -44,11 +45,12 @@ def c7_exemption(v) -> DataFrame:
     return n("drop").union(n("keep"))
 
 
-@query("""SELECT f.pixel_id, f.month FROM fire f WHERE f.year = 1997 AND EXISTS (SELECT 1 FROM hotspots h WHERE year(h.ts) = 2024 AND month(h.ts) = 1 AND f.month = 1 AND h.x BETWEEN f.x - 2 AND f.x + 2 AND h.y BETWEEN f.y - 2 AND f.y + 2)""")
+@query("""SELECT f.pixel_id, f.year, f.month FROM fire f WHERE EXISTS (SELECT 1 FROM hotspots h WHERE month(h.ts) = f.month AND h.x BETWEEN f.x - 2 AND f.x + 2 AND h.y BETWEEN f.y - 2 AND f.y + 2)""")
 def c15_near_hotspots(v) -> DataFrame:
-    shifted = v.hotspots.withColumn("ts", F.make_timestamp(F.lit(1997), F.month("ts"), F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
-    obs = v.fire.where("year = 1997").withColumn("acq_ts", F.make_timestamp("year", "month", F.lit(1), F.lit(0), F.lit(0), F.lit(0)))
-    return masks.near_hotspots(obs, shifted, 2).select("pixel_id", "month")
+    """The hotspots are of one year; each stands for its month in all years of the burns."""
+    month = lambda year: F.make_timestamp(year, F.col("month"), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    spots = v.hotspots.select("x", "y", F.month("ts").alias("month"), F.explode(F.lit([*YEARS, LAST_YEAR])).alias("year")).select("x", "y", month(F.col("year")).alias("ts"))
+    return masks.near_hotspots(v.fire.withColumn("acq_ts", month(F.col("year"))), spots, 2).select("pixel_id", "year", "month")
 
 
 MONTHS = "SELECT DISTINCT l_partkey AS pixel_id, CAST(year(l_shipdate) AS INT) AS year, CAST(month(l_shipdate) AS INT) AS month FROM lineitem WHERE l_returnflag = 'R'"
@@ -71,65 +73,67 @@ def c24_by_fire_month(v) -> DataFrame:
     return masks.by_fire_month(v.cover.select("pixel_id", "year", F.col("class").alias("value")), v.fire)
 
 
-CELLS = "SELECT DISTINCT x, y FROM fire WHERE year IN (1996, 1997, 1998)"
+CELLS = "SELECT DISTINCT year, x, y FROM fire"
 
 
 def cells(v) -> DataFrame:
-    return v.fire.where(F.col("year").isin(1996, 1997, 1998)).select("x", "y").distinct()
+    return v.fire.select("year", "x", "y")
 
 
 def squares(name: str, low: int, high: int) -> str:
     return f"range({low}, {high + 1}) {name}1({name}x), range({low}, {high + 1}) {name}2({name}y)"
 
 
-@query(f"SELECT DISTINCT CAST(x + ax AS INT) AS x, CAST(y + ay AS INT) AS y FROM ({CELLS}), {squares('a', -1, 1)}")
+@query(f"SELECT DISTINCT year, CAST(x + ax AS INT) AS x, CAST(y + ay AS INT) AS y FROM ({CELLS}), {squares('a', -1, 1)}")
 def i4_dilated(v) -> DataFrame:
-    return spatial.dilated(cells(v), 1)
+    return spatial.dilated(cells(v), 1, ["year"])
 
 
-@query(f"SELECT x, y FROM (SELECT CAST(x + ax AS INT) AS x, CAST(y + ay AS INT) AS y FROM ({CELLS}), {squares('a', -1, 1)}) GROUP BY 1, 2 HAVING count(*) = 9")
+@query(f"SELECT year, x, y FROM (SELECT year, CAST(x + ax AS INT) AS x, CAST(y + ay AS INT) AS y FROM ({CELLS}), {squares('a', -1, 1)}) GROUP BY 1, 2, 3 HAVING count(*) = 9")
 def i5_eroded(v) -> DataFrame:
-    return spatial.eroded(cells(v), 1)
+    return spatial.eroded(cells(v), 1, ["year"])
 
 
-OPENED = f"SELECT DISTINCT x + gx AS x, y + gy AS y FROM (SELECT x + ax AS x, y + ay AS y FROM ({CELLS}), {squares('a', -1, 0)} GROUP BY 1, 2 HAVING count(*) = 4), range(0, 2) g1(gx), range(0, 2) g2(gy)"
+OPENED = f"SELECT DISTINCT year, x + gx AS x, y + gy AS y FROM (SELECT year, x + ax AS x, y + ay AS y FROM ({CELLS}), {squares('a', -1, 0)} GROUP BY 1, 2, 3 HAVING count(*) = 4), range(0, 2) g1(gx), range(0, 2) g2(gy)"
 
 
-@query(f"""SELECT CAST(x AS INT) AS x, CAST(y AS INT) AS y FROM (SELECT x + dx AS x, y + dy AS y FROM (SELECT DISTINCT x + cx AS x, y + cy AS y FROM ({OPENED}), {squares('c', 0, 3)}), {squares('d', -3, 0)}) GROUP BY 1, 2 HAVING count(*) = 16""")
+@query(f"""SELECT year, CAST(x AS INT) AS x, CAST(y AS INT) AS y FROM (SELECT year, x + dx AS x, y + dy AS y FROM (SELECT DISTINCT year, x + cx AS x, y + cy AS y FROM ({OPENED}), {squares('c', 0, 3)}), {squares('d', -3, 0)}) GROUP BY 1, 2, 3 HAVING count(*) = 16""")
 def i6_opened_closed(v) -> DataFrame:
-    return spatial.filtered(cells(v), 2, 4)
+    return spatial.filtered(cells(v), 2, 4, ["year"])
 
 
-COMPONENTS = """WITH RECURSIVE s AS (SELECT year, CAST(x AS BIGINT) AS x, CAST(y AS BIGINT) AS y, CAST(y AS BIGINT) * 4294967296 + x AS cell FROM fire WHERE year = 1998),
-e AS (SELECT a.cell AS a, b.cell AS b FROM s a JOIN s b ON (b.cell = a.cell + 1 AND b.y = a.y AND b.x = a.x + 1) OR b.cell = a.cell + 4294967296),
-r AS (SELECT cell, cell AS other FROM s UNION SELECT r.cell, CASE WHEN e.a = r.other THEN e.b ELSE e.a END FROM r JOIN e ON e.a = r.other OR e.b = r.other),
-c AS (SELECT cell, min(other) AS component FROM r GROUP BY cell)"""
+COMPONENTS = """WITH RECURSIVE s AS (SELECT year, CAST(x AS BIGINT) AS x, CAST(y AS BIGINT) AS y, CAST(y AS BIGINT) * 4294967296 + x AS cell FROM fire),
+h AS (SELECT a.year, a.cell AS a, b.cell AS b FROM s a JOIN s b ON b.year = a.year AND b.cell = a.cell + 1 AND b.y = a.y UNION ALL SELECT a.year, a.cell, b.cell FROM s a JOIN s b ON b.year = a.year AND b.cell = a.cell + 4294967296),
+e AS (SELECT year, a, b FROM h UNION ALL SELECT year, b, a FROM h),
+r AS (SELECT year, cell, cell AS other FROM s UNION SELECT r.year, r.cell, e.b FROM r JOIN e ON e.year = r.year AND e.a = r.other),
+c AS (SELECT year, cell, min(other) AS component FROM r GROUP BY 1, 2)"""
 
 
-@query(f"{COMPONENTS} SELECT CAST(s.x AS INT) AS x, CAST(s.y AS INT) AS y, s.year, c.component FROM s JOIN c USING (cell)")
+@query(f"{COMPONENTS} SELECT CAST(s.x AS INT) AS x, CAST(s.y AS INT) AS y, s.year, c.component FROM s JOIN c USING (year, cell)")
 def i1_components(v) -> DataFrame:
-    return spatial.connected(v.fire.where("year = 1998").select("x", "y", "year"), ["year"], tile=16)
+    return spatial.connected(v.fire.select("x", "y", "year"), ["year"], tile=16)
 
 
-@query(f"{COMPONENTS} SELECT CAST(s.x AS INT) AS x, CAST(s.y AS INT) AS y, s.year FROM s JOIN c USING (cell) JOIN (SELECT component, count(*) AS n FROM c GROUP BY 1) k USING (component) WHERE k.n > 2")
+@query(f"{COMPONENTS} SELECT CAST(s.x AS INT) AS x, CAST(s.y AS INT) AS y, s.year FROM s JOIN c USING (year, cell) JOIN (SELECT year, component, count(*) AS n FROM c GROUP BY 1, 2) k USING (year, component) WHERE k.n > 2")
 def d21_without_solitary(v) -> DataFrame:
-    return spatial.without_solitary(v.fire.where("year = 1998").select("x", "y", "year"), 2, ["year"])
+    return spatial.without_solitary(v.fire.select("x", "y", "year"), 2, ["year"])
 
 
-TABLE = f"""{COMPONENTS}, t AS (SELECT s.year, c.component AS scar_id, count(*) AS n_pixels, floor(count(*) * 1.0e8::DOUBLE) / 10000.0::DOUBLE AS area_ha, CAST(min(s.x) AS INT) AS x0, CAST(min(s.y) AS INT) AS y0, CAST(max(s.x) AS INT) AS x1, CAST(max(s.y) AS INT) AS y1 FROM s JOIN c USING (cell) GROUP BY 1, 2),
+TABLE = f"""{COMPONENTS}, t AS (SELECT s.year, c.component AS scar_id, count(*) AS n_pixels, floor(count(*) * 1.0e8::DOUBLE) / 10000.0::DOUBLE AS area_ha, CAST(min(s.x) AS INT) AS x0, CAST(min(s.y) AS INT) AS y0, CAST(max(s.x) AS INT) AS x1, CAST(max(s.y) AS INT) AS y1 FROM s JOIN c USING (year, cell) GROUP BY 1, 2),
 u AS (SELECT *, row_number() OVER (PARTITION BY year ORDER BY scar_id) AS unique_id FROM t)"""
+SIZES = "SELECT CAST(s.x AS INT) AS x, CAST(s.y AS INT) AS y, s.year, u.unique_id, u.area_ha, CAST(CASE WHEN area_ha < 10 THEN 1 WHEN area_ha < 250 THEN 2 WHEN area_ha < 500 THEN 3 WHEN area_ha < 5000 THEN 4 WHEN area_ha < 10000 THEN 5 WHEN area_ha < 50000 THEN 6 WHEN area_ha < 100000 THEN 7 ELSE 8 END AS INT) AS size_class FROM s JOIN c USING (year, cell) JOIN u ON u.year = s.year AND u.scar_id = c.component"
 
 
 @query(f"{TABLE} SELECT * FROM u")
 def i2_e7_d14_scar_table(v) -> DataFrame:
     """100 square kilometres a pixel, so that scars fall into several size classes."""
-    return scars.scars_of(v.fire.where("year = 1998"), 1.0e8)[1]
+    return scars.scars_of(v.fire, 1.0e8)[1]
 
 
-@query(f"{TABLE} SELECT CAST(s.x AS INT) AS x, CAST(s.y AS INT) AS y, u.unique_id, u.area_ha, CAST(CASE WHEN area_ha < 10 THEN 1 WHEN area_ha < 250 THEN 2 WHEN area_ha < 500 THEN 3 WHEN area_ha < 5000 THEN 4 WHEN area_ha < 10000 THEN 5 WHEN area_ha < 50000 THEN 6 WHEN area_ha < 100000 THEN 7 ELSE 8 END AS INT) AS size_class FROM s JOIN c USING (cell) JOIN u ON u.scar_id = c.component")
+@query(f"{TABLE} {SIZES}")
 def i3_scars_on_pixels(v) -> DataFrame:
-    labelled, table = scars.scars_of(v.fire.where("year = 1998"), 1.0e8)
-    return scars.painted(labelled, table).select("x", "y", "unique_id", "area_ha", "size_class")
+    labelled, table = scars.scars_of(v.fire, 1.0e8)
+    return scars.painted(labelled, table).select("x", "y", "year", "unique_id", "area_ha", "size_class")
 
 
 @query("SELECT x, y, CAST(arg_max(label, scene_id) AS INT) AS value FROM obs WHERE label = 1 GROUP BY x, y")

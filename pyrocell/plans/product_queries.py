@@ -36,9 +36,9 @@ def c2_product_on_cover(v) -> DataFrame:
     return zonal.product_on_cover(cover(v), v.fire.select("pixel_id", "year", F.col("month").alias("value")))
 
 
-@query("SELECT c.pixel_id, c.class FROM cover c WHERE c.year = 2000 AND EXISTS (SELECT 1 FROM fire f WHERE f.pixel_id = c.pixel_id)")
+@query("SELECT c.pixel_id, c.year, c.class FROM cover c WHERE EXISTS (SELECT 1 FROM fire f WHERE f.pixel_id = c.pixel_id)")
 def c3_cover_of_burned(v) -> DataFrame:
-    return v.cover.where("year = 2000").select("pixel_id", "class").join(v.fire.select("pixel_id"), "pixel_id", "left_semi")
+    return v.cover.select("pixel_id", "year", "class").join(v.fire.select("pixel_id"), "pixel_id", "left_semi")
 
 
 BOUNDS = "(SELECT min(year) AS lo, max(year) AS hi FROM fire) b, range(0, 100) r(k)"

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -14,12 +13,7 @@ from pyrocell.operators import catalog
 from pyrocell.plans.registry import query
 from pyrocell.plans.views import LAST_YEAR, YEARS
 from pyrocell.sources import scans
-
-
-def shared_path(spark) -> str:
-    """A new folder in the cluster's shared one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="products-")
-    return f"{base}/products-{datetime.now():%H%M%S%f}"
+from pyrocell.sources.shared import new_path
 
 
 @query("""SELECT pixel_id, x, y, acq_ts, sensor, scene_id, order_no, line_no FROM obs
@@ -92,9 +86,9 @@ def a9_years_to_rows(v) -> DataFrame:
     return scans.years_to_rows(wide, legacy=True)
 
 
-@query("SELECT c.pixel_id, c.year, c.class, CAST(m.m AS INT) AS month FROM cover c, range(1, 13) AS m(m) WHERE c.year = 1998")
+@query("SELECT c.pixel_id, c.year, c.class, CAST(m.m AS INT) AS month FROM cover c, range(1, 13) AS m(m)")
 def a10_months_of_cover(v) -> DataFrame:
-    return scans.months_of(v.cover.where("year = 1998").select("pixel_id", "year", "class"))
+    return scans.months_of(v.cover.select("pixel_id", "year", "class"))
 
 
 @query("SELECT event_id, ts, pixel_id, x, y FROM hotspots WHERE year(ts) = 2024 AND month(ts) IN (1, 2) AND x BETWEEN 0 AND 25 AND y BETWEEN 0 AND 20")
@@ -115,7 +109,7 @@ def a13_samples(v) -> DataFrame:
 
 @query("SELECT pixel_id, month, year FROM fire WHERE year IN (1996, 1997)")
 def a14_a15_a16_yearly_product(v) -> DataFrame:
-    path = shared_path(v.spark)
+    path = new_path(v.spark)
     scans.write_product(v.fire.select("pixel_id", "month", "year"), path)
     scans.write_product(v.fire.where("year = 1997").select("pixel_id", "month", "year"), path)
     return scans.scars_scan(v.spark, path, [1996, 1997]).select("pixel_id", "month", "year")
@@ -124,7 +118,7 @@ def a14_a15_a16_yearly_product(v) -> DataFrame:
 @query("SELECT year, class, sum(area_km2) * 100 AS area_ha FROM fire f JOIN cover_all c USING (pixel_id, year) JOIN territory t USING (pixel_id) GROUP BY 1, 2")
 def a17_statistics_csv(v) -> DataFrame:
     area = v.fire.select("pixel_id", "year").join(scans.carried_forward(v.cover).select("pixel_id", "year", "class"), ["pixel_id", "year"]).join(v.territory.select("pixel_id", "area_km2"), "pixel_id").groupBy("class", "year").agg((F.sum("area_km2") * 100).alias("area_ha"))
-    path = shared_path(v.spark)
+    path = new_path(v.spark)
     scans.write_statistics(area, path, ["year", "class", "area_ha"])
     return v.spark.read.schema("year int, class int, area_ha double").option("header", True).csv(path)
 

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pyrocell.plans.registry import query
-from pyrocell.plans.source_queries import shared_path
 from pyrocell.plans.views import HOTSPOTS
+from pyrocell.sources.shared import new_path
 from pyrocell.streaming import jobs
 
 
@@ -22,7 +20,7 @@ def stream(v) -> DataFrame:
 
 def drained(df: DataFrame, mode: str = "append") -> DataFrame:
     """What the stream gives, as a table written in the shared folder."""
-    spark, folder = df.sparkSession, f"{shared_path(df.sparkSession)}-{uuid.uuid4().hex}"
+    spark, folder = df.sparkSession, new_path(df.sparkSession)
 
     def put(batch: DataFrame, n: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/out/batch={n}")
@@ -56,9 +54,9 @@ def r3_not_yet_burned(v) -> DataFrame:
     return drained(jobs.not_yet_burned(stream(v).select("event_id", "pixel_id", "ts"), v.fire))
 
 
-@query("SELECT a.event_id, h.ts AS spot_ts FROM hotspots a JOIN hotspots h ON a.pixel_id = h.pixel_id AND a.ts >= h.ts AND a.ts <= h.ts + INTERVAL 2 DAY WHERE a.x < 10")
+@query("SELECT a.event_id, h.ts AS spot_ts FROM hotspots a JOIN hotspots h ON a.pixel_id = h.pixel_id AND a.ts >= h.ts AND a.ts <= h.ts + INTERVAL 2 DAY")
 def r4_near_hotspots(v) -> DataFrame:
-    seen = stream(v).where("x < 10").select("event_id", "pixel_id", F.col("ts").alias("acq_ts"))
+    seen = stream(v).select("event_id", "pixel_id", F.col("ts").alias("acq_ts"))
     return drained(jobs.near_hotspots(seen, stream(v).select("pixel_id", "ts"), 2).select("event_id", "spot_ts"))
 
 
@@ -69,8 +67,10 @@ def r5_episodes(v) -> DataFrame:
 
 @query("SELECT DISTINCT pixel_id, CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month FROM hotspots")
 def r6_upsert_months(v) -> DataFrame:
-    path = shared_path(v.spark) + uuid.uuid4().hex
-    months = stream(v).select("pixel_id", F.year("ts").alias("year"), F.month("ts").alias("month"))
-    for k in range(2):  # a second run over the same input leaves the same table
-        jobs.upsert_months(months, path, f"{path}-checkpoint-{k}").awaitTermination()
-    return v.spark.read.parquet(path).select("pixel_id", "year", "month")
+    """The events arrive in four files, one a batch, all of the same months; then once more, by another query."""
+    path = new_path(v.spark)
+    v.table("events").repartition(4, "event_id").write.parquet(f"{path}-arrived")
+    for k in range(2):
+        arriving = v.spark.readStream.schema(v.table("events").schema).option("maxFilesPerTrigger", 1).parquet(f"{path}-arrived").where("event_type = 'error'").selectExpr(*v._of(HOTSPOTS))
+        jobs.upsert_months(arriving.select("pixel_id", F.year("ts").alias("year"), F.month("ts").alias("month")), path, f"{path}-checkpoint-{k}").awaitTermination()
+    return jobs.months(v.spark, path)

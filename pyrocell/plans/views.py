@@ -36,6 +36,7 @@ TERRITORY = [
     "p_partkey AS pixel_id", "CAST(p_partkey % 50 AS INT) AS x", "CAST(p_partkey // 50 AS INT) AS y", "CAST(p_partkey % 25 % 5 + 1 AS INT) AS biome_id", "CAST(p_partkey % 25 + 1 AS INT) AS state_id",
     "CAST(p_size % 21 + 1 AS INT) AS tenure_id", "CAST(p_partkey % 97 AS INT) AS municipality_id", "CAST(CASE WHEN p_size % 7 = 0 THEN p_partkey % 6 + 1 ELSE 0 END AS INT) AS ti_id",
     "CAST(CASE WHEN p_size % 5 = 0 THEN p_partkey % 9 + 1 ELSE 0 END AS INT) AS uc_id", "CAST(0.25 AS DOUBLE) * (p_partkey % 8 + 1) AS area_km2",
+    *[f"CAST(CASE WHEN p_size % 11 = {k} THEN p_partkey % {7 + k} + 1 END AS INT) AS {c}" for k, c in enumerate(["uc_state_strict", "uc_state_use", "uc_federal_strict", "uc_federal_use"])],
 ]
 HOTSPOTS = ["event_id", "ts", "user_id AS pixel_id", "CAST(user_id % 50 AS INT) AS x", "CAST(user_id // 50 AS INT) AS y", "value"]
 

@@ -7,8 +7,11 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pyrocell.operators import classify, zonal
+from pyrocell.functions import products
+from pyrocell.operators import classify, scars, series, zonal
+from pyrocell.plans.mask_queries import SIZES, TABLE
 from pyrocell.plans.registry import query
+from pyrocell.plans.views import YEARS
 from pyrocell.sources import scans
 
 
@@ -35,13 +38,56 @@ def c12_d10_zonal_area(v) -> DataFrame:
     return zonal.zonal_area(burned(v).withColumn("territory", F.col("biome_id") * 100 + F.col("state_id")), ["territory", "class", "year"])
 
 
-UNITS = {"biome": "biome_id", "state": "biome_id, state_id", "tenure": "biome_id, state_id, tenure_id", "indigenous": "biome_id, state_id, ti_id", "protected": "biome_id, state_id, uc_id", "municipality": "biome_id, municipality_id"}
-ALL = ["biome_id", "state_id", "tenure_id", "ti_id", "uc_id", "municipality_id"]
-
-
-@query(" UNION ALL ".join(f"SELECT f.year, c.class, {', '.join(x if x in cs.split(', ') else f'CAST(NULL AS INT) AS {x}' for x in ALL)}, sum(t.area_km2) * 100 AS area_ha, '{u}' AS unit FROM {BURNED} GROUP BY f.year, c.class, {cs}" for u, cs in UNITS.items()))
+def products_of(v) -> DataFrame:
+    """One row for each pixel and year with a value of some product, its land cover and territory."""
+    keys = ["pixel_id", "year"]
+    last = max(YEARS) + 1
+    burns = v.fire.select(*keys, F.lit(1).alias("annual_burned"), F.col("month").alias("monthly_burned"), "x", "y")
+    labelled, table = scars.scars_of(v.fire, 1.0e8)
+    sizes = scars.painted(labelled, table).select("x", "y", "year", F.col("size_class").alias("scar_size_range"))
+    burns = burns.join(sizes, ["x", "y", "year"]).drop("x", "y")
+    so_far = series.running_frequency(v.fire, YEARS[0], last).where("so_far > 0").select(*keys, F.col("so_far").alias("fire_frequency"), F.lit(1).alias("accumulated_burned"))
+    times = series.chronosequence(v.fire, YEARS[0], last).where(f"year <= {last}").select(*keys, F.col("year_last").alias("year_last_fire"), F.col("time_after").alias("time_after_fire"))
+    wide = times.join(so_far, keys, "left").join(burns, keys, "left").join(scans.carried_forward(v.cover).select(*keys, "class"), keys, "left")
+    land = v.territory.drop("x", "y").withColumn("ti_id", F.nullif("ti_id", F.lit(0)))
+    return zonal.product_rows(wide).join(land, "pixel_id")
+
+
+PACKED = {
+    "biome": "biome_id", "state": "biome_id * 100 + state_id", "tenure": "biome_id * 10000 + state_id * 100 + tenure_id", "indigenous": "biome_id * 1000000 + nullif(ti_id, 0)",
+    "protected_state_strict": "biome_id * 1000000 + uc_state_strict", "protected_state_use": "biome_id * 1000000 + uc_state_use", "protected_federal_strict": "biome_id * 1000000 + uc_federal_strict",
+    "protected_federal_use": "biome_id * 1000000 + uc_federal_use", "municipality": "biome_id * 10000000 + municipality_id", "municipality_alone": "municipality_id", "indigenous_alone": "nullif(ti_id, 0)",
+}
+TIMES = "SELECT s.pixel_id, s.year, max(CASE WHEN f.year < s.year THEN f.year END) AS last_burn, max((f.year = s.year)::INT) AS burned, sum((f.year <= s.year)::INT) AS so_far FROM (SELECT p.pixel_id, CAST(y AS INT) AS year FROM (SELECT DISTINCT pixel_id FROM fire) p, range(1995, 2002) r(y)) s JOIN fire f USING (pixel_id) GROUP BY 1, 2"
+WIDE = f"""SELECT t.pixel_id, t.year, CASE WHEN f.pixel_id IS NOT NULL THEN 1 END AS annual_burned, f.month AS monthly_burned, nullif(t.so_far, 0) AS fire_frequency, t.last_burn AS year_last_fire,
+  z.size_class AS scar_size_range, coalesce(t.year - t.last_burn, CASE WHEN t.burned = 1 THEN 0 END) AS time_after_fire, CASE WHEN t.so_far > 0 THEN 1 END AS accumulated_burned, c.class
+FROM ({TIMES}) t LEFT JOIN fire f USING (pixel_id, year) LEFT JOIN z ON z.x = f.x AND z.y = f.y AND z.year = f.year LEFT JOIN cover_all c ON c.pixel_id = t.pixel_id AND c.year = t.year"""
+ALL_UNITS = f"""{TABLE}, z AS ({SIZES}), w AS ({WIDE}),
+p AS ({' UNION ALL '.join(f"SELECT pixel_id, year, '{n}' AS product, CAST({n} AS INT) AS value FROM w WHERE {n} IS NOT NULL UNION ALL SELECT pixel_id, year, '{n}_coverage', CAST({n} * 100 + class AS INT) FROM w WHERE {n} IS NOT NULL AND class IS NOT NULL" for n in zonal.PRODUCTS)}),
+o AS ({' UNION ALL '.join(f"SELECT pixel_id, area_km2, '{n}' AS unit, CAST({e} AS BIGINT) AS territory FROM territory WHERE ({e}) IS NOT NULL" for n, e in PACKED.items())}),
+a AS (SELECT product, value, year, unit, territory, sum(area_km2) * 100 AS area_ha FROM p JOIN o USING (pixel_id) GROUP BY 1, 2, 3, 4, 5)"""
+
+
+@query(f"{ALL_UNITS} SELECT * FROM a")
 def d11_all_units(v) -> DataFrame:
-    return zonal.all_units(burned(v), ["year", "class"])
+    """All fourteen products by all territory units."""
+    return zonal.all_units(products_of(v), ["product", "value", "year"])
+
+
+@query(f"""WITH o AS ({' UNION ALL '.join(f"SELECT pixel_id, area_km2, '{n}' AS unit, CAST({e} AS BIGINT) AS territory FROM territory WHERE ({e}) IS NOT NULL" for n, e in PACKED.items())}),
+a AS (SELECT f.month, c.class, f.year, unit, territory, sum(area_km2) * 100 AS area_ha FROM fire f JOIN cover_all c USING (pixel_id, year) JOIN o USING (pixel_id) GROUP BY 1, 2, 3, 4, 5),
+d AS (SELECT *, CAST(CASE unit WHEN 'biome' THEN territory WHEN 'state' THEN territory // 100 WHEN 'tenure' THEN territory // 10000 WHEN 'municipality' THEN territory // 10000000 WHEN 'municipality_alone' THEN NULL WHEN 'indigenous_alone' THEN NULL ELSE territory // 1000000 END AS INT) AS biome_id,
+  CAST(CASE unit WHEN 'state' THEN territory % 100 WHEN 'tenure' THEN territory // 100 % 100 END AS INT) AS state_id FROM a)
+SELECT year, unit, territory, biome_id, biome AS biome_id_name, state_id, state AS state_id_name, CAST(month AS INT) AS month, class, class_name, area_ha FROM d LEFT JOIN biomes b ON b.code = biome_id LEFT JOIN states s ON s.code = state_id LEFT JOIN legend l ON l.code = class""")
+def c12_b30_named_units(v) -> DataFrame:
+    """Monthly burns crossed with land cover by all units; the packed codes of both taken apart and named."""
+    land = v.territory.drop("x", "y").withColumn("ti_id", F.nullif("ti_id", F.lit(0)))
+    crossed = zonal.product_rows(burned(v).select("pixel_id", "year", "class", F.col("month").alias("monthly_burned")), ["monthly_burned"]).where("product = 'monthly_burned_coverage'").join(land, "pixel_id")
+    area = zonal.all_units(crossed, ["value", "year"])
+    named = zonal.named_units(area, {"biome_id": v.biomes.withColumnRenamed("biome", "name"), "state_id": v.states.withColumnRenamed("state", "name")})
+    month, cls = products.unpacked(F.col("value"))
+    out = zonal.decoded(named.withColumns({"month": month, "class": cls}), v.legend, "class", ["class_name"])
+    return out.select("year", "unit", "territory", "biome_id", "biome_id_name", "state_id", "state_id_name", "month", "class", "class_name", "area_ha")
 
 
 @query("SELECT year, month, sum(area_km2) * 100 AS area_ha FROM fire JOIN territory USING (pixel_id) GROUP BY ROLLUP (year, month) HAVING year IS NOT NULL")
@@ -49,15 +95,24 @@ def d12_area_by_period(v) -> DataFrame:
     return zonal.area_by_period(v.fire.withColumn("value", F.lit(1.0)).join(v.territory.select("pixel_id", "area_km2"), "pixel_id"))
 
 
-@query("""SELECT x // 4 AS x, y // 4 AS y, min(class) AS value FROM (SELECT *, max(n) OVER (PARTITION BY x // 4, y // 4) AS most FROM (SELECT x, y, class, count(*) OVER (PARTITION BY x // 4, y // 4, class) AS n FROM cover WHERE year = 1998)) WHERE n = most GROUP BY 1, 2""")
+def modes(levels: list[int]) -> str:
+    cells = " UNION ALL ".join(f"SELECT year, x // {1 << n} AS x, y // {1 << n} AS y, CAST({n} AS INT) AS level, class, count(*) AS n FROM cover GROUP BY ALL" for n in levels)
+    return f"SELECT year, level, x, y, min(class) AS value FROM (SELECT *, max(n) OVER (PARTITION BY year, level, x, y) AS most FROM ({cells})) WHERE n = most GROUP BY 1, 2, 3, 4"
+
+
+@query(f"SELECT year, x, y, value FROM ({modes([2])})")
 def d15_overview_mode(v) -> DataFrame:
-    return zonal.overview(v.cover.where("year = 1998").withColumnRenamed("class", "value"), 2, how="mode")
+    return zonal.overview(v.cover.withColumnRenamed("class", "value"), 2, how="mode", keys=["year"])
 
 
-@query("SELECT x // 4 AS x, y // 4 AS y, median(class)::DOUBLE AS median_value, avg(class::DOUBLE) AS mean_value FROM cover WHERE year = 1998 GROUP BY 1, 2")
+@query(modes([1, 2, 3, 4]))
+def d15_pyramid(v) -> DataFrame:
+    return zonal.pyramid(v.cover.withColumnRenamed("class", "value"), [1, 2, 3, 4], keys=["year"])
+
+
+@query("SELECT year, x // 4 AS x, y // 4 AS y, median(class)::DOUBLE AS median_value, avg(class::DOUBLE) AS mean_value FROM cover GROUP BY 1, 2, 3")
 def d15_overview_median_mean(v) -> DataFrame:
-    one = v.cover.where("year = 1998").withColumnRenamed("class", "value")
-    return zonal.overview(one, 2, how="median").withColumnRenamed("value", "median_value").join(zonal.overview(one, 2, how="mean").withColumnRenamed("value", "mean_value"), ["x", "y"])
+    return zonal.overview(v.cover.withColumnRenamed("class", "value"), 2, how=["median", "mean"], keys=["year"])
 
 
 def triangles(v) -> DataFrame:
@@ -90,9 +145,9 @@ def b29_remapped(v) -> DataFrame:
     return zonal.remapped(v.territory.select("pixel_id", "tenure_id"), pairs, "tenure_id")
 
 
-@query("SELECT t.pixel_id, l.class_name, l.origin FROM cover t LEFT JOIN legend l ON l.code = t.class WHERE t.year = 1998")
+@query("SELECT t.pixel_id, t.year, l.class_name, l.origin FROM cover t LEFT JOIN legend l ON l.code = t.class")
 def b30_decoded(v) -> DataFrame:
-    return zonal.decoded(v.cover.where("year = 1998"), v.legend, "class", ["class_name", "origin"]).select("pixel_id", "class_name", "origin")
+    return zonal.decoded(v.cover, v.legend, "class", ["class_name", "origin"]).select("pixel_id", "year", "class_name", "origin")
 
 
 @query("SELECT c_custkey AS id, concat(upper(c_mktsegment[1]), lower(c_mktsegment[2:])) AS label, try_cast(replace(c_name, 'Customer#', '') AS INT) AS number FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')")
@@ -127,7 +182,10 @@ def m3_inference(v) -> DataFrame:
     return classify.infer(s, classify.weights_from_json(WEIGHTS)).where("prediction IS NOT NULL").select("order_no", "line_no", "prediction")
 
 
-@query()
+HASHED = "md5(concat_ws('-', {}, order_no, line_no, pixel_id))"
+
+
+@query(f"SELECT {HASHED.format(0)} < 'b3333333' AS training, count(*) AS n FROM obs GROUP BY 1")
 def f4_training_split(v) -> DataFrame:
     """How many observations are for training and for validation."""
     s = v.obs.select("order_no", "line_no", "pixel_id").withColumn("training", classify.in_training("order_no", "line_no", "pixel_id"))
@@ -145,13 +203,24 @@ def m2_m5_d17_trained_accuracy(v) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-@query()
+@query(f"SELECT order_no, line_no, pixel_id, red_dn / 10000.0::DOUBLE AS red, nir_dn / 10000.0::DOUBLE AS nir, swir1_dn / 10000.0::DOUBLE AS swir1, swir2_dn / 10000.0::DOUBLE AS swir2, label FROM obs ORDER BY {HASHED.format(3)}, order_no, line_no, pixel_id LIMIT 1000")
 def f5_batch_sample(v) -> DataFrame:
     return classify.batch_sample(samples(v), 1000, 3, "order_no", "line_no", "pixel_id")
 
 
-@query()
+def squares(name: str, low: int, high: int) -> str:
+    return f"range({low}, {high + 1}) {name}1({name}x), range({low}, {high + 1}) {name}2({name}y)"
+
+
+S = "region, year, scene_id"
+FOUND = "SELECT DISTINCT sensor AS region, CAST(year(acq_ts) AS INT) AS year, month(acq_ts) AS scene_id, x, y FROM obs WHERE sensor <> 'LT05' AND greatest(red_dn / 10000.0::DOUBLE - 1.0 - 0.1::DOUBLE, 0) + greatest((nir_dn / 10000.0::DOUBLE - 1.0) - (swir2_dn / 10000.0::DOUBLE - 1.0), 0) > 0.25"
+OPEN = f"SELECT DISTINCT {S}, x + gx AS x, y + gy AS y FROM (SELECT {S}, x + ax AS x, y + ay AS y FROM ({FOUND}), {squares('a', -1, 0)} GROUP BY ALL HAVING count(*) = 4), range(0, 2) g1(gx), range(0, 2) g2(gy)"
+CLOSED = f"SELECT {S}, x, y FROM (SELECT {S}, x + dx AS x, y + dy AS y FROM (SELECT DISTINCT {S}, x + cx AS x, y + cy AS y FROM ({OPEN}), {squares('c', 0, 3)}), {squares('d', -3, 0)}) GROUP BY ALL HAVING count(*) = 16"
+
+
+@query(f"SELECT DISTINCT region, year, CAST(x AS INT) AS x, CAST(y AS INT) AS y, CAST(1 AS INT) AS value FROM ({CLOSED})")
 def m4_i6_classification_job(v) -> DataFrame:
-    comp = samples(v).join(v.obs.select("order_no", "line_no", "pixel_id", "x", "y", F.col("sensor").alias("region"), F.year("acq_ts").alias("year")), ["order_no", "line_no", "pixel_id"]).withColumn("scene_id", F.lit("all"))
-    pending = comp.where("year = 1997").select("region", "year").distinct()
+    """All years of three sensors' regions are pending; a scene is a month."""
+    comp = v.obs.select("x", "y", *[(F.col(f"{b}_dn") / 10000.0).alias(b) for b in classify.INPUTS], F.col("sensor").alias("region"), F.year("acq_ts").alias("year"), F.month("acq_ts").alias("scene_id"))
+    pending = comp.where("region <> 'LT05'").select("region", "year").distinct()
     return classify.classification_job(comp, classify.weights_from_json(WEIGHTS), pending, 2, 4)

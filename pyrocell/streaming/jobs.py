@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -37,10 +39,27 @@ def episodes(hotspots: DataFrame, gap: str = "3 days", late: str = "1 day") -> D
 
 
 def upsert_months(stream: DataFrame, path: str, checkpoint: str):
-    """Writes each batch's months (pixel_id, year, month) as partitions, replacing those already there; a batch run
-    twice leaves the same table."""
+    """Adds each batch's (pixel_id, year, month) to the months it touches, in a part of its own below each month.
+
+    A part is named by the query (its checkpoint) and the batch, and a batch run again replaces its own parts only; so
+    batches add to months that are already there, and a replay leaves the same table. Nothing already written is read
+    or moved; ``months`` reads the table, ``compacted`` folds its parts.
+    """
+    writer = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
-    def put(batch: DataFrame, _: int) -> None:
-        batch.dropDuplicates(["pixel_id", "year", "month"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
+    def put(batch: DataFrame, n: int) -> None:
+        rows = batch.select("pixel_id", "year", "month").distinct().withColumn("part", F.lit(f"{writer}-{n}"))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month", "part").parquet(path)
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def months(spark: SparkSession, path: str) -> DataFrame:
+    """The table that ``upsert_months`` keeps: (pixel_id, year, month) without repeats, whatever batches they came in."""
+    schema = "pixel_id long, year int, month int, part string"
+    return spark.read.schema(schema).parquet(path).select("pixel_id", "year", "month").distinct()
+
+
+def compacted(spark: SparkSession, path: str, to: str) -> None:
+    """The table with one part for each month, written elsewhere; readers and writers then move to it."""
+    months(spark, path).withColumn("part", F.lit("compacted")).repartition("year", "month").write.partitionBy("year", "month", "part").parquet(to)

@@ -41,14 +41,60 @@ def test_split_takes_seven_tenths_of_the_same_rows(spark):
     assert 0.67 < n[True] / (n[True] + n[False]) < 0.73
 
 
-def test_batch_sample_is_whole_and_distinct(spark):
-    rows = QUERIES["f5_batch_sample"](spark, SF).collect()
-    assert len(rows) == 1000 and len({(r["order_no"], r["line_no"], r["pixel_id"]) for r in rows}) >= 990
-
-
-def test_classification_job_is_a_filtered_inference(spark):
-    rows = prepared(QUERIES["m4_i6_classification_job"])(spark, SF).collect()
-    assert rows and {r["value"] for r in rows} == {1} and {r["year"] for r in rows} == {1997}
+def test_months_are_added_to_and_replays_change_nothing(spark, tmp_path):
+    """Three micro-batches of one month, a replay of one of them, and a second query."""
+    from pyrocell.streaming import jobs
+
+    schema, path = "pixel_id long, year int, month int", str(tmp_path / "months")
+    for k in range(3):
+        spark.createDataFrame([(k, 2024, 1), (9, 2024, 1), (k, 2024, 2 + k)], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    want = sorted([(0, 2024, 1), (1, 2024, 1), (2, 2024, 1), (9, 2024, 1), (0, 2024, 2), (1, 2024, 3), (2, 2024, 4)])
+    q = jobs.upsert_months(stream(), path, str(tmp_path / "c"))
+    q.awaitTermination()
+    assert sorted(map(tuple, jobs.months(spark, path).collect())) == want and len(q.recentProgress) >= 3
+    (tmp_path / "c" / "commits" / "2").unlink()  # as after a crash between a batch's write and its commit
+    for f in (tmp_path / "c" / "commits").glob(".2.*"):
+        f.unlink()
+    jobs.upsert_months(stream(), path, str(tmp_path / "c")).awaitTermination()
+    assert sorted(map(tuple, jobs.months(spark, path).collect())) == want
+    spark.createDataFrame([(77, 2024, 1)], schema).write.parquet(str(tmp_path / "more"))
+    jobs.upsert_months(spark.readStream.schema(schema).parquet(str(tmp_path / "more")), path, str(tmp_path / "d")).awaitTermination()
+    assert sorted(map(tuple, jobs.months(spark, path).collect())) == sorted([*want, (77, 2024, 1)])
+    jobs.compacted(spark, path, str(tmp_path / "small"))
+    assert sorted(map(tuple, jobs.months(spark, str(tmp_path / "small")).collect())) == sorted([*want, (77, 2024, 1)])
+
+
+def test_polygons_by_the_ray_test(spark):
+    """Concave, self-crossing, clockwise and two-of-a-code polygons, points on edges and corners, empty rings."""
+    from pyspark.sql import functions as F
+
+    from pyrocell.functions.optics import inside_ring
+    from pyrocell.operators import zonal
+
+    rings = [
+        (1, [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (5.0, 4.0), (0.0, 10.0)]), (2, [(2.0, 2.0), (300.5, 2.0), (150.0, 30.7)]), (2, [(2.0, 20.0), (2.0, 28.0), (12.0, 28.0), (12.0, 20.0)]),
+        (3, [(0.0, 0.0), (20.0, 20.0), (20.0, 0.0), (0.0, 20.0)]), (4, [(5.0, 5.0)]), (5, []), (6, [(-3.5, -2.0), (4.0, -2.5), (3.0, 6.0)]),
+    ]
+    polygons = spark.createDataFrame([(c, [{"lon": x, "lat": y} for x, y in r]) for c, r in rings], "code int, ring array<struct<lon: double, lat: double>>")
+    pixels = spark.range(310 * 36).selectExpr("cast(id % 310 - 4 as int) AS x", "cast(id div 310 - 4 as int) AS y")
+    want = pixels.crossJoin(polygons).where(inside_ring(F.col("x").cast("double"), F.col("y").cast("double"), F.col("ring"))).select("x", "y", "code")
+    got = zonal.labelled_by_polygon(pixels, polygons, cell=64)
+    assert rows_of(got) == rows_of(want) and got.count() > 4000
+    assert zonal.labelled_by_polygon(pixels, polygons.limit(0)).count() == 0
+
+
+def test_unit_codes_come_apart(spark):
+    from pyspark.sql import functions as F
+
+    from pyrocell.operators import zonal
+
+    df = spark.createDataFrame([(3, 41, 7, 123456), (6, 9, 99, 1)], "biome_id int, state_id int, tenure_id int, ti_id int")
+    for name in ("state", "tenure", "indigenous"):
+        unit = zonal.UNITS[name]
+        for r in df.select("*", *[c.alias(f"got_{k}") for k, c in zonal.unpacked_code(zonal.packed_code(unit), unit).items()]).collect():
+            assert all(r[k] == r[f"got_{k}"] for k in unit)
+    assert df.select(zonal.packed_code({"biome_id": 100, "none": 1}).alias("c") if "none" in df.columns else F.lit(None).alias("c")).first()["c"] is None
 
 
 def test_entry_runs(spark):
