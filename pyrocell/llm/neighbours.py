@@ -2,8 +2,8 @@
 
 A vector is written as a sum of one codeword from each of several full-dimensional codebooks, found by beam search;
 the norm of the sum is stored. A query's products with all codewords are one look-up table, so its distance to a coded
-vector is a few table entries and that norm. Each block of candidates gives every query its best by the table; these
-are measured exactly, and the blocks' results meet in a top-k by query.
+vector is a few table entries and that norm. Only codes and norms meet the queries, block by block; every query gets
+one shortlist from all blocks, and only the shortlist's vectors are fetched, by one join, and measured exactly.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Vectors that the codebooks are fitted on, at most (those with the smallest hashes of their ids).
-FIT_ROWS = 8192
+FIT_ROWS = 16384
 
 
 @dataclass
@@ -26,18 +26,24 @@ class Codebooks:
 
     words: np.ndarray
 
-    def encode(self, x: np.ndarray, beam: int = 4) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, x: np.ndarray, beam: int = 2) -> tuple[np.ndarray, np.ndarray]:
         """Codes (n, m) and squared norms of the sums, the best of ``beam`` partial sums kept at every codebook."""
         n, (books, size, _) = len(x), self.words.shape
         if not n:
             return np.zeros((0, books), np.uint8), np.zeros(0, np.float32)
-        rest, codes = x[:, None, :].astype(np.float32), np.zeros((n, 1, 0), np.uint8)
+        rest, codes, each = x[:, None, :].astype(np.float32), np.zeros((n, 1, 0), np.uint8), np.arange(n)
         for m in range(books):
             w = self.words[m]
-            error = (rest * rest).sum(axis=2)[:, :, None] - 2 * rest @ w.T + (w * w).sum(axis=1)
+            error = (rest.reshape(-1, w.shape[1]) @ (-2 * w.T)).reshape(n, -1, size)  # one product of two matrices
+            error += (w * w).sum(axis=1)
+            if rest.shape[1] > 1:
+                error += np.einsum("nbd,nbd->nb", rest, rest)[:, :, None]
             flat = error.reshape(n, -1)
             keep = min(beam if m < books - 1 else 1, flat.shape[1])
-            best = np.argpartition(flat, keep - 1, axis=1)[:, :keep]
+            best = np.empty((n, keep), np.int64)
+            for j in range(keep):  # the few least, one by one
+                best[:, j] = flat.argmin(axis=1)
+                flat[each, best[:, j]] = np.inf
             source, word = best // size, best % size
             rest = np.take_along_axis(rest, source[:, :, None], 1) - w[word]
             codes = np.concatenate([np.take_along_axis(codes, source[:, :, None], 1), word[:, :, None].astype(np.uint8)], axis=2)
@@ -49,7 +55,7 @@ class Codebooks:
         return np.einsum("qd,mkd->qmk", queries.astype(np.float32), self.words, optimize=True)
 
 
-def fit(x: np.ndarray, books: int = 16, size: int = 256, steps: int = 5, seed: int = 11) -> Codebooks:
+def fit(x: np.ndarray, books: int = 32, size: int = 256, steps: int = 5, seed: int = 11) -> Codebooks:
     """k-means of what the codebooks before leave over, codebook by codebook."""
     rng, rest, words = np.random.default_rng(seed), x.astype(np.float32), []
     size = min(size, max(1, len(x)))
@@ -69,10 +75,16 @@ def fit(x: np.ndarray, books: int = 16, size: int = 256, steps: int = 5, seed: i
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(id, v) of the vectors that take part: finite components, not all zero."""
     ok = F.col("v").isNotNull() & F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists("v", lambda c: c != 0)
-    return df.select(df[id_col].cast("long").alias("id"), df[vector_col].cast("array<double>").alias("v")).where(F.col("id").isNotNull() & ok)
+    kind = df.schema[vector_col].dataType.simpleString()
+    vector = df[vector_col] if kind == "array<float>" else df[vector_col].cast("array<double>")
+    return df.select(df[id_col].cast("long").alias("id"), vector.alias("v")).where(F.col("id").isNotNull() & ok)
 
 
-def search(df: DataFrame, every: int = 100, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", books: int = 16, beam: int = 4, block: int = 4096, query_block: int = 2048, shortlist: int = 192) -> DataFrame:
+#: Queries that meet a block of candidates at once: as many as fit in so many bytes.
+QUERY_BYTES = 16 << 20
+
+
+def search(df: DataFrame, every: int = 100, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", books: int = 32, beam: int = 2, block: int = 1 << 16, shortlist: int = 256) -> DataFrame:
     """The ``k`` nearest found of each vector whose id is divisible by ``every``, its own id left out.
 
     Columns query_id, rank (from 1), vec_id, score: Euclidean distance of the original vectors in double precision,
@@ -80,7 +92,10 @@ def search(df: DataFrame, every: int = 100, k: int = 10, id_col: str = "vec_id",
     part, nor do null ids; of vectors of unequal length only those of the commonest take part (ties: the longest).
     A query id that is there twice is asked once, with the least vector; repeated candidates count row by row.
     An empty table gives an empty result. The codebooks are fitted on at most FIT_ROWS vectors; every row is coded
-    and scored. Work grows with queries times candidates, in blocks of bounded size.
+    and scored by the table, ``shortlist`` (``k`` at least) of each query exactly.
+
+    Codes are shuffled once for each QUERY_BYTES of queries (a few dozen bytes a row), full vectors once, for the
+    shortlists. Work on codes grows with queries times candidates, in blocks of bounded size.
     """
     spark = df.sparkSession
     rows = usable(df, id_col, vector_col)
@@ -99,35 +114,48 @@ def search(df: DataFrame, every: int = 100, k: int = 10, id_col: str = "vec_id",
             for a in range(0, len(pdf), 1024):
                 part = pdf.iloc[a : a + 1024]
                 codes, norms = of.encode(np.stack(part["v"].to_numpy()), beam)
-                yield part.assign(codes=[c.tobytes() for c in codes], norm=norms.astype(float))
+                yield pd.DataFrame({"id": part["id"].to_numpy(), "codes": [c.tobytes() for c in codes], "norm": norms})
 
-    coded = rows.mapInPandas(code, "id long, v array<double>, codes binary, norm double")
+    coded = rows.mapInPandas(code, "id long, codes binary, norm float")
     queries = rows.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v"))
-    parts, groups = max(1, -(-n // block)), max(1, -(-n // every // query_block))
-    left = coded.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    spread = min(spark.sparkContext.defaultParallelism, -(-n // 4096))  # small tables use all cores too
+    parts, groups = max(1, spread, -(-n // block)), max(1, -(-n // every * dim * 8 // QUERY_BYTES))
+    left = coded.withColumn("part", F.pmod(F.xxhash64("id", "codes"), F.lit(parts)).cast("int")).withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     right = queries.withColumn("group", F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
+    most = max(shortlist, k)
+
     def best(candidates: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if not len(candidates) or not len(asked):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        ids, x = candidates["id"].to_numpy(), np.stack(candidates["v"].to_numpy())
-        codes = np.frombuffer(b"".join(candidates["codes"]), np.uint8).reshape(len(ids), -1)
+            return pd.DataFrame({"query_id": [], "vec_id": [], "rough": []})
+        candidates = candidates.sort_values("id")
+        ids = candidates["id"].to_numpy()
+        codes = np.frombuffer(b"".join(candidates["codes"]), np.uint8).reshape(len(ids), -1).T
         norms, of, found = candidates["norm"].to_numpy(np.float32), Codebooks(books_at.value), []
         q_ids, q = asked["id"].to_numpy(), np.stack(asked["v"].to_numpy())
-        for a in range(0, len(q), 256):
-            table = of.products(q[a : a + 256])
-            rough = np.repeat(norms[None], len(table), 0)
-            for m in range(codes.shape[1]):
-                rough -= 2 * table[:, m, :][:, codes[:, m]]
-            rough[q_ids[a : a + 256, None] == ids[None]] = np.inf
-            short = np.argpartition(rough, shortlist - 1, axis=1)[:, :shortlist] if len(ids) > shortlist else np.repeat(np.arange(len(ids))[None], len(table), 0)
-            for i, s in enumerate(short, a):
-                s = s[ids[s] != q_ids[i]]
-                d = np.sqrt(((x[s] - q[i]) ** 2).sum(axis=1))
-                o = np.lexsort((ids[s], d))[:k]
-                found.append(pd.DataFrame({"query_id": q_ids[i], "vec_id": ids[s][o], "score": d[o]}))
-        return pd.concat(found)
-
-    near = left.groupBy("part", "group").cogroup(right.groupBy("part", "group")).applyInPandas(best, "query_id long, vec_id long, score double")
+        for a in range(0, len(q), 64):
+            table = -2 * of.products(q[a : a + 64])
+            for i, t in enumerate(table, a):
+                rough = norms.copy()
+                for m, c in enumerate(codes):
+                    rough += t[m][c]
+                own = ids == q_ids[i]
+                rough[own] = np.inf
+                few = min(most, len(ids) - int(own.sum()))
+                edge = np.partition(rough, few - 1)[few - 1] if few else -np.inf
+                under = np.flatnonzero(rough < edge)
+                s = np.concatenate([under, np.flatnonzero(rough == edge)[: few - len(under)]])  # ties: the smaller ids
+                found.append((np.full(few, q_ids[i]), ids[s], rough[s]))
+        query, near, rough = (np.concatenate(x) for x in zip(*found, strict=True))
+        return pd.DataFrame({"query_id": query, "vec_id": near, "rough": rough})
+
+    near = left.groupBy("part", "group").cogroup(right.groupBy("part", "group")).applyInPandas(best, "query_id long, vec_id long, rough float")
+    by_table = Window.partitionBy("query_id").orderBy("rough", "vec_id")
+    short = near.withColumn("place", F.row_number().over(by_table)).where(F.col("place") <= most)
+    # An id that is there more than once came with each of its rows, and fetches them all: once is enough.
+    pairs = short.select("query_id", "vec_id").distinct()
+    fetched = pairs.join(rows.select(F.col("id").alias("vec_id"), F.col("v").alias("there")), "vec_id").join(queries.select(F.col("id").alias("query_id"), "v"), "query_id")
+    square = F.aggregate(F.zip_with("there", "v", lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double"))), F.lit(0.0), lambda x, y: x + y)
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return near.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    scored = fetched.select("query_id", "vec_id", F.sqrt(square).alias("score"))
+    return scored.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

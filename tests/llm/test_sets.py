@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 
@@ -142,6 +143,33 @@ def test_recall_and_exact_scores(spark):
     assert hit / (10 * len(found)) >= 0.9
 
 
+def test_recall_on_many_vectors(spark):
+    """50 000 unit vectors about ten centres: the nearest are hardly nearer than the next, so the table must be fine."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(50_000, 32)) + 1.5 * rng.normal(size=(10, 32))[rng.integers(0, 10, 50_000)]
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    x[777:1777:5] = x[777]  # and 200 copies of one
+    table = pa.table({"vec_id": np.arange(len(x)), "embedding": pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), 32).cast(pa.list_(pa.float32()))})
+    df = spark.createDataFrame(table).repartition(8)
+    found = {}
+    for r in neighbours.search(df, every=500).collect():
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert len(found) == 100 and all(len(v) == 10 for v in found.values())
+    x, hit = x.astype(float), 0
+    for q, got in found.items():
+        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        want = [i for i in np.lexsort((np.arange(len(x)), d)) if i != q][:10]
+        hit += len(set(want) & set(got))
+    assert hit >= 0.95 * 10 * len(found)
+
+
+def test_shuffled_columns_are_codes_not_vectors(spark):
+    """What meets the queries holds a code of a byte for each codebook, never the vectors."""
+    df = spark.createDataFrame([(i, [float(i % 7), float(i % 5), 1.0]) for i in range(600)], "vec_id long, embedding array<float>")
+    plan = neighbours.search(df)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInPandas" in plan and not re.search(r"FlatMapCoGroupsInPandas[^\n]*v#\d+[^\n]*codes", plan)
+
+
 def test_neighbour_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [0.0, 0.0]), (2, None), (100, [1.0, None]), (3, [1.0, 2.0]), (200, [nan, 1.0]), (300, [inf, 1.0]), (4, [1.0, 2.0]), (5, [1.0]), (None, [1.0, 1.0])]
