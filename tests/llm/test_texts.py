@@ -300,8 +300,52 @@ def test_nulls_and_repeated_rows_stay(spark):
     assert sorted(r["status"] for r in calls if r["conv_id"] == 2) == ["missing turn"] * 2 + ["repeated id"] * 2
 
 
+def brute_order(calls):
+    """Anchors and depths by definition, on one conversation's calls: id -> (at, after)."""
+    anchor = {i: at for i, (at, _) in calls.items()}
+    while True:
+        new = {i: max([anchor[i], *(anchor[u] for u in after if u in calls)]) for i, (_, after) in calls.items()}
+        if new == anchor:
+            break
+        anchor = new
+    tight = {i: {u for u in after if u in calls and anchor[u] == anchor[i]} for i, (_, after) in calls.items()}
+    depth, level, left = {}, 0, set(calls)
+    while free := {i for i in left if not tight[i] & left}:
+        depth |= dict.fromkeys(free, level)
+        left, level = left - free, level + 1
+    order = sorted(calls, key=lambda i: (anchor[i], i in left, depth.get(i, -1), calls[i][0], i))
+    return {i: (k, i in left) for k, i in enumerate(order)}
+
+
+@pytest.mark.parametrize(("ranges", "fold"), [(1024, 8), (2, 1)])
+def test_order_by_brute_force(spark, monkeypatch, ranges, fold):
+    monkeypatch.setattr(chat, "TURNS_BY_RANGE", ranges)
+    monkeypatch.setattr(chat, "FOLD", fold)
+    rnd = random.Random(ranges)
+    made, want = [], {}
+    for conv in range(40):
+        n = rnd.randint(1, 9)
+        ids = [f"c{k}" for k in range(n)]
+        calls = {i: ((k // 2, k % 2), [rnd.choice([*ids, "none"]) for _ in range(rnd.choice([0, 0, 1, 1, 2]))]) for k, i in enumerate(ids)}
+        if conv == 0:  # a long chain against the text's order
+            ids = [f"c{k:02}" for k in range(14)]
+            calls = {i: ((k, 0), [ids[k + 1]] if k < 13 else []) for k, i in enumerate(ids)}
+        want |= {(conv, i): v for i, v in brute_order(calls).items()}
+        made += [(conv, at[0], at[1], i, "f", "{}", after) for i, (at, after) in calls.items()]
+    df = spark.createDataFrame(made, "conv_id long, turn long, place int, call_id string, name string, arguments string, after array<string>")
+    got = {(r["conv_id"], r["call_id"]): (r["position"], r["depth"] < 0) for r in chat.positions(df).collect()}
+    assert got == want
+
+
+def test_an_id_that_many_calls_share_is_salted(spark):
+    df = spark.createDataFrame([(1, k, "user" if k % 2 == 0 else "assistant", "t") for k in range(6)] + [(2, 0, "user", "again")] * 2500 + [(2, 1, "assistant", "a")], "conv_id long, turn long, role string, text string")
+    rows = chat.formatted(*chat.exchanges(df), chat.REPLY).where("kind = 'call'").collect()
+    assert len(rows) == 2503 and {r["status"] for r in rows if r["conv_id"] == 2} == {"repeated id"} and {json.loads(r["json"])["result"] for r in rows if r["conv_id"] == 2} == {"a"}
+    assert sorted(r["position"] for r in rows if r["conv_id"] == 2) == list(range(2500))
+
+
 def test_long_conversations_are_ranked_in_ranges(spark, monkeypatch):
     monkeypatch.setattr(chat, "TURNS_BY_RANGE", 4)
-    messages = spark.createDataFrame([(1, k, "user" if k % 2 == 0 else "assistant", f"t{k}") for k in range(61)], "conv_id long, turn long, role string, text string")
+    messages = spark.createDataFrame([(5, k, "user" if k % 2 == 0 else "assistant", f"t{k}") for k in range(61)], "conv_id long, turn long, role string, text string")
     rows = chat.formatted(*chat.exchanges(messages), chat.REPLY).where("kind = 'call'").collect()
     assert sorted((r["turn"], r["position"]) for r in rows) == [(2 * k, k) for k in range(31)]
