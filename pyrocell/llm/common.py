@@ -5,7 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +29,24 @@ def shared_path(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
 
 
+#: A key with more than this share of the rows is salted: there are at most so many such keys.
+HEAVY = 1000
+
+
+def heavy(rows: DataFrame, key: str, total: int, least: int) -> DataFrame:
+    """(key, salts) of the keys with more than ``least`` rows and a thousandth of ``total``; few enough to be broadcast."""
+    most = max(least, total // HEAVY)
+    counts = rows.groupBy(key).agg(F.count("*").alias("__n")).where(F.col("__n") > most)
+    return F.broadcast(counts.select(key, F.ceil(F.col("__n") / most).cast("int").alias("__salts")))
+
+
+def salted(rows: DataFrame, key: str, salts: DataFrame, by: Column | None, name: str) -> DataFrame:
+    """``rows`` with a salt ``name``: dealt by ``by``, or, where that is None, once for each of the key's salts."""
+    n = F.coalesce("__salts", F.lit(1))
+    salt = F.explode(F.sequence(F.lit(0), n - 1)) if by is None else F.pmod(by, n).cast("int")
+    return rows.join(salts, key, "left").withColumn(name, salt).drop("__salts")
+
+
 def kept(df: DataFrame) -> DataFrame:
     """The rows written to the shared checkpoint folder and read back: computed once, safe when executors go."""
     shared_folder(df.sparkSession)

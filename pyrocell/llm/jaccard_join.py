@@ -24,15 +24,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pyrocell.llm import pieces as P
-from pyrocell.llm.common import kept
+from pyrocell.llm.common import heavy, kept, salted
 from pyrocell.llm.components import components
 from pyrocell.llm.fingerprints import mixed, word_hashes
 
 SLOT_BITS, SLICES, FRAGMENTS = 21, 64, 8
 #: n-grams of this count's rank or above go through joins that split, so no window is larger.
 HOT = 100_000
-FILTER_BITS = 23
+#: Bits of the filter of wanted ids: sixteen for each, within these bounds; of more ids than FILTER_IDS it is a join.
+FILTER_BITS, FILTER_IDS = (16, 27), 1 << 23
 LARGE_CLASSES = 1000
+#: Rows of one key at least, before it is salted.
+SALTED = 256
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -145,14 +148,16 @@ def classes_of(df: DataFrame, order, n: int, percent: int) -> DataFrame:
 
 
 def segments_of(df: DataFrame, order, n: int, wanted) -> DataFrame:
-    """(key, fragment, grams) of the rows whose id's hash is in the filter ``wanted``."""
+    """(key, fragment, grams) of the rows whose id's hash is in the filter ``wanted``; of all rows without a filter."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        of, bits = order.value, wanted.value
+        of = order.value
         for batch in batches:
-            at = batch.column(2).to_numpy()
-            keep = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
-            for a, b, texts in P.text_blocks(batch.column(1).take(pa.array(keep))):
+            column = batch.column(1)
+            if wanted is not None:
+                bits, at = wanted.value, batch.column(2).to_numpy()
+                column = column.take(pa.array(np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)))
+            for a, b, texts in P.text_blocks(column):
                 h, owner, slot = of.sets(texts, n)
                 if not len(h):
                     continue
@@ -165,17 +170,18 @@ def segments_of(df: DataFrame, order, n: int, wanted) -> DataFrame:
                 part, first, counts = np.unique(part[by], return_index=True, return_counts=True)
                 yield pa.record_batch([pa.array(key[part // FRAGMENTS].view(np.int64)), pa.array(part % FRAGMENTS, pa.int32()), _lists(h[by], counts)], names=["key", "fragment", "grams"])
 
-    rows = df.select("id", "text", F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS)).alias("at"))
+    rows = df.select("id", "text", F.pmod(F.xxhash64("id"), F.lit(1 if wanted is None else 8 * len(wanted.value))).alias("at"))
     return rows.mapInArrow(run, "key long, fragment int, grams array<long>")
 
 
-def id_filter(ids: DataFrame) -> np.ndarray:
-    """A bit for each hash of the ids: 2^FILTER_BITS bits whatever their number; a superset passes."""
-    at = F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS))
+def id_filter(ids: DataFrame, n: int) -> np.ndarray:
+    """A bit for each hash of the ``n`` ids; some others (one in sixteen) pass too, which changes no result."""
+    width = min(FILTER_BITS[1], max(FILTER_BITS[0], (16 * n).bit_length()))
+    at = F.pmod(F.xxhash64("id"), F.lit(1 << width))
     slots = ids.select(at.alias("at")).selectExpr("cast(at div 32 as int) AS word", "shiftleft(1L, cast(at % 32 AS int)) AS bit")
     words = slots.groupBy("word").agg(F.bit_or("bit").alias("bits"))
     rows = words.toPandas()
-    out = np.zeros(1 << FILTER_BITS - 5, np.uint32)
+    out = np.zeros(1 << width - 5, np.uint32)
     out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).astype(np.uint32)
     return out.view(np.uint8)
 
@@ -183,12 +189,16 @@ def id_filter(ids: DataFrame) -> np.ndarray:
 def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     """``pairs`` (a, b, size_a, size_b) with the overlap of their sets: counted by fragment, summed by pair.
 
-    Both joins are on (class, fragment), so the segments are shuffled once; a class may come more than once.
+    Both joins are on (class, fragment); a class may come more than once. A class with very many pairs, such as the hub
+    of a large group of copies, is salted on both sides.
     """
-    parted = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))))
-    left = segments.select(F.col("key").alias("a"), "fragment", F.col("grams").alias("grams_a"))
-    right = segments.select(F.col("key").alias("b"), "fragment", F.col("grams").alias("grams_b"))
-    partial = parted.join(left, ["a", "fragment"]).join(right, ["b", "fragment"]).select("a", "b", "size_a", "size_b", "fragment", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("n"))
+    total = pairs.count()
+    heavy_a, heavy_b = heavy(pairs, "a", total, SALTED), heavy(pairs, "b", total, SALTED)
+    dealt = salted(salted(pairs, "a", heavy_a, F.xxhash64("b"), "salt_a"), "b", heavy_b, F.xxhash64("a"), "salt_b")
+    parted = dealt.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))))
+    left = salted(segments.select(F.col("key").alias("a"), "fragment", F.col("grams").alias("grams_a")), "a", heavy_a, None, "salt_a")
+    right = salted(segments.select(F.col("key").alias("b"), "fragment", F.col("grams").alias("grams_b")), "b", heavy_b, None, "salt_b")
+    partial = parted.join(left, ["a", "fragment", "salt_a"]).join(right, ["b", "fragment", "salt_b"]).select("a", "b", "size_a", "size_b", "fragment", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("n"))
     once = partial.groupBy("a", "b", "size_a", "size_b", "fragment").agg(F.max("n").alias("n"))
     return once.groupBy("a", "b", "size_a", "size_b").agg(F.sum("n").alias("overlap"))
 
@@ -228,9 +238,13 @@ def linked(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
     def compare(pairs: DataFrame) -> DataFrame:
         """Which pairs (a, b, with sizes) are linked."""
         keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-        ids = members.groupBy("key").agg(F.min("id").alias("id")).join(keys, "key", "left_semi")
-        wanted = spark.sparkContext.broadcast(id_filter(ids))
-        found = overlaps(pairs, segments_of(docs, order, n, wanted))
+        ids = kept(members.groupBy("key").agg(F.min("id").alias("id")).join(keys, "key", "left_semi").select("id"))
+        count = ids.count()
+        if count > FILTER_IDS:
+            segments = segments_of(docs.join(ids, "id", "left_semi"), order, n, None)
+        else:
+            segments = segments_of(docs, order, n, spark.sparkContext.broadcast(id_filter(ids, count)))
+        found = overlaps(pairs, segments)
         return kept(found.where(F.col("overlap") * 100 >= (F.col("size_a") + F.col("size_b") - F.col("overlap")) * percent).select("a", "b"))
 
     star = buckets.where((F.col("hub.key") != F.col("key")) & may_link(F.col("hub.size"), F.col("hub.at"), F.col("size"), F.col("at")))
@@ -240,8 +254,10 @@ def linked(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
     labelled = buckets.drop("hub").join(components(links), "key", "left").withColumn("component", F.coalesce("component", "key"))
     by = labelled.groupBy("gram", "component").agg(F.count("*").alias("n")).groupBy("gram").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts"))
     several = kept(labelled.join(by.where("parts > 1"), "gram").withColumn("aside", F.col("component") != F.col("most.component")).drop("most", "parts"))
-    x, y = several.where("aside").alias("x"), several.alias("y")
-    across = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.component") != F.col("y.component")) & may_link(F.col("x.size"), F.col("x.at"), F.col("y.size"), F.col("y.at")))
+    aside = several.where("aside")
+    many = heavy(aside, "gram", several.count(), SALTED)  # a bucket's rows outside its largest component are dealt
+    x, y = salted(aside, "gram", many, F.xxhash64("key"), "salt").alias("x"), salted(several, "gram", many, None, "salt").alias("y")
+    across = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.component") != F.col("y.component")) & may_link(F.col("x.size"), F.col("x.at"), F.col("y.size"), F.col("y.at")))
     across = across.select(*ordered("x.key", "x.size", "y.key", "y.size"))
     rest = kept(across.dropDuplicates(["a", "b"]).join(star.select("a", "b"), ["a", "b"], "left_anti"))
     return members, links.union(compare(rest))

@@ -169,7 +169,7 @@ class PieceTable:
     memory is bounded.
     """
 
-    def __init__(self, add, most: int = 1 << 19, most_bytes: int = 4 << 20):
+    def __init__(self, add, most: int = 1 << 20, most_bytes: int = 4 << 20):
         #: add(list of pieces as bytes, first entry number): make the entries.
         self.add, self.most, self.most_bytes = add, most, most_bytes
         self.clear()

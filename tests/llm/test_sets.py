@@ -89,6 +89,19 @@ def test_hot_inside_a_rank_by_brute_force(spark, monkeypatch, hot):
     assert got == brute_join(rows, 1, 80)
 
 
+def test_salts_and_filters_change_nothing(spark, monkeypatch):
+    """Hubs and buckets in many salts; wanted ids by a join instead of a filter."""
+    rnd = random.Random(17)
+    base, passage = " ".join(f"w{k}" for k in range(40)), " ".join(f"p{k}" for k in range(30))
+    rows = [(i, edited(rnd, base, 2)) for i in range(120)] + [(1000 + i, passage + " " + " ".join(f"u{i % 20}x{k}" for k in range(rnd.randint(2, 9)))) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_join(rows, 3, 80)
+    for least, ids in ((3, 1 << 23), (3, 1)):
+        monkeypatch.setattr(jaccard_join, "SALTED", least)
+        monkeypatch.setattr(jaccard_join, "FILTER_IDS", ids)
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join(df, 3, 80).collect()} == want
+
+
 def test_join_on_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join(docs, 4, 85).collect()}
