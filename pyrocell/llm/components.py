@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pyrocell.llm.common import kept
+from pyrocell.sources.shared import Rounds
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -14,6 +14,8 @@ def components(links: DataFrame) -> DataFrame:
     Each round every key points to its least neighbour, pointers are followed to their ends, and the links are drawn
     again between these; rounds grow with the logarithm of the longest chain. Rounds are written, not kept in lineage.
     """
+    rounds = Rounds(links.sparkSession)
+    kept = rounds.put
     edges = kept(links.select("a", "b").where("a <> b").distinct())
     nodes = kept(edges.select(F.explode(F.array("a", "b")).alias("key")).distinct().withColumn("component", F.col("key")))
     while not edges.isEmpty():
@@ -29,4 +31,4 @@ def components(links: DataFrame) -> DataFrame:
         nodes = kept(nodes.join(root, "component", "left").select("key", F.coalesce("root", "component").alias("component")))
         a, b = up.select(F.col("key").alias("a"), F.col("to").alias("ra")), up.select(F.col("key").alias("b"), F.col("to").alias("rb"))
         edges = kept(edges.join(a, "a").join(b, "b").where("ra <> rb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
-    return nodes
+    return rounds.only(nodes)
