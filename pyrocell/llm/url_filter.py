@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: The index is part of the plan and goes to every executor with it.
+#: Up to so many rules the index is part of the plan and goes to every executor with it; more are joined on tokens.
 MAX_RULES = 50_000
 
 
@@ -70,6 +70,22 @@ def token_counts(urls: DataFrame, tokens: list[str]) -> dict[str, int]:
     return {r["token"]: r["n"] for r in found.groupBy("token").agg(F.count("*").alias("n")).collect()}
 
 
+def best_by_join(sites: DataFrame, rules: list[Rule]) -> DataFrame:
+    """(host, path, __best) of the distinct sites that some rule fits, for lists of any length: rules are filed under
+    their rarest token by a join with the tokens' counts, and sites fetch them by another; only fetched rules' patterns
+    run."""
+    spark = sites.sparkSession
+    wide = spark.createDataFrame([(k, r.tokens, 0 if r.word else len(r.text), None if r.word else r.text, r.verdict, r.pattern) for k, r in enumerate(rules)], "k int, tokens array<string>, size int, rule string, verdict string, pattern string")
+    once = sites.select("host", "path").distinct()
+    asked = once.withColumn("token", F.explode(url_tokens(F.col("host"), F.col("path"))))
+    counts = asked.groupBy("token").agg(F.count("*").alias("n"))
+    places = wide.select("k", F.explode("tokens").alias("token")).join(counts, "token", "left")
+    rarest = places.groupBy("k").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")).alias("at")).select("k", F.col("at.token").alias("token"))
+    filed = wide.drop("tokens").join(rarest, "k")
+    fitting = asked.join(filed, "token").where(F.rlike(F.concat("host", "path"), F.col("pattern")))
+    return fitting.groupBy("host", "path").agg(F.max(F.struct("size", "rule", "verdict")).alias("__best"))
+
+
 def judge(df: DataFrame, rules: list[Rule], url_col: str = "url", otherwise: str = "allow", without_host: str = "block") -> DataFrame:
     """The rows with ``host``, ``path``, ``rule`` and ``verdict``; columns of these names are replaced.
 
@@ -78,12 +94,14 @@ def judge(df: DataFrame, rules: list[Rule], url_col: str = "url", otherwise: str
     ``without_host`` for urls that are null, have no ``://`` or an empty host. Repeated rows are judged one by one;
     an empty table gives an empty result.
     """
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"more than {MAX_RULES} rules")
     host, path = parts(df[url_col])
     sites = df.withColumns({"host": host, "path": path})
     if not rules:
         return sites.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.when(F.col("host") == "", without_host).otherwise(otherwise)})
+    verdict = F.coalesce(F.col("__best.verdict"), F.when(F.col("host") == "", without_host).otherwise(otherwise))
+    if len(rules) > MAX_RULES:
+        out = sites.join(best_by_join(sites, rules), ["host", "path"], "left").select(*sites.columns, "__best")
+        return out.withColumns({"rule": F.col("__best.rule"), "verdict": verdict}).drop("__best")
     counts = token_counts(sites.select("host", "path"), sorted({t for r in rules for t in r.tokens}))
     filed: dict[str, list[dict]] = {}
     for r in rules:
@@ -101,7 +119,6 @@ def judge(df: DataFrame, rules: list[Rule], url_col: str = "url", otherwise: str
     fitting = F.filter(fetched, lambda r: F.rlike(site, r["pattern"]))
     best = F.array_max(F.transform(fitting, lambda r: F.struct(r["size"], r["rule"], r["verdict"])))
     out = sites.withColumn("__best", best)
-    verdict = F.coalesce(F.col("__best.verdict"), F.when(F.col("host") == "", without_host).otherwise(otherwise))
     return out.withColumns({"rule": F.col("__best.rule"), "verdict": verdict}).drop("__best")
 
 

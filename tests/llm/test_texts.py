@@ -57,6 +57,17 @@ def test_many_rules_use_their_rarest_token(spark):
     assert {r["page_id"] for r in url_filter.judge(df, rules).where("verdict = 'block'").collect()} == set(range(0, 50, 2))
 
 
+def test_more_rules_than_the_index_holds_are_joined(spark, monkeypatch):
+    rules = url_filter.SITE_RULES + [url_filter.Rule("block", word=w) for w in url_filter.BLOCKED_WORDS]
+    rnd = random.Random(5)
+    urls = [None, "", "http:///x", "HTTP://WWW.Example.ORG/es/a?b#c"] + [f"http://{rnd.choice(['org', 'example.org', 'a.com', 'ads.net', 'my-bets.org', 'x.de'])}{rnd.choice(['', '/', '/es/', '/en/19/x', '/fr/a', '/de/'])}" for _ in range(80)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    want = rows_of(url_filter.judge(df, rules))
+    monkeypatch.setattr(url_filter, "MAX_RULES", 3)
+    assert rows_of(url_filter.judge(df, rules)) == want
+    assert {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in url_filter.judge(df, rules).collect()} == {i: brute_judge(u, rules) for i, u in enumerate(urls)}
+
+
 # Secrets
 
 
