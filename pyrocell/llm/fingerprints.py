@@ -81,8 +81,13 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def vectors(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The two parts of every text's fingerprint, as unsigned lanes; empty texts have no paragraphs."""
+    return paragraph_vectors([t.split("\n") if t else [] for t in texts])
+
+
+def paragraph_vectors(split: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+    """The same of lists of paragraphs."""
+    texts = split
     exact, like = np.zeros((len(texts), EXACT), np.uint64), np.zeros((len(texts), LIKE), np.uint16)
-    split = [t.split("\n") if t else [] for t in texts]
     counts = np.array([len(p) for p in split], np.int64)
     paragraphs = [p.encode() for ps in split for p in ps]
     if not paragraphs:
@@ -121,6 +126,17 @@ def add(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], sign
     return (a[0] + b[0], a[1] + b[1]) if sign > 0 else (a[0] - b[0], a[1] - b[1])
 
 
+def replaced(own: tuple[np.ndarray, np.ndarray], texts: list[str], changed: list[str], same: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of the changed texts from those of the texts, which begin with the same so many characters: the
+    paragraphs after these are taken out and those of the changed text put in, the others aren't touched."""
+    out, put = [], []
+    for t, c, n in zip(texts, changed, same, strict=True):
+        at = t.rfind("\n", 0, n) + 1 if t and c else 0  # the paragraph in which they may part
+        out.append(t[at:].split("\n") if t else [])
+        put.append(c[at:].split("\n") if c else [])
+    return add(add(own, paragraph_vectors(out), -1), paragraph_vectors(put))
+
+
 def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     """Row by row: 1 where the fingerprints are equal, else 1 - |a-b|^2 / (|a|^2 + |b|^2) of the second parts, 0 at least."""
     x, y, d = (v.astype(np.int16).astype(np.float64) for v in (a[1], b[1], a[1] - b[1]))
@@ -219,7 +235,7 @@ def edit_probe(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ro
             changed = [edited(t, f) for t, f in zip(texts, after, strict=True)]
             own = vectors([*texts, following])
             mine, theirs = (own[0][:-1], own[1][:-1]), (own[0][1:], own[1][1:])
-            new = vectors(changed)
+            new = replaced(mine, texts, changed, [len(t) - len(t) // 2 for t in texts])
             columns = [
                 pa.array([i for i, _ in rows]), pa.array(map(len, texts), pa.int64()), pa.array([hashlib.sha256(c.encode()).hexdigest() for c in changed], pa.string()),
                 pa.array(as_text(mine), pa.string()), pa.array(as_text(new), pa.string()), pa.array(likeness(mine, new)), pa.array(likeness(mine, theirs)),

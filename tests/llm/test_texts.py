@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import os
 import random
 import re
 import string
@@ -228,6 +229,20 @@ def test_fingerprints_are_homomorphic():
     assert (again[0] == whole[0]).all() and (again[1] == whole[1]).all()
 
 
+def test_edits_are_taken_out_and_put_in():
+    """Fingerprints of edited texts by their changed paragraphs equal those made anew."""
+    rnd = random.Random(8)
+    texts = ["", "\n", "a", "a\n", "\na\n\nb"] + ["".join(rnd.choice(["a ", "be ", "\n", "é", "c d e f "]) for _ in range(rnd.randint(0, 40))) for _ in range(200)]
+    changed = [fingerprints.edited(t, rnd.choice(texts)) for t in texts]
+    anew = fingerprints.vectors(changed)
+    got = fingerprints.replaced(fingerprints.vectors(texts), texts, changed, [len(t) - len(t) // 2 for t in texts])
+    assert (got[0] == anew[0]).all() and (got[1] == anew[1]).all()
+    other = rnd.sample(texts, len(texts))
+    same = [len(os.path.commonprefix(pair)) for pair in zip(texts, other, strict=True)]
+    got, anew = fingerprints.replaced(fingerprints.vectors(texts), texts, other, same), fingerprints.vectors(other)
+    assert (got[0] == anew[0]).all() and (got[1] == anew[1]).all()
+
+
 def test_fingerprint_doesnt_depend_on_its_neighbours():
     rnd = random.Random(3)
     texts = ["".join(rnd.choice(["a ", "be ", "\n", "é", "c d e f "]) for _ in range(rnd.randint(0, 40))) for _ in range(60)]
