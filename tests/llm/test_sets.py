@@ -205,6 +205,36 @@ def test_one_row_of_each_component_stays_where_ids_repeat(spark):
     assert (5, "a text like no other of them all") in got
 
 
+def test_stages_on_edges(spark, tmp_path):
+    """Null, empty and very long texts, null and repeated ids, repeated rows, columns named like those made inside."""
+    import corpus_pipeline as p
+
+    key = "q7ZxT2mKd9RwB4uYc1HsLfV8nJpE3aGgX6tQ0iWo"
+    texts = [(1, "one two three four five six"), (1, "one two three four five six"), (2, None), (3, ""), (None, None), (4, f"AWS_KEY={key}"), (5, "word " * 40_000), (6, "x" * 300_000)]
+    columns = "doc_id long, text string, lang string, n_chars long, commas double, score string, row int, size int, key string, __salt int"
+    df = spark.createDataFrame([(*t, "en", 0, 0.5, "s", 1, 2, "k", 3) for t in texts], columns)
+    (tmp_path / "labels.parquet").mkdir()
+    spark.createDataFrame([(1, 1), (4, 1)], "doc_id long, quality int").write.mode("overwrite").parquet(str(tmp_path / "labels.parquet"))
+    for k, (_, stage) in enumerate(p.STAGES):
+        out, none = stage(spark, df, str(tmp_path)), stage(spark, df.limit(0), str(tmp_path))
+        assert none.count() == 0
+        rows = out.collect()
+        if k < 3:
+            assert out.columns == df.columns
+        if k == 0:
+            assert sorted(map(repr, rows)) == sorted(map(repr, df.collect()))  # labels of one kind teach nothing
+        if k == 1:
+            assert sorted(repr(r["doc_id"]) for r in rows) == sorted(map(repr, [1, 2, 3, None, 4, 5, 6]))
+        if k == 2:
+            got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in rows}
+            assert len(rows) == 8 and got[4] == ("AWS_KEY=[SECRET]", 16) and got[2] == (None, None) and got[3] == ("", 0) and got[6][1] == 300_000
+        if k == 3:
+            by = {}
+            for r in rows:
+                by.setdefault(r["doc_id"], []).append(r["length"])
+            assert sum(by[2]) == sum(by[3]) == 1 and len(by[1]) == 2 and sum(by[5]) > 40_000 and sum(by[None]) == 1
+
+
 def test_pipeline_by_brute_force(spark, tmp_path):
     import corpus_pipeline as p
 
