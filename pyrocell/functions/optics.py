@@ -6,6 +6,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pyrocell.functions.hooks import CLEAR_TESTS, CORRECTIONS, by_sensor, clear_test, correction
+
 BANDS = ["blue", "green", "red", "nir", "swir1", "swir2"]
 
 #: The constellation of each span of years (fixed values): first year, last year, sensors.
@@ -37,11 +39,17 @@ def temperature(dn: Column) -> Column:
     return dn * 0.00341802 + 149.0
 
 
+@correction("LC08", "LC09")
 def rectified(r: Column) -> Column:
     """Dark-target correction of the newer sensors: 55 ten-thousandths less, in whole ten-thousandths."""
     return F.round(r * 10000.0 - 55.0) / 10000.0
 
 
+def corrected(sensor: Column, r: Column) -> Column:
+    """Reflectance with its sensor's correction, if it has one."""
+    return by_sensor(CORRECTIONS, sensor, r, lambda x: x)
+
+
 def bit(v: Column, k: int) -> Column:
     return v.bitwiseAND(F.lit(1 << k)) != 0
 
@@ -51,6 +59,7 @@ def bits(v: Column, low: int, high: int) -> Column:
     return F.shiftright(v, low).bitwiseAND(F.lit((1 << (high - low + 1)) - 1))
 
 
+@clear_test("LT05", "LE07")
 def clear_old(qa: Column) -> Column:
     """Neither cloud (bit 3) nor shadow (bit 5)."""
     return ~bit(qa, 3) & ~bit(qa, 5)
@@ -79,8 +88,7 @@ def positive(*bands: Column) -> Column:
 
 def valid(sensor: Column, qa: Column, radsat: Column) -> Column:
     """The quality test of an observation by its sensor."""
-    clear = F.when(sensor.isin("LT05", "LE07"), clear_old(qa)).otherwise(clear_new(qa))
-    return clear & clear_or_water(qa) & unsaturated(radsat)
+    return by_sensor(CLEAR_TESTS, sensor, qa, clear_new) & clear_or_water(qa) & unsaturated(radsat)
 
 
 def low_cloud(probability: Column, b8a: Column, b9: Column, most: float = 65) -> Column:

@@ -74,10 +74,8 @@ def a8_reference_products(v) -> DataFrame:
     dates = v.obs.select("pixel_id", F.col("acq_ts").alias("ts"), F.when(F.col("line_no") != 3, F.col("line_no") * 40).otherwise(0).alias("burn_date"))
     heat = v.obs.select("pixel_id", F.col("acq_ts").alias("ts"), F.col("b8a").alias("t21"))
     yearly = model.year_stack(v.fire.withColumn("value", F.lit(1)), [*YEARS, LAST_YEAR], prefix="burned")
-    return scans.reference_products([
-        scans.conform_burn_dates(dates, "dates"), scans.conform_brightness(heat, "heat"),
-        scans.conform_month_codes(v.fire.select("pixel_id", "year", F.col("month").alias("value")), "codes"), scans.conform_yearly(yearly, "yearly"),
-    ])
+    codes = v.fire.select("pixel_id", "year", F.col("month").alias("value"))
+    return scans.reference_products([("burn dates", dates, "dates"), ("brightness", heat, "heat"), ("month codes", codes, "codes"), ("yearly", yearly, "yearly")])
 
 
 @query("SELECT pixel_id, year, month FROM fire")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pyrocell.functions.hooks import DATA_SETS, data_set
 from pyrocell.functions.optics import CONSTELLATION
 from pyrocell.model import merged
 
@@ -93,12 +94,14 @@ def _conformed(df: DataFrame, year: Column, month: Column, source: str) -> DataF
     return df.select("pixel_id", year.cast("int").alias("year"), month.cast("int").alias("month"), F.lit(source).alias("source"))
 
 
+@data_set("burn dates")
 def conform_burn_dates(df: DataFrame, source: str) -> DataFrame:
     """Images with a ``burn_date`` (day of the year, 0 where unburned): void and 0 drop out, the day gives the month."""
     day = F.date_add(F.make_date(F.year("ts"), F.lit(1), F.lit(1)), (F.col("burn_date") - 1).cast("int"))
     return _conformed(df.where("burn_date >= 1"), F.year("ts"), F.month(day), source)
 
 
+@data_set("yearly")
 def conform_yearly(df: DataFrame, source: str) -> DataFrame:
     """Yearly bands ``..._YYYY`` of 0/1: burned at an unknown month, so the month is void."""
     bands = [c for c in df.columns if c != "pixel_id"]
@@ -106,18 +109,21 @@ def conform_yearly(df: DataFrame, source: str) -> DataFrame:
     return _conformed(rows, F.right("band", F.lit(4)), F.lit(None), source)
 
 
+@data_set("brightness")
 def conform_brightness(df: DataFrame, source: str, band: str = "t21") -> DataFrame:
     """Active-fire images: any value counts in the month of its image."""
     return _conformed(df.where(F.col(band).isNotNull()), F.year("ts"), F.month("ts"), source)
 
 
+@data_set("month codes")
 def conform_month_codes(df: DataFrame, source: str) -> DataFrame:
     """Yearly images whose value is the month."""
     return _conformed(df.where(F.col("value").between(1, 12)), F.col("year"), F.col("value"), source)
 
 
-def reference_products(parts: list[DataFrame]) -> DataFrame:
-    return merged(parts)
+def reference_products(parts: list[tuple[str, DataFrame, str]]) -> DataFrame:
+    """All products (kind, images, source name) as one table; ``hooks.data_set`` adds kinds."""
+    return merged([DATA_SETS[kind](df, source) for kind, df, source in parts])
 
 
 SAMPLES = ["red", "nir", "swir1", "swir2", "label"]

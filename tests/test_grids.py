@@ -154,3 +154,24 @@ def test_large_dimension_is_not_broadcast(spark):
     plan = lambda df: df._jdf.queryExecution().logical().toString()
     assert "broadcast" in plan(scans.dimension(spark.range(10), 10))
     assert "broadcast" not in plan(scans.dimension(spark.range(11), 10))
+
+
+def test_users_add_data_sets_and_sensors(spark):
+    from pyspark.sql import functions as F
+
+    from pyrocell.functions import hooks, optics
+    from pyrocell.sources import scans
+
+    added = [(hooks.DATA_SETS, "weeks"), (hooks.CLEAR_TESTS, "XX01"), (hooks.CORRECTIONS, "XX01")]
+    try:
+        hooks.data_set("weeks")(lambda df, source: df.select("pixel_id", "year", F.ceil(F.col("week") / 4.4).cast("int").alias("month"), F.lit(source).alias("source")))
+        hooks.clear_test("XX01")(lambda qa: qa == 64)
+        hooks.correction("XX01")(lambda r: r * 2)
+        weeks = spark.createDataFrame([(1, 2020, 9)], "pixel_id long, year int, week int")
+        assert [tuple(r) for r in scans.reference_products([("weeks", weeks, "w")]).collect()] == [(1, 2020, 3, "w")]
+        rows = spark.createDataFrame([("XX01", 64, 0.1), ("XX01", 72, 0.1), ("LT05", 72, 0.1), ("LC08", 64, 0.1)], "s string, qa int, r double")
+        got = rows.select(optics.valid(F.col("s"), F.col("qa"), F.lit(0)).alias("ok"), optics.corrected(F.col("s"), F.col("r")).alias("r")).collect()
+        assert [r["ok"] for r in got] == [True, False, False, True] and [round(r["r"], 6) for r in got] == [0.2, 0.2, 0.1, 0.0945]
+    finally:
+        for table, name in added:
+            table.pop(name, None)
