@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pyrocell.sources.scans import dimension
+
 
 def chronosequence(fire: DataFrame, first: int, last: int) -> DataFrame:
     """For each ever-burned pixel and year first..last+1: time_after, time_before, interval, year_last, year_next, burns.
@@ -57,9 +59,9 @@ SPECIAL_PERIODS = [(1990, 1995), (1995, 2000), (2000, 2005), (2005, 2010), (2010
 
 
 def frequency(fire: DataFrame, of: DataFrame) -> DataFrame:
-    """Burned years of each pixel in each period; a pixel that didn't burn in it is absent. Periods are a few dozen rows."""
+    """Burned years of each pixel in each period; a pixel that didn't burn in it is absent."""
     burned = fire.select("pixel_id", "year").distinct()
-    return burned.join(F.broadcast(of), F.col("year").between(F.col("y0"), F.col("y1"))).groupBy("pixel_id", "y0", "y1").agg(F.count("*").alias("frequency"))
+    return burned.join(dimension(of), F.col("year").between(F.col("y0"), F.col("y1"))).groupBy("pixel_id", "y0", "y1").agg(F.count("*").alias("frequency"))
 
 
 def accumulated(fire: DataFrame, of: DataFrame, cover: DataFrame) -> DataFrame:

@@ -57,7 +57,7 @@ def d8_b36_periods(v) -> DataFrame:
 def f6_f7_first_periods(v) -> DataFrame:
     """Burns of the first ten periods in order."""
     few = d8_b36_periods(v).orderBy("y0", "y1").limit(10)
-    return v.fire.join(F.broadcast(few), F.col("year").between(F.col("y0"), F.col("y1"))).groupBy("y0", "y1").agg(F.count("*").alias("pixels"))
+    return v.fire.join(scans.dimension(few), F.col("year").between(F.col("y0"), F.col("y1"))).groupBy("y0", "y1").agg(F.count("*").alias("pixels"))
 
 
 @query(f"SELECT f.pixel_id, p.y0, p.y1, count(*) AS frequency FROM fire f JOIN ({PERIODS}) p ON f.year BETWEEN p.y0 AND p.y1 GROUP BY 1, 2, 3")
