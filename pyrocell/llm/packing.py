@@ -23,6 +23,8 @@ from pyrocell.llm import pieces as P
 from pyrocell.llm.common import kept
 
 BINS = 512
+#: Pieces of words that a worker remembers at a time, about.
+PIECES = 1 << 19
 #: Rows of a bin that share a window, about.
 ROWS_BY_SALT = 128
 
@@ -37,7 +39,9 @@ def codes(path: str) -> bpe.PieceCodes:
     ranks = {bytes(to_byte[c] for c in t): i for t, i in vocab.id.items()}
     vocab.id = {}  # the library holds them from here on
     merge = tiktoken.Encoding("pieces", pat_str=r"(?s).+", mergeable_ranks=ranks, special_tokens={})
-    return bpe.PieceCodes(vocab, lambda piece: merge.encode_ordinary(piece.decode("utf-8", "surrogateescape")))
+    out = bpe.PieceCodes(vocab, lambda piece: merge.encode_ordinary(piece.decode("utf-8", "surrogateescape")))
+    out.table.most = PIECES
+    return out
 
 
 def cut(df: DataFrame, path: str, capacity: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
