@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,3 +53,33 @@ def kept(df: DataFrame) -> DataFrame:
     """The rows written to the shared checkpoint folder and read back: computed once, safe when executors go."""
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+#: Bits of a filter: sixteen for each hash, within these bounds; and bits that one group packs.
+FILTER_BITS, SLICE_BITS = (16, 27), 16
+
+
+def bit_filter(hashes: DataFrame, count: int | None = None) -> np.ndarray:
+    """A bit for each hash of the column ``hash``; one in sixteen others passes too. Of bounded size whatever the input:
+    with more than eight million hashes it lets more pass. Bits are packed by slice before they reach the driver."""
+    n = hashes.count() if count is None else count
+    width = min(FILTER_BITS[1], max(FILTER_BITS[0], (16 * n).bit_length()))
+    at = hashes.select(F.pmod("hash", F.lit(1 << width)).alias("at")).distinct()
+
+    def packed(pdf: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(1 << SLICE_BITS, np.uint8)
+        bits[pdf["at"].to_numpy() & ((1 << SLICE_BITS) - 1)] = 1
+        return pd.DataFrame({"slice": pdf["slice"].iloc[:1], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
+
+    slices = at.withColumn("slice", F.shiftright("at", SLICE_BITS)).groupBy("slice").applyInPandas(packed, "slice long, bits binary")
+    out = np.zeros(1 << width - 3, np.uint8)
+    for r in slices.collect():
+        first = r["slice"] << SLICE_BITS - 3
+        out[first : first + (1 << SLICE_BITS - 3)] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def in_filter(bits: np.ndarray, h: int) -> bool:
+    """Whether the unsigned hash is in the filter; as many bits are used as the filter has."""
+    at = h & (8 * len(bits) - 1)
+    return bool(bits[at >> 3] >> (at & 7) & 1)

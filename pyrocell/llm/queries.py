@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pyrocell.llm import bpe_codec, chat, fingerprints, jaccard_join, neighbours, packing, quality, secret_scan, token_counts, url_filter
+from pyrocell.llm import bpe_codec, chat, fingerprints, jaccard_join, neighbours, packing, personal_data, phrases, quality, secret_scan, spelling, token_counts, url_filter
 from pyrocell.llm.common import read
 
 
@@ -52,9 +52,22 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.join(read(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digests(personal_data.scan(read(spark, sf_dir, "documents")))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.groups(spelling.vocabulary(read(spark, sf_dir, "documents"), every=97, least_length=5, least_count=3), ratio=2)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"), least=100, top=2000, percent=100)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_secret_scan, op4_packing, op5_neighbours, op6_quality, op7_chat, op8_fingerprints, op9_bpe_codec, op10_ngram_jaccard)}
+    ten = (op1_url_filter, op2_token_counts, op3_secret_scan, op4_packing, op5_neighbours, op6_quality, op7_chat, op8_fingerprints, op9_bpe_codec, op10_ngram_jaccard)
+    return {f.__name__: f for f in (*ten, op11_personal_data, op12_spelling_variants, op13_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": url_filter.ORACLE, "op7_chat": chat.ORACLE}
+    return {"op1_url_filter": url_filter.ORACLE, "op7_chat": chat.ORACLE, "op12_spelling_variants": spelling.ORACLE, "op13_collocations": phrases.ORACLE}
