@@ -77,9 +77,3 @@ def bit_filter(hashes: DataFrame, count: int | None = None) -> np.ndarray:
         first = r["slice"] << SLICE_BITS - 3
         out[first : first + (1 << SLICE_BITS - 3)] = np.frombuffer(r["bits"], np.uint8)
     return out
-
-
-def in_filter(bits: np.ndarray, h: int) -> bool:
-    """Whether the unsigned hash is in the filter; as many bits are used as the filter has."""
-    at = h & (8 * len(bits) - 1)
-    return bool(bits[at >> 3] >> (at & 7) & 1)

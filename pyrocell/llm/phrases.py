@@ -15,168 +15,154 @@ more round with F = 1000 * n / T settles the language. Where fewer survive the f
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pyrocell.llm.common import bit_filter, in_filter
+from pyrocell.llm.common import bit_filter
+from pyrocell.llm.fingerprints import mixed
 from pyrocell.llm.pieces import text_blocks
 from pyrocell.sources.shared import Rounds
 
 MOST_WORDS = 5
 #: The first frontier, in times of the least count, and what it grows by while too few phrases survive.
-FIRST, GROWTH = 10, 32
-#: What a worker counts or remembers before it hands it on or begins anew.
-HELD = 1 << 18
+FIRST, GROWTH = 10, 1000
+#: Bytes of the texts that are counted together, about.
+BLOCK = 1 << 22
 #: Bytes as they are compared: A-Z lower-cased, a tab as a space, what parts pieces as a line feed.
 FOLDED = bytes(b + 32 if 65 <= b <= 90 else 32 if b == 9 else 10 if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
 #: Levels of words: not frequent, and frequent but in no frontier yet; frontiers are numbered from 1.
 RARE, OUTSIDE = 1 << 20, 1 << 10
+_MUL = np.uint64(0x9E3779B97F4A7C15)
 
 
-def pieces(text: str) -> Iterator[list[bytes]]:
-    """The words of each piece of a text that has two or more, and of the others too."""
-    for piece in text.encode("utf-8", "surrogatepass").translate(FOLDED).split(b"\n"):
-        if piece:
-            yield [w for w in piece.split(b" ") if w]
+def word_hashes(lang: str, words: list[str]) -> np.ndarray:
+    """A hash of each word in its language; a pair's is made of its words' (see ``pair_hashes``)."""
+    head = lang + "\n"
+    return np.fromiter((xxhash.xxh64_intdigest(head + w) for w in words), np.uint64, len(words))
 
 
-def _batch(counts: Counter) -> pa.RecordBatch:
-    langs, words, ns = zip(*((lang, key, n) for (lang, key), n in counts.items()), strict=True) if counts else ((), (), ())
-    return pa.record_batch([pa.array(langs, pa.string()), pa.array([None if w is None else w.decode("utf-8", "replace") for w in words], pa.string()), pa.array(ns, pa.int64())], names=["lang", "phrase", "n"])
+def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mixed(first * _MUL + second)
 
 
-def _counted(docs: DataFrame, add) -> DataFrame:
-    """(lang, phrase, n) over all texts of ``docs`` (lang, text): ``add`` puts a text's phrases in a Counter by (lang,
-    phrase); each worker hands on what it counted whenever that is ``HELD`` phrases, and the rest is summed by Spark."""
+def hashed(table: DataFrame, words: int) -> DataFrame:
+    """The hashes of (lang, phrase), phrases being single words (1) or pairs (2)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        counts: Counter = Counter()
-        put = add()
         for batch in batches:
-            langs = batch.column(0).to_pylist()
-            for first, _, texts in text_blocks(batch.column(1)):
-                for i, text in enumerate(texts, first):
-                    put(counts, langs[i], text)
-                    if len(counts) >= HELD:
-                        yield _batch(counts)
-                        counts = Counter()
-        yield _batch(counts)
+            langs, phrases = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            hashes = [np.concatenate([[np.uint64(0)], *(word_hashes(lang, [p.split(" ")[k]]) for lang, p in zip(langs, phrases, strict=True))])[1:] for k in range(words)]
+            h = hashes[0] if words == 1 else pair_hashes(*hashes)
+            yield pa.record_batch([pa.array(h.astype(np.uint64).view(np.int64))], names=["hash"])
 
-    return docs.mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return table.select("lang", "phrase").mapInArrow(run, "hash long")
 
 
-def _words():
-    """Words by language, and the number of all words under None."""
+def held(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which of the hashes are in a filter."""
+    at = (h & np.uint64(8 * len(bits) - 1)).astype(np.int64)
+    return bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
+
 
-    def put(counts: Counter, lang: str, text: str) -> None:
-        mine, n = Counter(), 0
-        for words in pieces(text):
-            mine.update(words)
-            n += len(words)
-        for w, k in mine.items():
-            counts[lang, w] += k
-        counts[lang, None] += n
+class Words:
+    """The words of some texts of one language: ``distinct`` ones, each one's number in these, and whether it is in the
+    piece of the word before it."""
 
-    return put
+    def __init__(self, texts: list[str]):
+        data = np.frombuffer("\n".join(texts).encode("utf-8", "surrogatepass").translate(FOLDED) + b"\n", np.uint8)
+        gap = (data == 32) | (data == 10)
+        edge = np.flatnonzero(np.diff(np.concatenate([[True], gap])))
+        start, stop = edge[0::2], edge[1::2]
+        offsets = np.concatenate([[0], np.cumsum(stop - start)]).astype(np.int32)
+        encoded = pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(data[~gap].tobytes())).dictionary_encode()
+        self.distinct, self.ids = encoded.dictionary, encoded.indices.to_numpy().astype(np.int64)
+        lines = np.cumsum(data == 10)[start]
+        self.follows = np.concatenate([[False], lines[1:] == lines[:-1]])[: len(start)]
 
+    def joined(self, columns: list[np.ndarray]) -> pa.Array:
+        """Phrases of the words with these numbers."""
+        return pc.binary_join_element_wise(*[self.distinct.take(pa.array(c)) for c in columns], " ")
 
-def _hash(lang: bytes, phrase: bytes) -> int:
-    return xxhash.xxh64_intdigest(lang + b"\n" + phrase, 42)
 
+def _counted(docs: DataFrame, count) -> DataFrame:
+    """(lang, phrase, n) over all texts of ``docs`` (lang, text): ``count`` gives the phrases of a block of texts of one
+    language and how often each occurs there; Spark sums them, first in each task."""
 
-def hashed(table: DataFrame) -> DataFrame:
-    """The hashes, as ``_hash`` has them, of (lang, phrase)."""
-    return table.select(F.xxhash64(F.concat("lang", F.lit("\n"), "phrase")).alias("hash"))
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        of = count()
+        for batch in batches:
+            langs = batch.column(0).dictionary_encode()
+            for k, lang in enumerate(langs.dictionary.to_pylist()):
+                mine = batch.column(1).take(pa.array(np.flatnonzero(langs.indices.to_numpy() == k)))
+                for _, _, texts in text_blocks(mine, BLOCK):
+                    for phrases, n in of(lang, Words(texts)):
+                        yield pa.record_batch([pa.array([lang] * len(n), pa.string()), phrases, pa.array(n, pa.int64())], names=["lang", "phrase", "n"])
 
+    return docs.mapInArrow(run, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
-class _Levels:
-    """The level of each word, and which pairs are frequent, by the filters; remembered by word, and begun anew when full.
 
-    A filter lets some other words pass, always the same ones: such a word is in a frontier earlier than its count asks,
-    which costs phrases that nobody needed and loses none.
-    """
+def _words():
+    """All words, and under null how many there are."""
 
-    def __init__(self, frequent: np.ndarray, frontiers: list[np.ndarray], pairs: np.ndarray | None):
-        self.frequent, self.frontiers, self.pairs = frequent, frontiers, pairs
-        self.words: dict = {}
-        self.known: dict = {}
-
-    def of(self, lang: bytes, words: list[bytes]) -> list[int]:
-        mine = self.words.setdefault(lang, {})
-        out = []
-        for w in words:
-            level = mine.get(w)
-            if level is None:
-                h = _hash(lang, w)
-                level = next((k for k, f in enumerate(self.frontiers, 1) if in_filter(f, h)), OUTSIDE) if in_filter(self.frequent, h) else RARE
-                if len(mine) >= HELD:
-                    mine.clear()
-                mine[w] = level
-            out.append(level)
-        return out
-
-    def pair(self, lang: bytes, a: bytes, b: bytes) -> bool:
-        """Whether the pair may be frequent."""
-        key = (lang, a, b)
-        found = self.known.get(key)
-        if found is None:
-            if len(self.known) >= HELD:
-                self.known.clear()
-            found = self.known[key] = in_filter(self.pairs, _hash(lang, a + b" " + b))
-        return found
+    def of(lang: str, words: Words) -> Iterator[tuple[pa.Array, np.ndarray]]:
+        yield words.distinct, np.bincount(words.ids, minlength=len(words.distinct))
+        yield pa.array([None], pa.string()), np.array([len(words.ids)])
+
+    return of
+
+
+def _distinct(columns: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of columns of small numbers, and how often each occurs."""
+    key = columns[0]
+    for c in columns[1:]:
+        key = np.unique(key, return_inverse=True)[1] * (int(c.max(initial=0)) + 1) + c
+    _, first, n = np.unique(key, return_index=True, return_counts=True)
+    return [c[first] for c in columns], n
 
 
 def _phrases(frequent, frontiers, pairs=None):
     """Phrases that begin or end with a word of the last frontier, neither with one of an earlier: pairs where ``pairs``
-    is None, else those of three words and more all of whose known pairs are in it. Filters are broadcast."""
+    is None, else those of three words and more whose pairs may all be frequent. Filters are broadcast.
 
-    def add():
-        levels = _Levels(frequent.value, [f.value for f in frontiers], pairs and pairs.value)
-        now = len(frontiers)
+    A filter lets some other words pass, always the same ones: such a word is in a frontier earlier than its count asks,
+    which costs phrases that nobody needed and loses none.
+    """
 
-        def put(counts: Counter, lang: str, text: str) -> None:
-            code = lang.encode()
-            for words in pieces(text):
-                if len(words) < (2 if pairs is None else 3):
-                    continue
-                level = levels.of(code, words)
-                new = [i for i, x in enumerate(level) if x == now]
-                if not new:
-                    continue
-                if pairs is None:
-                    for i in new:
-                        if i + 1 < len(words) and now <= level[i + 1] < RARE:
-                            counts[lang, words[i] + b" " + words[i + 1]] += 1
-                        if i and now < level[i - 1] < RARE:
-                            counts[lang, words[i - 1] + b" " + words[i]] += 1
+    def count():
+        of_frequent, of_frontiers, of_pairs, now = frequent.value, [f.value for f in frontiers], pairs and pairs.value, len(frontiers)
+
+        def of(lang: str, words: Words) -> Iterator[tuple[pa.Array, np.ndarray]]:
+            hashes = word_hashes(lang, words.distinct.to_pylist())
+            levels = np.where(held(of_frequent, hashes), OUTSIDE, RARE)
+            for k in range(now, 0, -1):
+                levels[(levels < RARE) & held(of_frontiers[k - 1], hashes)] = k
+            ids, level = words.ids, levels[words.ids]
+            # Between each word and the next: whether both can stand in one frequent phrase.
+            link = words.follows[1:] & (np.maximum(level[1:], level[:-1]) < RARE)
+            if of_pairs is not None:
+                known = np.flatnonzero(link & (np.minimum(level[1:], level[:-1]) <= now))
+                link[known] = held(of_pairs, pair_hashes(hashes[ids[known]], hashes[ids[known + 1]]))
+            chain = np.ones(len(ids), bool)
+            for m in range(2, MOST_WORDS + 1):
+                chain = chain[:-1] & link[m - 2 :]
+                if of_pairs is None and m > 2 or not chain.any():
+                    return
+                if of_pairs is not None and m == 2:
                     continue
+                at = np.flatnonzero(chain & (np.minimum(level[: len(chain)], level[m - 1 :]) == now))
+                columns, n = _distinct([ids[at + k] for k in range(m)])
+                if len(n):
+                    yield words.joined(columns), n
 
-                def joined(i: int) -> bool:
-                    """Whether words i and i + 1 can stand in a frequent phrase."""
-                    x, y = level[i], level[i + 1]
-                    return max(x, y) < RARE and (min(x, y) > now or levels.pair(code, words[i], words[i + 1]))
-
-                for i in new:
-                    end = i
-                    while end + 1 < len(words) and end - i < MOST_WORDS - 1 and joined(end):
-                        end += 1
-                        if end - i >= 2 and level[end] >= now:
-                            counts[lang, b" ".join(words[i : end + 1])] += 1
-                    begin = i
-                    while begin and i - begin < MOST_WORDS - 1 and joined(begin - 1):
-                        begin -= 1
-                        if i - begin >= 2 and level[begin] > now:
-                            counts[lang, b" ".join(words[begin : i + 1])] += 1
-
-        return put
+        return of
 
-    return add
+    return count
 
 
 def scored(phrases: DataFrame, words: DataFrame, totals: DataFrame) -> DataFrame:
@@ -224,17 +210,17 @@ def collocations(df: DataFrame, least: int = 100, top: int = 2000, percent: int
     words, totals = counts.where("phrase IS NOT NULL"), counts.where("phrase IS NULL").select("lang", "n")
     total = {r["lang"]: r["n"] for r in totals.collect()}
     most = {r["lang"]: r["n"] for r in words.groupBy("lang").agg(F.max("n").alias("n")).collect()}
-    frequent = share(bit_filter(hashed(words)))
+    frequent = share(bit_filter(hashed(words, 1)))
     frontier, open_, filters, found = dict.fromkeys(most, 0), {lang: FIRST * least for lang in most}, [], []
     phrases = survivors = None
     while open_:
         bounds = spark.createDataFrame([(lang, frontier[lang], to) for lang, to in open_.items()], "lang string, above long, upto long")
         frontier |= open_
         new = words.join(F.broadcast(bounds), "lang").where("n > above AND n <= upto")
-        filters.append(share(bit_filter(hashed(new))))
+        filters.append(share(bit_filter(hashed(new, 1))))
         mine = docs.where(F.col("lang").isin(list(open_)))
         found.append(rounds.put(_counted(mine, _phrases(frequent, filters)).where(F.col("n") >= least)))
-        pairs = share(bit_filter(hashed(_all(found).where(F.size(F.split("phrase", " ")) == 2))))
+        pairs = share(bit_filter(hashed(_all(found).where(F.size(F.split("phrase", " ")) == 2), 2)))
         found.append(rounds.put(_counted(mine, _phrases(frequent, filters, pairs)).where(F.col("n") >= least)))
         phrases = _all(found)
         reached = spark.createDataFrame(list(frontier.items()), "lang string, upto long")

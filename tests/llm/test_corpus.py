@@ -222,10 +222,10 @@ def test_collocations_by_brute_force(spark, monkeypatch, least, top, percent):
     assert phrase_rows(phrases.collocations(df, least, top, percent)) == brute_collocations(rows, least, top, percent)
 
 
-def test_collocations_when_all_is_handed_on_early_and_filters_let_all_pass(spark, monkeypatch):
+def test_collocations_in_small_blocks_and_with_filters_that_let_all_pass(spark, monkeypatch):
     rows = corpus(random.Random(15), 60) + [("en", "new york " * 100_000 + "the end")]
     df = documents(spark, [t for _, t in rows], [lang for lang, _ in rows])
-    monkeypatch.setattr(phrases, "HELD", 4)
+    monkeypatch.setattr(phrases, "BLOCK", 200)
     want = brute_collocations(rows, 3, 20)
     assert phrase_rows(phrases.collocations(df, 3, 20)) == want
     real = phrases.bit_filter
