@@ -1,4 +1,4 @@
-"""Per-pixel classification: statistics, training with MLlib, inference with stored weights."""
+"""Per-pixel classification: statistics, training with MLlib, inference with stored weights (``networks`` trains those)."""
 
 from __future__ import annotations
 
@@ -60,8 +60,8 @@ def predicted(model: MultilayerPerceptronClassificationModel, df: DataFrame) ->
     return model.transform(rows).drop("features", "rawPrediction", "probability").withColumn("prediction", F.col("prediction").cast("int"))
 
 
-def accuracy(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
-    return df.agg(F.avg((F.col(prediction) == F.col(label)).cast("double")).alias("accuracy"), F.count("*").alias("n"))
+def accuracy(df: DataFrame, prediction: str = "prediction", label: str = "label", by: list[str] = []) -> DataFrame:
+    return df.groupBy(*by).agg(F.avg((F.col(prediction) == F.col(label)).cast("double")).alias("accuracy"), F.count("*").alias("n"))
 
 
 def weights_from_json(text: str) -> dict:

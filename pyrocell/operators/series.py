@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pyrocell.sources.scans import dimension
 
 
 def chronosequence(fire: DataFrame, first: int, last: int) -> DataFrame:
@@ -58,13 +57,41 @@ def periods(spark, first: int, last: int, special: list[tuple[int, int]] = []) -
 SPECIAL_PERIODS = [(1990, 1995), (1995, 2000), (2000, 2005), (2005, 2010), (2010, 2015), (2015, 2020), (1995, 2005), (2005, 2015), (2000, 2015)]
 
 
+def _burned_years(fire: DataFrame, of: DataFrame) -> tuple[DataFrame, Column]:
+    """(pixel_id, years), one bit a year, one row a pixel; and the periods (y0, y1, mask) as one array.
+
+    Periods are some dozens, and their years 64 at most.
+    """
+    spans = [(r["y0"], r["y1"]) for r in of.select("y0", "y1").distinct().collect()]
+    if not spans:
+        return fire.select("pixel_id", F.lit(0).cast("long").alias("years")).limit(0), F.lit([]).cast("array<struct<y0:int,y1:int,mask:bigint>>")
+    first, last = min(a for a, _ in spans), max(b for _, b in spans)
+    if last - first >= 64:
+        raise ValueError("periods of more than 64 years together")
+    signed = lambda m: m - (1 << 64) if m >> 63 else m
+    masks = [(a, b, signed(sum(1 << y - first for y in range(a, b + 1)))) for a, b in sorted(spans)]
+    periods = F.array(*[F.struct(F.lit(a).alias("y0"), F.lit(b).alias("y1"), F.lit(m).cast("long").alias("mask")) for a, b, m in masks])
+    bit = F.expr(f"shiftleft(1L, CAST(year - {first} AS INT))")
+    return fire.where(F.col("year").between(first, last)).groupBy("pixel_id").agg(F.bit_or(bit).alias("years")), periods
+
+
+def _met(periods: Column, years: Column, keep=lambda p: F.lit(True)) -> Column:
+    """A row for each period in which one of the years lies."""
+    return F.explode(F.filter(periods, lambda p: keep(p) & (p["mask"].bitwiseAND(years) != 0)))
+
+
 def frequency(fire: DataFrame, of: DataFrame) -> DataFrame:
-    """Burned years of each pixel in each period; a pixel that didn't burn in it is absent."""
-    burned = fire.select("pixel_id", "year").distinct()
-    return burned.join(dimension(of), F.col("year").between(F.col("y0"), F.col("y1"))).groupBy("pixel_id", "y0", "y1").agg(F.count("*").alias("frequency"))
+    """Burned years of each pixel in each period; a pixel that didn't burn in it is absent. One row a pixel is shuffled,
+    whatever the number of periods: these are met after it."""
+    burned, periods = _burned_years(fire, of)
+    rows = burned.select("pixel_id", "years", _met(periods, F.col("years")).alias("p"))
+    return rows.select("pixel_id", "p.y0", "p.y1", F.bit_count(F.col("years").bitwiseAND(F.col("p.mask"))).cast("long").alias("frequency"))
 
 
 def accumulated(fire: DataFrame, of: DataFrame, cover: DataFrame) -> DataFrame:
-    """Pixels that burned in a period, with the land cover of its last year."""
-    burned = frequency(fire, of).select("pixel_id", "y0", "y1")
-    return burned.join(cover.select("pixel_id", F.col("year").alias("y1"), "class"), ["pixel_id", "y1"])
+    """Pixels that burned in a period, with the land cover of its last year: one join on the pixel, after which each year
+    of its cover meets the periods that end in it."""
+    burned, periods = _burned_years(fire, of)
+    both = burned.join(cover.select("pixel_id", "year", "class"), "pixel_id")
+    rows = both.select("pixel_id", "class", _met(periods, F.col("years"), lambda p: p["y1"] == F.col("year")).alias("p"))
+    return rows.select("pixel_id", "p.y1", "p.y0", "class")

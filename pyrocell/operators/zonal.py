@@ -112,16 +112,19 @@ def prepared_layer(layer: DataFrame, names: list[str], name: str = "name", numbe
 
 
 def scanlines(polygons: DataFrame) -> DataFrame:
-    """(code, y, x0, x1) for every row of the grid that a polygon (code, ring array<struct<lon, lat>>) covers: its
-    points there are x0 <= x < x1.
+    """(code, y, x0, x1) for every row of the grid that a polygon covers: its points there are x0 <= x < x1.
 
-    Each edge gives one crossing for each row that it spans; a row's crossings in order are the ends of its stretches.
-    So a polygon costs what its outline costs, whatever its area, and no row carries the ring. Points on an edge count
-    as the ray test going east has them. Polygons of one code are told apart; equal ones count once.
+    A polygon is (code, ring array<struct<lon, lat>>), or (code, rings array of such) for a feature of several parts and
+    holes; what an even number of its rings holds is outside. Each edge gives one crossing for each row that it spans; a
+    row's crossings in order are the ends of its stretches. So a polygon costs what its outline costs, whatever its area,
+    and no row carries a ring. Points on an edge count as the ray test going east has them, so a point on an edge that two
+    polygons share is in exactly one. Polygons of one code are told apart; equal ones count once.
     """
-    n = F.size("ring")
-    edge = F.explode(F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(F.element_at("ring", i).alias("a"), F.element_at("ring", i % n + 1).alias("b"))))
-    edges = polygons.select("code", "ring").distinct().withColumn("__polygon", F.xxhash64("code", "ring")).where(n > 0).select("__polygon", "code", edge.alias("e"))
+    rings = F.col("rings") if "rings" in polygons.columns else F.array("ring")
+    next_of = lambda ring, i: F.element_at(ring, i % F.size(ring) + 1)
+    edges_of = lambda ring: F.when(F.size(ring) > 0, F.transform(F.sequence(F.lit(1), F.size(ring)), lambda i: F.struct(F.element_at(ring, i).alias("a"), next_of(ring, i).alias("b"))))
+    edges = polygons.select("code", rings.alias("rings")).distinct().withColumn("__polygon", F.xxhash64("code", "rings"))
+    edges = edges.select("__polygon", "code", F.explode("rings").alias("ring")).select("__polygon", "code", F.explode(edges_of(F.col("ring"))).alias("e"))
     low, high = F.least("e.a.lat", "e.b.lat"), F.greatest("e.a.lat", "e.b.lat")
     rows = edges.withColumns({"__from": F.ceil(low).cast("int"), "__to": (F.ceil(high) - 1).cast("int")}).where("__from <= __to")
     rows = rows.withColumn("y", F.explode(F.sequence("__from", "__to")))
@@ -132,7 +135,7 @@ def scanlines(polygons: DataFrame) -> DataFrame:
 
 
 def labelled_by_polygon(pixels: DataFrame, polygons: DataFrame, cell: int = 256) -> DataFrame:
-    """Pixels (x, y) that lie in polygons (code, ring array<struct<lon, lat>>), with the polygon's code.
+    """Pixels (x, y) that lie in polygons (code, and ring or rings, see ``scanlines``), with the polygon's code.
 
     The polygons' stretches of each row are cut at every ``cell`` columns, and the join is on row and cut.
     """
@@ -164,11 +167,12 @@ def overview(df: DataFrame, levels: int, value: str = "value", how: str | list[s
     return df.groupBy(*keys, down("x"), down("y")).agg(*wanted)
 
 
-def pyramid(df: DataFrame, levels: list[int], value: str = "value", how: str = "mode", keys: list[str] = []) -> DataFrame:
+def pyramid(df: DataFrame, levels: list[int], value: str = "value", how: str | list[str] = "mode", keys: list[str] = []) -> DataFrame:
     """Overviews of several levels at once, with a column ``level``: values are counted by cell of the finest level,
-    and the coarser ones are made from these counts, so the grid is read once. Mode and mean only."""
-    if how not in ("mode", "mean"):
-        raise ValueError(how)
+    and the coarser ones are made from these counts, so the grid is read once, also for several of mode (ties: the
+    least), mean and median. With a list, each is ``<how>_<value>``."""
+    of = {"mode": F.max_by(value, F.struct(F.col("__n"), -F.col(value))), "mean": F.sum(F.col(value) * F.col("__n")) / F.sum("__n"), "median": F.percentile(value, F.lit(0.5), F.col("__n"))}
+    wanted = [of[how].alias(value)] if isinstance(how, str) else [of[h].alias(f"{h}_{value}") for h in how]
     at = lambda c, by: F.floor(F.col(c) / by).cast("int")
     first = 1 << min(levels)
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, at("x", first).alias("x"), at("y", first).alias("y"), value).agg(F.count("*").alias("__n"))
@@ -176,5 +180,4 @@ def pyramid(df: DataFrame, levels: list[int], value: str = "value", how: str = "
     spread = counts.withColumn("__l", step)
     level, x, y = F.col("__l.level").alias("level"), at("x", F.col("__l.by")).alias("x"), at("y", F.col("__l.by")).alias("y")
     summed = spread.groupBy(*keys, level, x, y, value).agg(F.sum("__n").alias("__n"))
-    best = F.max_by(value, F.struct(F.col("__n"), -F.col(value))) if how == "mode" else F.sum(F.col(value) * F.col("__n")) / F.sum("__n")
-    return summed.groupBy(*keys, "level", "x", "y").agg(best.alias(value))
+    return summed.groupBy(*keys, "level", "x", "y").agg(*wanted)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pyrocell.functions import products
-from pyrocell.operators import classify, scars, series, zonal
+from pyrocell.operators import classify, networks, scars, series, zonal
 from pyrocell.plans.mask_queries import SIZES, TABLE
 from pyrocell.plans.registry import query
 from pyrocell.plans.views import YEARS
@@ -17,7 +17,7 @@ from pyrocell.sources import scans
 
 def burned(v) -> DataFrame:
     """Burns with land cover and territory; the key of both joins is the pixel."""
-    cover = scans.carried_forward(v.cover).select("pixel_id", "year", "class")
+    cover = scans.carried_forward(v.cover, last=max(YEARS)).select("pixel_id", "year", "class")
     return v.fire.select("pixel_id", "year", "month").join(cover, ["pixel_id", "year"]).join(v.territory.drop("x", "y"), "pixel_id")
 
 
@@ -48,9 +48,9 @@ def products_of(v) -> DataFrame:
     burns = burns.join(sizes, ["x", "y", "year"]).drop("x", "y")
     so_far = series.running_frequency(v.fire, YEARS[0], last).where("so_far > 0").select(*keys, F.col("so_far").alias("fire_frequency"), F.lit(1).alias("accumulated_burned"))
     times = series.chronosequence(v.fire, YEARS[0], last).where(f"year <= {last}").select(*keys, F.col("year_last").alias("year_last_fire"), F.col("time_after").alias("time_after_fire"))
-    wide = times.join(so_far, keys, "left").join(burns, keys, "left").join(scans.carried_forward(v.cover).select(*keys, "class"), keys, "left")
+    wide = times.join(so_far, keys, "left").join(burns, keys, "left").join(scans.carried_forward(v.cover, last=max(YEARS)).select(*keys, "class"), keys, "left")
     land = v.territory.drop("x", "y").withColumn("ti_id", F.nullif("ti_id", F.lit(0)))
-    return zonal.product_rows(wide).join(land, "pixel_id")
+    return zonal.product_rows(wide.join(land, "pixel_id"))
 
 
 PACKED = {
@@ -82,7 +82,8 @@ SELECT year, unit, territory, biome_id, biome AS biome_id_name, state_id, state
 def c12_b30_named_units(v) -> DataFrame:
     """Monthly burns crossed with land cover by all units; the packed codes of both taken apart and named."""
     land = v.territory.drop("x", "y").withColumn("ti_id", F.nullif("ti_id", F.lit(0)))
-    crossed = zonal.product_rows(burned(v).select("pixel_id", "year", "class", F.col("month").alias("monthly_burned")), ["monthly_burned"]).where("product = 'monthly_burned_coverage'").join(land, "pixel_id")
+    rows = burned(v).select("pixel_id", "year", "class", F.col("month").alias("monthly_burned")).join(land, "pixel_id")
+    crossed = zonal.product_rows(rows, ["monthly_burned"]).where("product = 'monthly_burned_coverage'")
     area = zonal.all_units(crossed, ["value", "year"])
     named = zonal.named_units(area, {"biome_id": v.biomes.withColumnRenamed("biome", "name"), "state_id": v.states.withColumnRenamed("state", "name")})
     month, cls = products.unpacked(F.col("value"))
@@ -110,6 +111,12 @@ def d15_pyramid(v) -> DataFrame:
     return zonal.pyramid(v.cover.withColumnRenamed("class", "value"), [1, 2, 3, 4], keys=["year"])
 
 
+@query(" UNION ALL ".join(f"SELECT year, CAST({n} AS INT) AS level, x // {1 << n} AS x, y // {1 << n} AS y, median(class)::DOUBLE AS median_value, avg(class::DOUBLE) AS mean_value, arg_max(class, n * 1000 - class) AS mode_value FROM (SELECT *, count(*) OVER (PARTITION BY year, x // {1 << n}, y // {1 << n}, class) AS n FROM cover) GROUP BY ALL" for n in (1, 2, 3, 4)))
+def d15_pyramid_all(v) -> DataFrame:
+    """Mode, mean and median of four levels from one read."""
+    return zonal.pyramid(v.cover.withColumnRenamed("class", "value"), [1, 2, 3, 4], how=["mode", "mean", "median"], keys=["year"])
+
+
 @query("SELECT year, x // 4 AS x, y // 4 AS y, median(class)::DOUBLE AS median_value, avg(class::DOUBLE) AS mean_value FROM cover GROUP BY 1, 2, 3")
 def d15_overview_median_mean(v) -> DataFrame:
     return zonal.overview(v.cover.withColumnRenamed("class", "value"), 2, how=["median", "mean"], keys=["year"])
@@ -128,6 +135,20 @@ def c11_polygon_labels(v) -> DataFrame:
     return zonal.labelled_by_polygon(v.territory.select("pixel_id", "x", "y"), triangles(v)).select("pixel_id", "code")
 
 
+def features(v) -> DataFrame:
+    """The triangles with a rectangular hole each, and a square beside it as a second part."""
+    point = lambda x, dy: F.struct(F.lit(x).alias("lon"), (F.element_at("ring", 1)["lat"] + F.lit(dy)).alias("lat"))
+    box = lambda x0, y0, x1, y1: F.array(point(x0, y0), point(x1, y0), point(x1, y1), point(x0, y1))
+    return triangles(v).select("code", F.array("ring", box(12.5, 7.0, 20.5, 13.0), box(44.5, 19.0, 48.5, 23.0)).alias("rings"))
+
+
+@query("""SELECT p.pixel_id, b.pixel_id AS code FROM territory p JOIN territory b ON b.y % 40 = 0 AND b.x = 0 AND p.y BETWEEN b.y + 1 AND b.y + 31
+WHERE (((p.x - 2.25::DOUBLE) * 5.0 - (p.y - b.y - 1.5::DOUBLE) * 38.5 <= 0) AND ((p.x - 40.75::DOUBLE) * 23.75 - (p.y - b.y - 6.5::DOUBLE) * (-30.25) <= 0) AND ((p.x - 10.5::DOUBLE) * (-28.75) - (p.y - b.y - 30.25::DOUBLE) * (-8.25) <= 0)
+  AND NOT (p.x BETWEEN 13 AND 20 AND p.y - b.y BETWEEN 9 AND 14)) OR (p.x BETWEEN 45 AND 48 AND p.y - b.y BETWEEN 21 AND 24)""")
+def c11_polygons_with_holes(v) -> DataFrame:
+    return zonal.labelled_by_polygon(v.territory.select("pixel_id", "x", "y"), features(v)).select("pixel_id", "code")
+
+
 @query("SELECT coalesce(a.pixel_id, b.pixel_id) AS pixel_id, coalesce(a.uc_id, b.ti_id) AS code FROM (SELECT pixel_id, uc_id FROM territory WHERE uc_id > 0) a FULL JOIN (SELECT pixel_id, ti_id FROM territory WHERE ti_id > 0) b ON a.pixel_id = b.pixel_id")
 def c13_overlaid(v) -> DataFrame:
     return zonal.overlaid(v.territory.where("uc_id > 0").select("pixel_id", F.col("uc_id").alias("code")), v.territory.where("ti_id > 0").select("pixel_id", F.col("ti_id").alias("code")))
@@ -203,6 +224,22 @@ def m2_m5_d17_trained_accuracy(v) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+@query()
+def m2_m5_training_report(v) -> DataFrame:
+    """ReLU networks of eight regions (a sensor's half of the grid) in one loop: the hold-out after every 20 steps."""
+    region = F.concat_ws("-", "sensor", F.when(F.col("pixel_id") % 50 < 25, "west").otherwise("east"))
+    s = v.obs.select(region.alias("region"), "order_no", "line_no", "pixel_id", *[(F.col(f"{b}_dn") / 10000.0).alias(b) for b in classify.INPUTS], "label")
+    s = s.withColumn("training", classify.in_training("order_no", "line_no", "pixel_id"))
+    return networks.train(s, ["order_no", "line_no", "pixel_id"], classify.INPUTS, classify.LAYERS, steps=60, every=20)[1]
+
+
+@query("""SELECT sensor, avg((prediction = label)::INT::DOUBLE) AS accuracy, count(*) AS n FROM (SELECT sensor, label, CASE WHEN greatest(red_dn / 10000.0::DOUBLE - 1.0 - 0.1::DOUBLE, 0) + greatest((nir_dn / 10000.0::DOUBLE - 1.0) - (swir2_dn / 10000.0::DOUBLE - 1.0), 0) > 0.25 THEN 1 ELSE 0 END AS prediction FROM obs) GROUP BY 1""")
+def d17_accuracy(v) -> DataFrame:
+    """How often a given network is right, by sensor."""
+    s = v.obs.select("sensor", *[(F.col(f"{b}_dn") / 10000.0).alias(b) for b in classify.INPUTS], "label")
+    return classify.accuracy(classify.infer(s, classify.weights_from_json(WEIGHTS)), by=["sensor"])
+
+
 @query(f"SELECT order_no, line_no, pixel_id, red_dn / 10000.0::DOUBLE AS red, nir_dn / 10000.0::DOUBLE AS nir, swir1_dn / 10000.0::DOUBLE AS swir1, swir2_dn / 10000.0::DOUBLE AS swir2, label FROM obs ORDER BY {HASHED.format(3)}, order_no, line_no, pixel_id LIMIT 1000")
 def f5_batch_sample(v) -> DataFrame:
     return classify.batch_sample(samples(v), 1000, 3, "order_no", "line_no", "pixel_id")

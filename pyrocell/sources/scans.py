@@ -50,11 +50,14 @@ def with_scores(obs: DataFrame, scores: DataFrame) -> DataFrame:
     return obs.join(scores, ["scene_id", "pixel_id"])
 
 
-def carried_forward(cover: DataFrame, years: int = 1) -> DataFrame:
-    """Land cover with its last year repeated for the ``years`` after it."""
-    last = cover.agg(F.max("year").alias("last"))
-    extra = cover.join(F.broadcast(last), F.col("year") == F.col("last")).withColumn("year", F.explode(F.sequence(F.col("year") + 1, F.col("year") + years))).drop("last")
-    return cover.unionByName(extra.select(*cover.columns))
+def carried_forward(cover: DataFrame, years: int = 1, last: int | None = None) -> DataFrame:
+    """Land cover with its last year repeated for the ``years`` after it; the table is read once. Where ``last`` isn't
+    given it is looked up first, from the year column alone."""
+    if last is None:
+        last = cover.agg(F.max("year").alias("last")).first()["last"]
+    year = F.col("year")
+    repeated = F.when(year == F.lit(last), F.sequence(year, year + years)).otherwise(F.array("year"))
+    return cover.withColumn("year", F.explode(repeated)).select(*cover.columns)
 
 
 def of_country(cover: DataFrame, country: str) -> DataFrame:

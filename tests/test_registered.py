@@ -84,6 +84,47 @@ def test_polygons_by_the_ray_test(spark):
     assert zonal.labelled_by_polygon(pixels, polygons.limit(0)).count() == 0
 
 
+def test_features_of_parts_and_holes_by_the_ray_test(spark):
+    """Rings within and beside each other, shared edges, and a point inside an even number of rings."""
+    from pyrocell.operators import zonal
+
+    square = lambda x0, y0, x1, y1: [(x0, y0), (x1, y0), (x1, y1), (x0, y1)]
+    rings = {
+        1: [square(0.0, 0.0, 20.0, 20.0), square(5.0, 5.0, 15.0, 15.0)[::-1], square(8.0, 8.0, 12.0, 12.0), square(30.0, 3.0, 33.5, 9.5)], 2: [square(20.0, 0.0, 30.0, 20.0)],
+        3: [square(5.0, 5.0, 15.0, 15.0)], 4: [square(0.0, 20.0, 20.0, 25.0), []], 5: [[]], 6: [],
+    }
+    df = spark.createDataFrame([(c, [[{"lon": x, "lat": y} for x, y in r] for r in rs]) for c, rs in rings.items()], "code int, rings array<array<struct<lon: double, lat: double>>>")
+
+    def inside(x, y, ring):
+        crossed = 0
+        for (ax, ay), (bx, by) in zip(ring, [*ring[1:], *ring[:1]], strict=True):
+            crossed += (ay > y) != (by > y) and x < ax + (y - ay) * (bx - ax) / (by - ay)
+        return crossed
+
+    pixels = [(x, y) for x in range(-2, 40) for y in range(-2, 30)]
+    want = sorted((x, y, c) for x, y in pixels for c, rs in rings.items() if sum(inside(x, y, r) for r in rs if r) % 2)
+    got = zonal.labelled_by_polygon(spark.createDataFrame(pixels, "x int, y int"), df, cell=8)
+    assert sorted((r["x"], r["y"], r["code"]) for r in got.collect()) == want
+    on_shared = [c for x, y, c in want if x == 20 and 0 < y < 20]
+    assert len(on_shared) == 19 and set(on_shared) == {2}
+
+
+def test_periods_by_masks(spark):
+    """Against counting, with repeated rows, years outside all periods, and a span of 64 years."""
+    from pyrocell.operators import series
+
+    burns = [(1, 1960), (1, 1990), (1, 1990), (1, 2023), (2, 1961), (2, 2030), (3, 1900)]
+    spans = [(1960, 2023), (1961, 1989), (1990, 1990), (2023, 2023)]
+    fire, of = spark.createDataFrame(burns, "pixel_id long, year int"), spark.createDataFrame(spans, "y0 int, y1 int")
+    cover = spark.createDataFrame([(p, y, p * 10) for p in (1, 2) for y in (1989, 1990, 2023)], "pixel_id long, year int, class int")
+    want = {(p, a, b): len({y for q, y in burns if q == p and a <= y <= b}) for p in (1, 2, 3) for a, b in spans}
+    assert {(r["pixel_id"], r["y0"], r["y1"]): r["frequency"] for r in series.frequency(fire, of).collect()} == {k: n for k, n in want.items() if n}
+    assert {(r["pixel_id"], r["y0"], r["y1"], r["class"]) for r in series.accumulated(fire, of, cover).collect()} == {(*k, k[0] * 10) for k, n in want.items() if n}
+    assert series.frequency(fire.limit(0), of).count() == series.frequency(fire, of.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        series.frequency(fire, spark.createDataFrame([(1900, 1999)], "y0 int, y1 int"))
+
+
 def test_unit_codes_come_apart(spark):
     from pyspark.sql import functions as F
 
