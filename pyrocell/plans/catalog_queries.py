@@ -76,6 +76,12 @@ def c23_f2_images_of_units(v) -> DataFrame:
     return catalog.images_of_units(images, units, "monthly")
 
 
+@query(f"SELECT u.unit, arg_min(o.o_orderkey::VARCHAR, (o.o_orderdate, o.o_orderkey::VARCHAR)) AS name FROM (SELECT DISTINCT {U.format('l_shipdate')} AS unit FROM lineitem) u JOIN orders o ON {U.format('o.o_orderdate')} = u.unit GROUP BY 1")
+def c23_f2_images_of_all_units(v) -> DataFrame:
+    images = v.table("orders").select(F.col("o_orderkey").cast("string").alias("name"), F.col("o_orderdate").cast("timestamp").alias("ts"))
+    return catalog.images_of_units(images, v.obs.select(unit("acq_ts").alias("unit")).distinct(), "monthly")
+
+
 @query(f"SELECT DISTINCT {U.format('acq_ts')} AS unit FROM obs")
 def d19_months(v) -> DataFrame:
     return catalog.months_present(v.obs.select(F.col("acq_ts").alias("ts")))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from pyrocell import model
 from pyrocell.functions import optics, products, provenance
-from pyrocell.operators import composite, sentinel, severity
+from pyrocell.operators import composite, footprints, sentinel, severity
 from pyrocell.plans.registry import query
 
 TIES = ["acq_ts", "order_no", "line_no"]
@@ -69,6 +69,45 @@ def b13_cloud_and_shadow(v) -> DataFrame:
     return sentinel.without_cloud_and_shadow(o, probability=97, dark=10500).select("scene_id", "x", "y")
 
 
+@query("""WITH o AS (SELECT concat(sensor, '_', year(acq_ts)) AS scene_id, x, y, max(cloud_probability) AS p, min(scl) AS scl, min(nir_dn) AS nir, radians(90.0::DOUBLE - (37.0::DOUBLE + 13.0::DOUBLE * (year(acq_ts) - 1990) + 7.0::DOUBLE * ascii(sensor[4]))) AS a FROM obs GROUP BY 1, 2, 3, 7),
+c AS (SELECT scene_id, x, y, a FROM o WHERE p > 97),
+t AS (SELECT DISTINCT scene_id, x + CAST(round(k * cos(a)) AS INT) AS x, y - CAST(round(k * sin(a)) AS INT) AS y FROM c, range(1, 21) r(k)),
+b AS (SELECT scene_id, x, y FROM c UNION SELECT o.scene_id, o.x, o.y FROM o JOIN t USING (scene_id, x, y) WHERE o.scl <> 6 AND o.nir < 10500),
+m AS (SELECT scene_id, x + i AS x, y + j AS y FROM b, range(-1, 1) a(i), range(-1, 1) d(j) GROUP BY 1, 2, 3 HAVING count(*) = 4),
+w AS (SELECT DISTINCT scene_id, x + i AS x, y + j AS y FROM m, range(0, 2) a(i), range(0, 2) d(j)),
+q AS (SELECT DISTINCT scene_id, x + i AS x, y FROM w, range(-5, 6) a(i)),
+g AS (SELECT DISTINCT scene_id, x, y + j AS y FROM q, range(-5, 6) d(j))
+SELECT o.scene_id, o.x, o.y FROM o WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.scene_id = o.scene_id AND g.x = o.x AND g.y = o.y)""")
+def b13_shadows_by_azimuth(v) -> DataFrame:
+    """As above, with an azimuth of its own for each scene."""
+    azimuth = 37.0 + 13.0 * (F.year("acq_ts") - 1990) + 7.0 * F.ascii(F.substring("sensor", 4, 1))
+    o = v.obs.groupBy(F.concat_ws("_", "sensor", F.year("acq_ts")).alias("scene_id"), "x", "y", azimuth.alias("solar_azimuth"))
+    o = o.agg(F.max("cloud_probability").alias("cloud_probability"), F.min("scl").alias("scl"), F.min("nir_dn").alias("nir_dn"))
+    return sentinel.without_cloud_and_shadow(o, probability=97, dark=10500).select("scene_id", "x", "y")
+
+
+@query("""SELECT order_no, line_no, nir_dn * 0.0000275::DOUBLE - 0.2::DOUBLE AS nir, CASE WHEN sensor IN ('LC08', 'LC09') THEN floor((red_dn * 0.0000275::DOUBLE - 0.2::DOUBLE) * 10000.0::DOUBLE - 55.0::DOUBLE + 0.5::DOUBLE) / 10000.0::DOUBLE ELSE red_dn * 0.0000275::DOUBLE - 0.2::DOUBLE END AS red, st_dn * 0.00341802::DOUBLE + 149.0::DOUBLE AS st FROM obs""")
+def b1_reflectance_of_all_sensors(v) -> DataFrame:
+    """All four sensors; the correction is that of the newer two."""
+    red = optics.corrected(F.col("sensor"), optics.reflectance(F.col("red_dn")))
+    return v.obs.select(*ID, optics.reflectance(F.col("nir_dn")).alias("nir"), red.alias("red"), optics.temperature(F.col("st_dn")).alias("st"))
+
+
+SIDES = "CASE sensor WHEN 'LT05' THEN 0 WHEN 'LE07' THEN 2 WHEN 'LC08' THEN 4 ELSE 6 END"
+
+
+@query(f"""WITH o AS (SELECT order_no, line_no, x, y, {SIDES} AS k FROM obs), d AS (SELECT *, greatest(k - x, 0, x - (40 + k)) AS dx, greatest(2 * k - y, 0, y - (30 + 3 * k)) AS dy, least(x - k, 40 + k - x, y - 2 * k, 30 + 3 * k - y) AS inner_d FROM o)
+SELECT order_no, line_no FROM d WHERE CASE WHEN dx > 0 OR dy > 0 THEN sqrt(dx * dx + dy * dy) ELSE inner_d END >= 3""")
+def b15_scene_footprints(v) -> DataFrame:
+    """Each sensor's scene has a footprint of its own; a cell stands for a hundred-thousandth of a degree."""
+    d, k = 1e-5, F.expr(SIDES)
+    corner = lambda x, y: F.struct((x * d).alias("lon"), (y * d).alias("lat"))
+    ring = F.array(corner(k, 2 * k), corner(k + 40, 2 * k), corner(k + 40, 3 * k + 30), corner(k, 3 * k + 30))
+    scenes = v.spark.createDataFrame([("LT05",), ("LE07",), ("LC08",), ("LC09",)], "sensor string").select("sensor", ring.alias("ring"))
+    o = v.obs.select(*ID, "sensor", (F.col("x") * d).alias("lon"), (F.col("y") * d).alias("lat"))
+    return footprints.trimmed(o, scenes, 3 * 1.1132 - 1e-3, 8 * d, "sensor").select(*ID)
+
+
 @query("SELECT order_no, line_no, blue_dn AS blue, green_dn AS green, red_dn AS red, nir_dn AS nir, swir1_dn AS swir1, swir2_dn AS swir2 FROM obs")
 def b14_band_names(v) -> DataFrame:
     raw = [v.obs.where(F.col("sensor") == s).select(*ID, *[F.col(f"{b}_dn").alias(n) for b, n in zip(optics.BANDS, names, strict=True)]) for s, names in optics.SOURCE_BANDS.items() if s != "S2"]

@@ -94,6 +94,12 @@ def i5_eroded(v) -> DataFrame:
     return spatial.eroded(cells(v), 1, ["year"])
 
 
+@query(f"SELECT year, x, y FROM (SELECT year, CAST(x + ex AS INT) AS x, CAST(y + ey AS INT) AS y FROM (SELECT DISTINCT year, x + ax AS x, y + ay AS y FROM ({CELLS}), {squares('a', -2, 2)}), {squares('e', -1, 1)}) GROUP BY 1, 2, 3 HAVING count(*) = 9")
+def i5_eroded_of_dilated(v) -> DataFrame:
+    """Erosion of a set that has something to leave: the burns grown by two."""
+    return spatial.eroded(spatial.dilated(cells(v), 2, ["year"]), 1, ["year"])
+
+
 OPENED = f"SELECT DISTINCT year, x + gx AS x, y + gy AS y FROM (SELECT year, x + ax AS x, y + ay AS y FROM ({CELLS}), {squares('a', -1, 0)} GROUP BY 1, 2, 3 HAVING count(*) = 4), range(0, 2) g1(gx), range(0, 2) g2(gy)"
 
 

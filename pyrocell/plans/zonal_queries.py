@@ -12,7 +12,8 @@ from pyrocell.operators import classify, networks, scars, series, zonal
 from pyrocell.plans.mask_queries import SIZES, TABLE
 from pyrocell.plans.registry import query
 from pyrocell.plans.views import YEARS
-from pyrocell.sources import scans
+from pyrocell.sources import scans, stored
+from pyrocell.sources.shared import new_path
 
 
 def burned(v) -> DataFrame:
@@ -38,6 +39,33 @@ def c12_d10_zonal_area(v) -> DataFrame:
     return zonal.zonal_area(burned(v).withColumn("territory", F.col("biome_id") * 100 + F.col("state_id")), ["territory", "class", "year"])
 
 
+def stored_tables(v, buckets: int = 8) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Burns, cover and territory stored by pixel."""
+    out = []
+    for name, df in (("fire", v.fire), ("cover", scans.carried_forward(v.cover, last=max(YEARS))), ("territory", v.territory.drop("x", "y"))):
+        path = new_path(v.spark)
+        table = f"{name}_{path.rsplit('-', 1)[1]}"
+        stored.store_by_pixel(df, table, path, buckets)
+        out.append(stored.by_pixel(v.spark, table))
+    return tuple(out)
+
+
+@query(f"SELECT t.biome_id, t.state_id, c.class, f.year, sum(t.area_km2) * 100 AS area_ha FROM {BURNED} GROUP BY 1, 2, 3, 4")
+def c1_d10_stored_by_pixel(v) -> DataFrame:
+    """Burned area of tables stored by pixel: nothing is shuffled before the sums."""
+    fire, cover, territory = stored_tables(v)
+    both = fire.select("pixel_id", "year").join(cover.select("pixel_id", "year", "class"), ["pixel_id", "year"]).join(territory, "pixel_id")
+    return zonal.zonal_area(both, ["biome_id", "state_id", "class", "year"])
+
+
+@query("SELECT pixel_id, x, y FROM territory WHERE x BETWEEN 10 AND 30 AND y BETWEEN 5 AND 25")
+def a1_box_of_tiles(v) -> DataFrame:
+    """A box of pixels stored along the curve."""
+    path = new_path(v.spark)
+    stored.store_by_tile(v.territory.select("pixel_id", "x", "y"), path, 8)
+    return v.spark.read.parquet(path).where(F.col("x").between(10, 30) & F.col("y").between(5, 25)).select("pixel_id", "x", "y")
+
+
 def products_of(v) -> DataFrame:
     """One row for each pixel and year with a value of some product, its land cover and territory."""
     keys = ["pixel_id", "year"]

@@ -125,6 +125,63 @@ def test_periods_by_masks(spark):
         series.frequency(fire, spark.createDataFrame([(1900, 1999)], "y0 int, y1 int"))
 
 
+def test_tables_stored_by_pixel_join_without_a_shuffle(spark):
+    from pyrocell.plans import zonal_queries
+    from pyrocell.plans.views import Views
+
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fire, cover, territory = zonal_queries.stored_tables(Views(spark, SF))
+        joined = fire.join(cover.select("pixel_id", "year", "class"), ["pixel_id", "year"]).join(territory, "pixel_id")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString() and joined.count() > 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+
+
+def test_boxes_are_in_few_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from pyrocell.sources import stored
+
+    grid = spark.range(256 * 256).selectExpr("cast(id % 256 as int) AS x", "cast(id div 256 as int) AS y")
+    stored.store_by_tile(grid, str(tmp_path / "t"), cell=16, files=32)
+    read = spark.read.parquet(str(tmp_path / "t"))
+    box = read.where(F.col("x").between(64, 95) & F.col("y").between(128, 159))
+    assert box.count() == 32 * 32 and read.count() == 256 * 256
+    spans = read.groupBy(F.input_file_name().alias("f")).agg(*[g(c).alias(f"{g.__name__}_{c}") for g in (F.min, F.max) for c in "xy"])
+    assert spans.where("min_x <= 95 AND max_x >= 64 AND min_y <= 159 AND max_y >= 128").count() <= 4
+    for x, y, want in ((0, 0, 0), (1, 0, 1), (0, 1, 2), (3, 5, 0b100111), ((1 << 20) - 1, 0, sum(1 << 2 * b for b in range(20)))):
+        assert spark.range(1).select(stored.morton(F.lit(x), F.lit(y)).alias("m")).first()["m"] == want
+
+
+def test_observations_near_their_own_footprint(spark):
+    """Slanted edges longer than a cell, other scenes' edges, scenes without a footprint; by distances in the plane."""
+    import math
+    import random
+
+    from pyrocell.operators import footprints
+
+    rnd = random.Random(8)
+    rings = {"a": [(0.0, 40.0), (2.0, 40.3), (1.7, 41.5), (-0.2, 41.0)], "b": [(0.5, 40.2), (1.0, 41.4), (1.5, 40.2)], "c": []}
+    df = spark.createDataFrame([(s, [{"lon": x, "lat": y} for x, y in r]) for s, r in rings.items()], "scene_id string, ring array<struct<lon: double, lat: double>>")
+    obs = [(k, rnd.choice("abcd"), rnd.uniform(-0.5, 2.3), rnd.uniform(39.8, 41.7)) for k in range(3000)]
+
+    def near(lon, lat, ring):
+        wide, high, best = 111_320 * math.cos(math.radians(lat)), 111_320, math.inf
+        for (ax, ay), (bx, by) in zip(ring, [*ring[1:], *ring[:1]], strict=True):
+            px, py, dx, dy = (lon - ax) * wide, (lat - ay) * high, (bx - ax) * wide, (by - ay) * high
+            t = max(0.0, min(1.0, (px * dx + py * dy) / (dx * dx + dy * dy)))
+            best = min(best, math.hypot(px - t * dx, py - t * dy))
+        return best
+
+    want = {k for k, s, lon, lat in obs if near(lon, lat, rings.get(s, [])) >= 3000}
+    for cell in (0.05, 0.25, 3.0):
+        got = footprints.trimmed(spark.createDataFrame(obs, "id int, scene_id string, lon double, lat double"), df, 3000.0, cell)
+        assert {r["id"] for r in got.collect()} == want
+    assert 50 < len(obs) - len(want) < 1000
+
+
 def test_unit_codes_come_apart(spark):
     from pyspark.sql import functions as F
 
