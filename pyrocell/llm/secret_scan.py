@@ -5,10 +5,11 @@ alphabet of its inferred encoding (hexadecimal, base 32, base 36, base 62, base
 groups of the alphabet, the number of runs of its two sorts of characters (lower case and the rest, or letters and
 digits), and the first serial correlation.
 
-* Each test asks how often written text of that length and alphabet would look as random as that or more. Written text
-  is a chain that keeps to a kind of character (lower case, upper case, digits, signs), with letters by their frequency;
-  the statistics' medians and lower tails under it are tabulated by simulation. The three p-values are combined by their
-  Cauchy mean, which holds for tests that depend on each other.
+* Each test asks how often written text of that length and alphabet would look as random as that or more; how usual the
+  letters are is a fourth. Written text is a chain that keeps to a kind of character, and names joined of words in the
+  styles of the alphabet (camel case, kebab case, snake case, paths ...), with letters by their frequency; each
+  statistic's median and lower tail is tabulated by simulation for each style. The four p-values are combined by their
+  Cauchy mean, which holds for tests that depend on each other, and the style that explains the string best counts.
 * A Benjamini-Hochberg step over the candidates of a text, with weights in proportion to length, holds the rate of
   false discoveries. What it keeps are the method's spans.
 * A discovery must also be likely as a uniform string: the same battery's p-values under uniformity, least of three and
@@ -39,7 +40,7 @@ RANDOM = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
 #: Which bytes can be part of a hexadecimal run, or of a candidate.
 IN_HEX = bytes(1 if chr(b) in "0123456789abcdef" else 0 for b in range(256))
 IN_KEY = bytes(1 if chr(b) in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-" else 0 for b in range(256))
-FALSE_RATE, RANDOM_LEVEL = 1e-3, 1e-3
+FALSE_RATE, RANDOM_LEVEL = 3e-3, 1e-3
 
 #: Letters of written English per 1000 (fixed values).
 LETTER_RATE = {"e": 120, "t": 90, "a": 82, "o": 75, "i": 70, "n": 67, "s": 63, "h": 61, "r": 60, "d": 43, "l": 40, "c": 28, "u": 28, "m": 24, "w": 24, "f": 22, "g": 20, "y": 20, "p": 19, "b": 15, "v": 10, "k": 8, "j": 2, "x": 2, "q": 1, "z": 1}
@@ -121,14 +122,35 @@ def _kind(c: str) -> int:
 
 #: Lengths at which written text is simulated, and how often.
 LENGTHS, SAMPLES = (20, 26, 34, 44, 57, 74, 96, 125, 162, 211), 4000
+#: How names are joined of words, by alphabet: what stands between two words, and the kind of a word's first letter and of
+#: its others (see ``_kind``). "chain" is text that keeps to a kind of character without regard to words.
+STYLES = {
+    "hex": {"chain": None},
+    "base32": {"chain": None, "joined": ("", 1, 1)},
+    "base36": {"chain": None, "joined": ("", 0, 0)},
+    "base62": {"chain": None, "camel": ("", 1, 0), "lower": ("", 0, 0)},
+    "base64": {"chain": None, "kebab": ("+", 0, 0), "snake or path": ("/", 0, 0), "title": ("/", 1, 0), "constant": ("/", 1, 1)},
+}
+#: How often a word of a name ends after so many letters (1, 2, ... of the hazard), and how often a number stands for it.
+WORD_ENDS, NUMBER_SHARE = (0.02, 0.06, 0.12, 0.2, 0.25, 0.3, 0.35, 0.4, 0.5, 0.6, 0.8, 1.0), 0.06
 
 
-def written(name: str, n: int, rows: int, rng: np.random.Generator) -> np.ndarray:
-    """Rows of ``n`` places of written text that keeps within the alphabet ``name``."""
+def written(name: str, n: int, rows: int, rng: np.random.Generator, style: str = "chain") -> np.ndarray:
+    """Rows of ``n`` places of written text, or of a name of some style, in the alphabet ``name``."""
     letters = ALPHABETS[name]
     rate = np.array([LETTER_RATE[c.lower()] / 1000 if c.isalpha() else 0.1 if c.isdigit() else 0.25 for c in letters])
     kind = np.array([_kind(c) for c in letters])
-    present = sorted(set(kind.tolist()))
+    kinds = _chain(n, rows, sorted(set(kind.tolist())), rng) if style == "chain" else _joined(n, rows, STYLES[name][style], rng)
+    out = np.empty((rows, n), np.int64)
+    for k in range(4):
+        where = kinds == k
+        of = np.flatnonzero(kind == k) if k < 3 or style == "chain" else np.array([letters.index(STYLES[name][style][0] or letters[0])])
+        if where.any():
+            out[where] = rng.choice(of, int(where.sum()), p=rate[of] / rate[of].sum())
+    return out
+
+
+def _chain(n: int, rows: int, present: list[int], rng: np.random.Generator) -> np.ndarray:
     # Signs stand alone and upper case begins words, so both are left sooner.
     stay = {0: STAY, 1: STAY / 2, 2: STAY, 3: 0.1}
     usual = {0: 0.8, 1: 0.1, 2: 0.07, 3: 0.03}
@@ -136,44 +158,72 @@ def written(name: str, n: int, rows: int, rng: np.random.Generator) -> np.ndarra
     at = rng.choice(len(present), rows, p=share)
     kinds = np.empty((rows, n), np.int64)
     for j in range(n):
-        kinds[:, j] = at
+        kinds[:, j] = np.array(present)[at]
         move = rng.random(rows) >= np.array([stay[k] for k in present])[at]
         at = np.where(move, rng.choice(len(present), rows, p=share), at)
-    out = np.empty((rows, n), np.int64)
-    for i, k in enumerate(present):
-        where = kinds == i
-        of = np.flatnonzero(kind == k)
-        out[where] = rng.choice(of, int(where.sum()), p=rate[of] / rate[of].sum())
-    return out
+    return kinds
+
+
+def _joined(n: int, rows: int, style: tuple[str, int, int], rng: np.random.Generator) -> np.ndarray:
+    between, first, others = style
+    kinds = np.empty((rows, n), np.int64)
+    age, number = np.zeros(rows, np.int64), np.zeros(rows, bool)  # letters of the word so far; -1: a sign is due
+    for j in range(n):
+        kinds[:, j] = np.where(age < 0, 3, np.where(number, 2, np.where(age == 0, first if j else min(first, others), others)))
+        ends = (age >= 0) & (rng.random(rows) < np.where(number, 0.5, np.array(WORD_ENDS)[np.minimum(np.maximum(age, 0), len(WORD_ENDS) - 1)]))
+        starts = ends if not between else age < 0
+        number = np.where(starts, rng.random(rows) < NUMBER_SHARE, number)
+        age = np.where(ends, -1 if between else 0, np.where(age < 0, 0, age + 1))
+    return kinds
 
 
 @functools.cache
-def _written_table(name: str) -> tuple[np.ndarray, np.ndarray]:
-    """Medians and lower deviations, (lengths, 3), of the statistics' normal forms under written text; the deviation is
+def _letter_score(name: str) -> np.ndarray:
+    """How much likelier each letter is in writing than at random, as a logarithm; nothing for digits and signs."""
+    return np.array([math.log(LETTER_RATE[c.lower()] / 1000 * 26) if c.isalpha() else 0.0 for c in ALPHABETS[name]])
+
+
+@functools.cache
+def _kinds(name: str) -> np.ndarray:
+    return np.array([_kind(c) for c in ALPHABETS[name]])
+
+
+@functools.cache
+def _written_tables(name: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each style, medians and lower deviations, (lengths, tests), of the statistics' normal forms; the deviation is
     that of a normal distribution with the same median and lower half percent."""
-    rng = np.random.default_rng(5)
-    forms = [_forms(*statistics(written(name, n, SAMPLES, rng), name), n) for n in LENGTHS]
-    middle = np.array([[np.median(f) for f in fs] for fs in forms])
-    return middle, (middle - np.array([[np.quantile(f, 0.005) for f in fs] for fs in forms])) / 2.576
-
-
-def _forms(chi, runs, serial, n: int):
-    """Roots and shares that are nearly normal, each greater for written than for random strings."""
-    return np.sqrt(chi / n), -np.sqrt(runs / n), serial
-
-
-def written_p(chi: float, runs: float, serial: float, n: int, name: str) -> list[float]:
-    """How likely written text is to look as random as this, by each test."""
-    mean, sd = _written_table(name)
-    at = np.log(LENGTHS)
-    out = []
-    for k, x in enumerate(_forms(chi, runs, serial, n)):
-        m = float(np.interp(math.log(n), at, mean[:, k]))
-        d = float(np.interp(math.log(n), at, sd[:, k])) * math.sqrt(min(1.0, LENGTHS[-1] / n))
-        out.append(max(1e-300, _below((float(x) - m) / max(d, 1e-6))))
+    rng, out = np.random.default_rng(5), []
+    for style in STYLES[name]:
+        forms = [_forms(written(name, n, SAMPLES, rng, style), name) for n in LENGTHS]
+        middle = np.array([[np.median(f) for f in fs] for fs in forms])
+        out.append((middle, (middle - np.array([[np.quantile(f, 0.005) for f in fs] for fs in forms])) / 2.576))
     return out
 
 
+def _forms(xs: np.ndarray, name: str):
+    """Roots and shares that are nearly normal, each greater for written than for random strings: chi-squared, runs of the
+    kinds of characters, serial correlation, and how usual the letters are."""
+    chi, _, serial = statistics(xs, name)
+    kind, n = _kinds(name)[xs], xs.shape[1]
+    runs = 1 + (kind[:, 1:] != kind[:, :-1]).sum(axis=1)
+    return np.sqrt(chi / n), -np.sqrt(runs / n), serial, _letter_score(name)[xs].mean(axis=1)
+
+
+def written_p(xs: np.ndarray, name: str) -> list[float]:
+    """How likely written text, or a name of whichever style looks most like it, is to look as random, by each test."""
+    n = len(xs)
+    forms = [float(f[0]) for f in _forms(xs[None], name)]
+    at, scale = np.log(LENGTHS), math.sqrt(min(1.0, LENGTHS[-1] / n))
+    by_style = []
+    for mean, sd in _written_tables(name):
+        ps = []
+        for k, x in enumerate(forms):
+            m, d = (float(np.interp(math.log(n), at, t[:, k])) for t in (mean, sd))
+            ps.append(max(1e-300, _below((x - m) / max(d * scale, 1e-6))))
+        by_style.append(ps)
+    return max(by_style, key=cauchy)
+
+
 def cauchy(ps: list[float]) -> float:
     """The Cauchy combination of p-values, valid whatever their dependence in the tail; cut at 0.99, so that one test
     that sees nothing doesn't outweigh the others."""
@@ -183,25 +233,25 @@ def cauchy(ps: list[float]) -> float:
 
 @dataclass(frozen=True)
 class Candidate:
-    """A string that may be a key, with its tests: ``tests`` are the three p-values under written text, ``p`` their
+    """A string that may be a key, with its tests: ``tests`` are the four p-values under written text, ``p`` their
     combination, ``fit`` the p-value under uniformity; ``key`` is the verdict."""
 
     start: int
     end: int
     encoding: str
-    tests: tuple[float, float, float]
+    tests: tuple[float, float, float, float]
     p: float
     fit: float
     key: bool
 
 
-def tested(s: str) -> tuple[str, tuple[float, float, float], float, float]:
+def tested(s: str) -> tuple[str, tuple[float, float, float, float], float, float]:
     """Encoding, p-values under written text, their combination, and the p-value under uniformity."""
     name, form = encoding(s)
     place = {c: k for k, c in enumerate(ALPHABETS[name])}
     xs = np.array([place[c] for c in form])
     chi, runs, serial = (float(x[0]) for x in statistics(xs[None], name))
-    tests = written_p(chi, runs, serial, len(xs), name)
+    tests = written_p(xs, name)
     return name, tuple(tests), cauchy(tests), uniform_p(chi, runs, serial, xs, name)
 
 
@@ -249,7 +299,7 @@ def _sorted(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
 
 
 SPANS = "array<struct<kind:string,start:int,end:int>>"
-CANDIDATES = "array<struct<start:int,end:int,encoding:string,chi_p:double,runs_p:double,serial_p:double,p:double,fit:double,key:boolean>>"
+CANDIDATES = "array<struct<start:int,end:int,encoding:string,chi_p:double,runs_p:double,serial_p:double,letters_p:double,p:double,fit:double,key:boolean>>"
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -260,7 +310,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     result; other columns aren't read. Whole texts are scanned, in one pass without a shuffle.
     """
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-    tests = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("encoding", pa.string()), *((n, pa.float64()) for n in ("chi_p", "runs_p", "serial_p", "p", "fit")), ("key", pa.bool_())]))
+    tests = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("encoding", pa.string()), *((n, pa.float64()) for n in ("chi_p", "runs_p", "serial_p", "letters_p", "p", "fit")), ("key", pa.bool_())]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
@@ -268,7 +318,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
                 tried = [candidates(t) for t in texts]
                 found = [_sorted(base(t) + [("random", c.start, c.end) for c in cs if c.key]) for t, cs in zip(texts, tried, strict=True)]
                 spans = [[{"kind": k, "start": a, "end": b} for k, a, b in f] for f in found]
-                rows = [[{"start": c.start, "end": c.end, "encoding": c.encoding, "chi_p": c.tests[0], "runs_p": c.tests[1], "serial_p": c.tests[2], "p": c.p, "fit": c.fit, "key": c.key} for c in cs] for cs in tried]
+                rows = [[{"start": c.start, "end": c.end, "encoding": c.encoding, "chi_p": c.tests[0], "runs_p": c.tests[1], "serial_p": c.tests[2], "letters_p": c.tests[3], "p": c.p, "fit": c.fit, "key": c.key} for c in cs] for cs in tried]
                 yield pa.record_batch([batch.column(0).slice(first, stop - first), pa.array(spans, kind), pa.array(rows, tests)], names=["id", "spans", "candidates"])
 
     rows = df.select(df[id_col].alias("id"), df[text_col].alias("text"))

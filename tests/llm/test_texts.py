@@ -127,13 +127,40 @@ def test_planted_keys_of_five_encodings(spark):
         assert missed <= 0.05 * len(texts) * (4 if name == "base32" else 1) and extra <= 0.01 * len(texts), (name, missed, extra, len(texts))
 
 
+def joined_words(rnd, style):
+    """A made-up name of 20 characters or more."""
+    vowels, others = "aeiou", "bcdfghklmnprstvw"
+    word = lambda: "".join(rnd.choice(others) + rnd.choice(vowels) + rnd.choice(["", "n", "r", "s", "t"]) for _ in range(rnd.randint(1, 3)))
+    while True:
+        ws = [word() for _ in range(rnd.randint(3, 7))]
+        out = {"camel": ws[0] + "".join(w.capitalize() for w in ws[1:]), "pascal": "".join(w.capitalize() for w in ws), "kebab": "-".join(ws), "snake": "_".join(ws), "path": "/".join(ws), "constant": "_".join(ws).upper()}[style]
+        if len(out) >= 20:
+            return out
+
+
+@pytest.mark.parametrize("style", ["camel", "pascal", "kebab", "snake", "path", "constant"])
+def test_names_of_joined_words_are_no_keys(style):
+    rnd = random.Random(style)
+    names = [joined_words(rnd, style) for _ in range(2000)]
+    assert sum(secret_scan.discoveries([n])[0][0] for n in names) <= 20
+    few = [n for n in names[:200] if not secret_scan.discoveries([n])[0][0]]
+    assert all(secret_scan.masked(f"see {n} there", "[SECRET]") == f"see {n} there" for n in few)
+
+
+@pytest.mark.parametrize("name, most", [("hex", 0.01), ("base32", 0.04), ("base36", 0.02), ("base62", 0.02), ("base64", 0.02)])
+def test_random_keys_are_found(name, most):
+    rnd = random.Random(name)
+    missed = [not secret_scan.discoveries(["".join(rnd.choice(secret_scan.ALPHABETS[name]) for _ in range(n))])[0][0] for n in (32, 40, 48) for _ in range(300)]
+    assert sum(missed) <= most * len(missed)
+
+
 def test_written_text_is_rarely_taken_for_a_key():
     """The p-values hold what they say on strings made by the model of written text with another seed."""
     rng = np.random.default_rng(123)
     for name in secret_scan.ALPHABETS:
         for n in (24, 60):
             xs = secret_scan.written(name, n, 2000, rng)
-            ps = np.array([secret_scan.cauchy(secret_scan.written_p(*x, n, name)) for x in zip(*secret_scan.statistics(xs, name), strict=True)])
+            ps = np.array([secret_scan.cauchy(secret_scan.written_p(x, name)) for x in xs])
             assert (ps <= 0.01).mean() <= 0.02 and (ps <= 0.001).mean() <= 0.004, (name, n)
 
 
