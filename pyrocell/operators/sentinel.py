@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pyrocell.operators.spatial import dilated, opened
+from pyrocell.operators.spatial import changed, dilate, open_by
 
 
 def cloud_and_shadow(obs: DataFrame, azimuth: str = "solar_azimuth", probability: float = 40, dark: float = 1500, cells: int = 20, grow: int = 5, erode: int = 2) -> DataFrame:
@@ -21,7 +21,7 @@ def cloud_and_shadow(obs: DataFrame, azimuth: str = "solar_azimuth", probability
     thrown = clouds.select("scene_id", "x", "y", angle.alias("a"), step.alias("s")).select("scene_id", (F.col("x") + F.round(F.col("s") * F.cos("a"))).cast("int").alias("x"), (F.col("y") - F.round(F.col("s") * F.sin("a"))).cast("int").alias("y")).distinct()
     dark_dry = obs.where((F.col("scl") != 6) & (F.col("nir_dn") < dark)).select("scene_id", "x", "y")
     both = clouds.select("scene_id", "x", "y").union(dark_dry.join(thrown, ["scene_id", "x", "y"], "left_semi")).distinct()
-    return dilated(opened(both, erode, ["scene_id"]), grow, ["scene_id"])
+    return changed(both, open_by(erode) + dilate(grow), ["scene_id"])
 
 
 def without_cloud_and_shadow(obs: DataFrame, **options) -> DataFrame:

@@ -55,6 +55,8 @@ def test_components_cross_tiles(spark):
     cells = {(rnd.randrange(-10, 20), rnd.randrange(-10, 20)) for _ in range(420)}
     assert parts(spatial.connected(grid(spark, cells), tile=5)) == brute_parts(cells)
     assert spatial.connected(grid(spark, [])).count() == 0
+    named = spatial.connected(grid(spark, cells).withColumn("Scene", F.lit("s")), ["Scene"], tile=5)
+    assert named.columns == ["x", "y", "Scene", "component"] and parts(named) == brute_parts(cells)
 
 
 def test_solitary_thresholds(spark):
@@ -74,6 +76,47 @@ def test_dilation_and_opening(spark):
     assert found(spatial.closed(grid(spark, hole), 2)) == hole | {(2, 2)}
 
 
+def windows(cells, low, high, every):
+    """Cells of which any or every cell from p - high to p - low is in the set."""
+    spots = [(dx, dy) for dx in range(low, high + 1) for dy in range(low, high + 1)]
+    near = {(x + dx, y + dy) for x, y in cells for dx, dy in spots}
+    return {(x, y) for x, y in near if all((x - dx, y - dy) in cells for dx, dy in spots)} if every else near
+
+
+def test_morphology_by_brute_force_across_tiles_and_grids(spark):
+    rnd = random.Random(3)
+    grids = {k: {(x + rnd.randrange(2), y) for x in range(-70, 75) for y in range(-66, -60) if rnd.random() < 0.9} | {(63, 0), (64, 0), (-64, -64)} for k in ("a", None)}
+    rows = [(x, y, k) for k, cells in grids.items() for x, y in cells] * 2 + [(None, 1, "a")]
+    df = spark.createDataFrame(rows, "x int, y int, Scene string")
+    steps = spatial.open_by(2) + spatial.close_by(4) + spatial.erode(1) + spatial.dilate(2)
+    got = spatial.changed(df, steps, ["Scene"], tile=64).collect()
+    assert len(got) == len(set(got))
+    for k, cells in grids.items():
+        for step in steps:
+            cells = windows(cells, step.low, step.high, step.every)
+        assert cells and {(r["x"], r["y"]) for r in got if r["Scene"] == k} == cells
+    assert spatial.changed(df.limit(0), steps, ["Scene"]).count() == 0
+
+
+def test_steps_that_reach_further_than_a_tile(spark):
+    block = {(x, y) for x in range(3) for y in range(-2, 1)}
+    grown = spatial.changed(grid(spark, block), spatial.dilate(150), tile=64)
+    assert grown.count() == 303 * 303
+    assert found(spatial.changed(grown, spatial.erode(150), tile=64)) == block
+
+
+def test_runs_stay_runs(spark):
+    runs = spark.createDataFrame([(0, -130, 130), (0, 5, 9), (1, -1, 63), (2, 64, 64), (3, 4, 3)], "y int, x0 int, x1 int")
+    cells = {(x, y) for y, a, b in [(0, -130, 130), (1, -1, 63), (2, 64, 64)] for x in range(a, b + 1)}
+    bits = spatial.words_of_runs(runs)
+    assert sorted(bits.collect()) == sorted(spatial.words(grid(spark, cells)).collect())
+    out = spatial.morphed(bits, spatial.dilate(1), tile=64)
+    assert out.columns == ["y", "x0", "x1"] and out.count() < 30
+    assert found(spatial.cells_of(out)) == windows(cells, -1, 1, False)
+    plan = spatial.dilated(grid(spark, cells), 20)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "-20" not in plan
+
+
 @settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.sets(st.tuples(st.integers(0, 8), st.integers(0, 8)), max_size=40))
 def test_opening_is_idempotent_and_inside(spark, cells):
