@@ -15,8 +15,9 @@ import hashlib
 from collections.abc import Iterable
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pyrocell.llm import pieces as P
@@ -175,54 +176,96 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-#: Rows of a bucket at least; beyond MAX_BUCKETS buckets they grow instead (they are sorted on disk and streamed).
-ROWS_BY_BUCKET, MAX_BUCKETS = 4000, 2048
-_OUT = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+#: Rows of a bucket, which is one task: at most so many, however large the table. With larger ones there are fewer tasks.
+ROWS_BY_BUCKET = 4000
+_OUT = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, times long"
 
 
-def _bucketed(df: DataFrame, rows_by_bucket: int) -> tuple[DataFrame, int]:
-    """Rows (k, text, bucket, guest) such that each bucket holds a range of ids and, as guests, what follows its last.
+def _sortable(k: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Pairs of numbers as strings of 16 bytes in the same order."""
+    both = np.stack([np.asarray(k, np.int64), np.asarray(h, np.int64)], axis=1)
+    return (both.view(np.uint64) ^ np.uint64(1 << 63)).astype(">u8").view("S16").ravel()
 
-    Only the buckets' bounds and greatest ids reach the driver: some numbers for each ``rows_by_bucket`` rows.
+
+def _groups(rows: DataFrame, rows_by_bucket: int) -> pa.Table:
+    """The order (k, h) cut into groups of at most ``rows_by_bucket`` rows, ascending: first and last (k, h) and n of
+    each. A (k, h) with more rows is a group of its own, of several buckets. These few numbers for each bucket reach
+    the driver, no text does."""
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        group: list[int] | None = None
+        names = ["k", "h", "k1", "h1", "n"]
+        for batch in batches:
+            done = []
+            for k, h, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if group and group[4] + n > rows_by_bucket:
+                    done.append(group)
+                    group = None
+                group = [group[0], group[1], k, h, group[4] + n] if group else [k, h, k, h, n]
+            yield pa.record_batch([pa.array([g[i] for g in done], pa.int64()) for i in range(5)], names=names)
+        if group:
+            yield pa.record_batch([pa.array([v], pa.int64()) for v in group], names=names)
+
+    counts = rows.groupBy("k", "h").agg(F.count("*").alias("n"))
+    found = counts.repartitionByRange("k", "h").sortWithinPartitions("k", "h").mapInArrow(cut, "k long, h long, k1 long, h1 long, n long").toArrow()
+    return found.sort_by([("k", "ascending"), ("h", "ascending")])
+
+
+def _bucketed(df: DataFrame, rows_by_bucket: int) -> tuple[DataFrame, int, bool]:
+    """Rows (id, text, k, h, times, bucket, guest), how many buckets there are, and whether a row may stand for several.
+
+    A bucket holds a range of (k, h), in falling order, and as guest what follows its last row: the head of the bucket
+    below, after the lowest the highest. Rows of one id and text beyond a bucket's size are united first (map-side),
+    and dealt as counts to buckets of their own; these have no guest but in the lowest, as each is followed by itself.
     """
     least = F.lit(-(1 << 63)).cast("long")
-    rows = df.select("id", F.coalesce(F.col("id").cast("long"), least).alias("k"), "text")
-    n = rows.count()
-    size = min(MAX_BUCKETS, max(1, n // rows_by_bucket))
-    bounds = sorted(set(rows.agg(F.percentile_approx("k", [i / size for i in range(1, size)], 10 * size)).first()[0])) if size > 1 else []
-    bucket = F.lit(0)
-    if bounds:  # the number of bounds below k, by binary search in the expression
-        bucket = _place(F.col("k"), bounds)
-    rows = rows.withColumn("bucket", bucket.cast("int"))
-    heads = sorted(((r["bucket"], r["k"]) for r in rows.groupBy("bucket").agg(F.max("k").alias("k")).collect()))
-    # ids fall, so a bucket is followed by the one below; the lowest by the highest
-    guests = [(k, heads[(i + 1) % len(heads)][0]) for i, (_, k) in enumerate(heads)]
-    if not guests:
-        return rows.withColumn("guest", F.lit(False)), 1
-    table = F.broadcast(df.sparkSession.createDataFrame(guests, "k long, also int"))
-    both = rows.join(table, "k", "left").withColumn("place", F.explode(F.array_compact(F.array(F.struct(F.col("bucket").alias("b"), F.lit(False).alias("g")), F.when(F.col("also").isNotNull(), F.struct(F.col("also").alias("b"), F.lit(True).alias("g")))))))
-    return both.select("id", "k", "text", F.col("place.b").alias("bucket"), F.col("place.g").alias("guest")), len(bounds) + 1
-
-
-def _place(k: Column, bounds: list[int]) -> Column:
-    """How many of the sorted bounds are below k."""
-    if not bounds:
-        return F.lit(0)
-    mid = len(bounds) // 2
-    above = _place(k, bounds[mid + 1 :])
-    return F.when(k <= bounds[mid], _place(k, bounds[:mid])).otherwise(above + (mid + 1))
+    rows = df.select("id", F.coalesce("text", F.lit("")).alias("text")).select("id", "text", F.coalesce(F.col("id").cast("long"), least).alias("k"), F.xxhash64("text").alias("h"))
+    groups = _groups(rows, rows_by_bucket)
+    if not len(groups):
+        return rows.withColumns({"times": F.lit(1).cast("long"), "bucket": F.lit(0), "guest": F.lit(False)}), 1, False
+    n = groups["n"].to_numpy()
+    first, last = _sortable(groups["k"].to_numpy(), groups["h"].to_numpy()), _sortable(groups["k1"].to_numpy(), groups["h1"].to_numpy())
+    buckets = np.where(n > rows_by_bucket, -(-n // rows_by_bucket), 1)
+    base = np.cumsum(buckets) - buckets
+    total, hot = int(buckets.sum()), bool((buckets > 1).any())
+
+    @F.pandas_udf("base int, buckets int, above int")
+    def place(k: pd.Series, h: pd.Series) -> pd.DataFrame:
+        """The first bucket of a row and how many it has; the bucket above, if the row is the head of its own."""
+        key = _sortable(k.to_numpy(), h.to_numpy())
+        at = np.searchsorted(first, key, side="right") - 1
+        above = pd.Series((base[at] + buckets[at]) % total).where(last[at] == key).astype("Int32")
+        return pd.DataFrame({"base": base[at], "buckets": buckets[at], "above": above})
+
+    rows = rows.withColumns({"p": place("k", "h"), "times": F.lit(1).cast("long")})
+    spot = lambda bucket, guest: F.struct(bucket.cast("int").alias("bucket"), F.lit(guest).alias("guest"))
+    guest = F.when(F.col("p.above").isNotNull(), spot(F.col("p.above"), True))
+    columns = ["id", "text", "k", "h", "times", F.col("spot.bucket").alias("bucket"), F.col("spot.guest").alias("guest")]
+    few = rows.where("p.buckets = 1") if hot else rows
+    out = few.withColumn("spot", F.explode(F.array_compact(F.array(spot(F.col("p.base"), False), guest)))).select(*columns)
+    if hot:
+        united = rows.where("p.buckets > 1").groupBy("id", "text", "k", "h", "p").agg(F.count("*").alias("all"))
+        spots = F.concat(F.transform(F.sequence(F.lit(0), F.col("p.buckets") - 1), lambda i: spot(F.col("p.base") + i, False)), F.array(spot(F.col("p.above"), True)))
+        dealt = united.withColumn("spot", F.explode(spots))
+        i = F.col("spot.bucket") - F.col("p.base")
+        share = F.floor(F.col("all") * (i + 1) / F.col("p.buckets")) - F.floor(F.col("all") * i / F.col("p.buckets"))
+        dealt = dealt.withColumn("times", F.when(F.col("spot.guest"), 1).otherwise(share).cast("long")).where("times > 0")
+        out = out.unionByName(dealt.select(*columns))
+    return out, total, hot
 
 
 def edit_probe(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows_by_bucket: int = ROWS_BY_BUCKET) -> DataFrame:
     """For each row: code points, fingerprint, and how like it is to its edited text and to the next document.
 
-    The next document is that of the next smaller id (ties: by text; after the last: the first); ids are integers,
-    null ids come last. A null text counts as empty. A table of one row is followed by itself; an empty table gives
-    an empty result; other columns aren't read. Texts are shuffled once, by ranges of ids.
+    The next document is that of the next smaller id (ties: by the text's hash; after the last: the first); ids are
+    integers, null ids come last. A null text counts as empty. Repeated rows are kept, each followed by the next. A
+    table of one row is followed by itself; an empty table gives an empty result; other columns aren't read. Texts are
+    shuffled once, by ranges of (id, hash); a bucket has at most ``rows_by_bucket`` rows, whatever repeats (one more where
+    null ids and the least number have one text).
     """
-    rows, n = _bucketed(df.select(df[id_col].alias("id"), df[text_col].alias("text")), rows_by_bucket)
+    rows, n, hot = _bucketed(df.select(df[id_col].alias("id"), df[text_col].alias("text")), rows_by_bucket)
     kind = df.schema[id_col].dataType.simpleString()
-    dealt = rows.repartitionById(n, F.col("bucket")).sortWithinPartitions("bucket", "guest", F.desc("k"), "text")
+    dealt = rows.repartitionById(n, F.col("bucket")).sortWithinPartitions("bucket", "guest", F.desc("k"), F.desc("h"), "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         names = ["id", *(c.split()[0] for c in _OUT.split(", "))]
@@ -230,33 +273,33 @@ def edit_probe(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ro
 
         def ready(rows: list[tuple], following: str) -> pa.RecordBatch:
             """The result for rows that follow each other, all of one bucket; ``following`` comes after the last."""
-            texts = [t for _, t in rows]
+            texts = [t for _, t, _ in rows]
             after = [*texts[1:], following]
             changed = [edited(t, f) for t, f in zip(texts, after, strict=True)]
             own = vectors([*texts, following])
             mine, theirs = (own[0][:-1], own[1][:-1]), (own[0][1:], own[1][1:])
             new = replaced(mine, texts, changed, [len(t) - len(t) // 2 for t in texts])
             columns = [
-                pa.array([i for i, _ in rows]), pa.array(map(len, texts), pa.int64()), pa.array([hashlib.sha256(c.encode()).hexdigest() for c in changed], pa.string()),
-                pa.array(as_text(mine), pa.string()), pa.array(as_text(new), pa.string()), pa.array(likeness(mine, new)), pa.array(likeness(mine, theirs)),
+                pa.array([i for i, _, _ in rows], id_type), pa.array(map(len, texts), pa.int64()), pa.array([hashlib.sha256(c.encode()).hexdigest() for c in changed], pa.string()),
+                pa.array(as_text(mine), pa.string()), pa.array(as_text(new), pa.string()), pa.array(likeness(mine, new)), pa.array(likeness(mine, theirs)), pa.array([m for _, _, m in rows], pa.int64()),
             ]
-            return pa.record_batch([columns[0].cast(id_type), *columns[1:]], names=names)
+            return pa.record_batch(columns, names=names)
 
         id_type, size, at = None, 0, None
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for i, t, b, g in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                t = t or ""
-                if g:  # the first guest closes its bucket; others are its ties
-                    if waiting and b == at:
-                        yield ready(waiting, t)
-                        waiting, size = [], 0
-                    continue
-                if waiting and size >= P.BLOCK_CHARS:
-                    yield ready(waiting, t)
+            for i, t, m, b, g in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if waiting and (b != at or g or size >= P.BLOCK_CHARS):  # the first guest closes its bucket; others are its ties
+                    yield ready(waiting, t if b == at else waiting[-1][1])
                     waiting, size = [], 0
-                waiting.append((i, t))
-                size += len(t)
-                at = b
-
-    return dealt.select("id", "text", "bucket", "guest").mapInArrow(run, f"id {kind}, {_OUT}").withColumnRenamed("id", id_col)
+                if not g:
+                    waiting += [(i, t, m - 1), (i, t, 1)] if m > 1 else [(i, t, 1)]  # each copy but the last is followed by itself
+                    size += len(t)
+                    at = b
+        if waiting:
+            yield ready(waiting, waiting[-1][1])
+
+    out = dealt.select("id", "text", "times", "bucket", "guest").mapInArrow(run, f"id {kind}, {_OUT}")
+    if hot:
+        out = out.withColumn("times", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
+    return out.drop("times").withColumnRenamed("id", id_col)

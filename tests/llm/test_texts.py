@@ -1,5 +1,6 @@
 """URL filters, secrets, quality, fingerprints and chat."""
 
+import collections
 import hashlib
 import json
 import os
@@ -10,6 +11,7 @@ import string
 import numpy as np
 import pytest
 from conftest import SF
+from pyspark.sql import functions as F
 from support import database, rows_of, rows_of_sql
 
 from pyrocell.llm import chat, fingerprints, quality, queries, secret_scan, url_filter
@@ -295,6 +297,26 @@ def test_edit_probe_by_brute_force(spark, by):
         assert 0 <= r["near_edited"] <= 1 and (r["near_next"] == 1.0) == (r["fingerprint"] == fingerprints.as_text(fingerprints.vectors([following]))[0])
 
 
+def test_edit_probe_with_hot_ids(spark):
+    """Ids that hold most rows: copies of one text, several texts, null ids; and very long texts. No bucket outgrows its size."""
+    long = "été " * 700_000
+    rows = [(7, "p q r\ns t u v")] * 60 + [(5, f"text {k} of many") for k in range(40)] + [(None, f"void {k}") for k in range(20)] + [(None, "v w x y")] * 31
+    rows += [(9, long), (6, None), (6, ""), (3, long + "x"), (-(1 << 63), "v w x y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    order = [(r["doc_id"], r["text"] or "") for r in df.withColumn("k", F.coalesce("doc_id", F.lit(-(1 << 63)))).orderBy(F.desc("k"), F.desc(F.xxhash64(F.coalesce("text", F.lit("")))), "text").collect()]
+    want = collections.Counter()
+    for k, (i, t) in enumerate(order):
+        following = order[(k + 1) % len(order)][1]
+        want[i if i is not None and i > -(1 << 63) else "last", len(t), hashlib.sha256((t[: len(t) - len(t) // 2] + following[: len(t) // 2]).encode()).hexdigest(), t == following] += 1
+    for by in (4, 1000):
+        got = fingerprints.edit_probe(df, rows_by_bucket=by).collect()
+        keyed = collections.Counter((r["doc_id"] if r["doc_id"] is not None and r["doc_id"] > -(1 << 63) else "last", r["n_chars"], r["edited_sha256"], r["near_next"] == 1.0) for r in got)
+        assert keyed == want and sum(r["doc_id"] is None for r in got) == 51
+        bucketed, n, hot = fingerprints._bucketed(df.withColumnRenamed("doc_id", "id"), by)
+        sizes = [r["n"] for r in bucketed.where("NOT guest").groupBy("bucket").agg(F.sum("times").alias("n")).collect()]
+        assert hot == (by == 4) and max(sizes) <= by + 1 and len(sizes) <= n and sum(sizes) == len(rows)
+
+
 def test_edit_probe_edges(spark):
     df = spark.createDataFrame([(1, "a b c d"), (1, "a b c d"), (None, "x y z")], "doc_id long, text string")
     out = fingerprints.edit_probe(df, rows_by_bucket=1).collect()
