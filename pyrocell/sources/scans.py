@@ -17,8 +17,12 @@ SMALL_ROWS = 100_000
 
 
 def dimension(df: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``most`` rows, which is looked up first."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    """``df`` with a broadcast hint if it has at most ``most`` rows.
+
+    Up to one row more is fetched to find out; these rows are what is broadcast then, so a small input is computed once.
+    """
+    rows = df.limit(most + 1).toArrow()
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)) if len(rows) <= most else df
 
 
 def scene_scan(obs: DataFrame, start: datetime, end: datetime, box: tuple[float, float, float, float] | None = None) -> DataFrame:
