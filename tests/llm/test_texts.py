@@ -3,13 +3,16 @@
 import collections
 import hashlib
 import json
+import math
 import os
 import random
 import re
 import string
+import zlib
 
 import numpy as np
 import pytest
+import regex
 from conftest import SF
 from pyspark.sql import functions as F
 from support import database, rows_of, rows_of_sql
@@ -227,6 +230,38 @@ def test_held_out_labels_are_told_apart(spark):
     assert len(good) > 50 and auc(good, bad) > 0.95
 
 
+def plain_statistics(text):
+    t, n = text or "", len(text or "")
+    words, lines = [w for w in re.split(r"[ \t\n\x0b\f\r]+", t) if w], [x for x in t.split("\n") if x]
+    n_words, n_lines, kinds = len(words), len(lines), len(set(words))
+    share = lambda pattern: sum(map(len, regex.findall(pattern, t))) / max(n, 1)
+    return {
+        "log_words": math.log1p(n_words), "word_length": n / max(n_words, 1), "distinct_words": kinds / math.sqrt(max(n_words, 1)), "repeated_words": 1 - kinds / max(n_words, 1),
+        "repeated_lines": 1 - len(set(lines)) / max(n_lines, 1), "words_by_line": n_words / max(n_lines, 1), "upper": share(r"\p{Lu}"), "signs": share(r"[#$%&*|!<>{}=+^~@\\]"), "digits": share("[0-9]"),
+        "bars": share(r"\|"), "shouts": share("!"), "stops": share(r"\."), "commas": share(","),
+    }
+
+
+def test_quality_by_brute_force(spark, monkeypatch):
+    """Score and prediction of every document in plain Python, from the fitted rules; rules carry weight, and labels that are held out change nothing."""
+    d = "/root/testdata/sf0.01"
+    docs, labels = read(spark, d, "documents"), read(spark, d, "labels")
+    flipped = labels.withColumn("quality", F.when(quality.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
+    fitted = quality.learn(docs, flipped)
+    assert fitted == quality.learn(docs, labels)
+    assert fitted.rules and max(abs(w) for _, w in fitted.rules) > 1
+    monkeypatch.setattr(quality, "learn", lambda *_: fitted)
+    texts = docs.select("doc_id", "text").union(spark.createDataFrame([(-1, None), (-2, ""), (-3, "é " * 300_000), (-4, "\n\n!")], "doc_id long, text string"))
+    got = {r["doc_id"]: r for r in quality.score(texts, labels).collect()}
+    for i, t in map(tuple, texts.collect()):
+        of = plain_statistics(t)
+        z = fitted.intercept + sum(w * of[n] for n, w in fitted.linear)
+        z += sum(w for rule, w in fitted.rules if all((a is None or of[n] > a) and (b is None or of[n] <= b) for n, a, b in rule.bounds))
+        want = 1 / (1 + math.exp(-z))
+        assert abs(got[i]["score"] - want) < 1e-9 and got[i]["predicted"] == int(got[i]["score"] >= 0.7), (i, got[i], want)
+        assert got[i]["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2)
+
+
 def test_quality_edges(spark):
     df = spark.createDataFrame([(1, "a b c", "x"), (2, None, "x"), (3, "", "x"), (3, "", "x"), (None, "z" * 50_000, "x")], "doc_id long, text string, score string")
     labels = spark.createDataFrame([(1, 1), (1, None), (9, 0)], "doc_id long, quality int")
