@@ -24,6 +24,8 @@ from pyrocell.llm import bpe
 from pyrocell.llm import pieces as P
 
 WHITE = re.compile("[" + "".join(map(chr, P.SPACES)) + "]")
+#: Texts that are counted together, so many bytes or one text.
+BLOCK_BYTES = 1 << 20
 CHUNK_CHARS = 1 << 16
 
 
@@ -174,14 +176,14 @@ def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     A null text counts as empty (no tokens); an empty table gives an empty result; repeated rows and null ids are kept
     row by row; other columns aren't read, whatever their names. No shuffle: one pass of Arrow batches, cut into
-    blocks of about a million characters, so memory follows neither the table nor the length of a batch.
+    blocks of about a million bytes, so memory follows neither the table nor the length of a batch, but the longest text.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            n = pa.array(count_texts(texts, path, chunk_chars), pa.int64())
-            yield pa.record_batch([batch.column(0), batch.column(1), n], names=["id", "n_bytes", "n_tokens"])
+            for a, b, texts in P.text_blocks(batch.column(2), BLOCK_BYTES):
+                n = pa.array(count_texts(texts, path, chunk_chars), pa.int64())
+                yield pa.record_batch([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), n], names=["id", "n_bytes", "n_tokens"])
 
     rows = df.select(df[id_col].alias("id"), F.coalesce(F.octet_length(df[text_col]), F.lit(0)).cast("long").alias("n_bytes"), df[text_col].alias("text"))
     kind = rows.schema["id"].dataType.simpleString()

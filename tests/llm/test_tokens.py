@@ -90,6 +90,10 @@ def test_counts_as_rows(spark):
         n = len(ids(WORD, t or ""))
         assert (got[i]["n_bytes"], got[i]["n_tokens"], got[i]["over_limit"]) == (len((t or "").encode()), n, n > 3)
     assert got[None]["n_tokens"] == 2
+    words = random.Random(2).choices(["burn", "scar", "é", "12,5", "savanna", "\n", "x" * 90], k=1_000_000)
+    texts = {1: " ".join(words), 2: "", 3: " ".join(words[:200_000]), 4: "b" * 300_000, 5: None, 6: "burn"}  # the first of 14 MB
+    long = token_counts.count_tokens(spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(1), WORD)
+    assert {r["doc_id"]: r["n_tokens"] for r in long.collect()} == {i: len(ids(WORD, t or "")) for i, t in texts.items()}
     assert token_counts.count_tokens(df.limit(0), WORD).columns == ["doc_id", "n_bytes", "n_tokens", "over_limit"]
     assert token_counts.count_tokens(df.limit(0), WORD).count() == 0
 
