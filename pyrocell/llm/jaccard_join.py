@@ -5,8 +5,8 @@
 2. Documents of one set form a class; classes, not copies, are joined. A class's rarest n-grams (its prefix) must meet
    those of every class it links with. Classes that share a prefix n-gram form a bucket.
 3. In each bucket all classes are first compared with one of them. Where that leaves a bucket in several components,
-   the classes outside its largest component are compared with those of other components. Two classes of one component
-   needn't be compared, so a group of near copies costs as many pairs as it has members.
+   the classes outside its largest component are compared with those of other components and of about their size. Two
+   classes of one component needn't be compared, so a group of near copies costs as many pairs as it has members.
 4. A pair is compared by fragments: overlaps are counted in each on its own and summed.
 
 No candidate is dropped but by bounds that hold for every linked pair (prefix, sizes, positions).
@@ -14,25 +14,26 @@ No candidate is dropped but by bounds that hold for every linked pair (prefix, s
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pyrocell.llm import pieces as P
-from pyrocell.llm.common import heavy, kept, salted
+from pyrocell.llm.common import bit_filter, heavy, kept, salted
 from pyrocell.llm.components import components
 from pyrocell.llm.fingerprints import mixed, word_hashes
 
 SLOT_BITS, SLICES, FRAGMENTS = 21, 64, 8
 #: n-grams of this count's rank or above go through joins that split, so no window is larger.
 HOT = 100_000
-#: Bits of the filter of wanted ids: sixteen for each, within these bounds; of more ids than FILTER_IDS it is a join.
-FILTER_BITS, FILTER_IDS = (16, 27), 1 << 23
+#: With more wanted ids than this their filter is a join.
+FILTER_IDS = 1 << 23
 LARGE_CLASSES = 1000
 #: Rows of one key at least, before it is salted.
 SALTED = 256
@@ -174,16 +175,12 @@ def segments_of(df: DataFrame, order, n: int, wanted) -> DataFrame:
     return rows.mapInArrow(run, "key long, fragment int, grams array<long>")
 
 
-def id_filter(ids: DataFrame, n: int) -> np.ndarray:
-    """A bit for each hash of the ``n`` ids; some others (one in sixteen) pass too, which changes no result."""
-    width = min(FILTER_BITS[1], max(FILTER_BITS[0], (16 * n).bit_length()))
-    at = F.pmod(F.xxhash64("id"), F.lit(1 << width))
-    slots = ids.select(at.alias("at")).selectExpr("cast(at div 32 as int) AS word", "shiftleft(1L, cast(at % 32 AS int)) AS bit")
-    words = slots.groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    rows = words.toPandas()
-    out = np.zeros(1 << width - 5, np.uint32)
-    out[rows["word"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64).astype(np.uint32)
-    return out.view(np.uint8)
+def band(size: Column, percent: int) -> Column:
+    """A number by size, such that sets that link have the same or neighbouring numbers.
+
+    A link bounds the quotient of both sizes, so a step is that bound, and a little more for rounding.
+    """
+    return F.floor(F.log(size.cast("double")) / (max(math.log(100 / percent), 0.01) * 1.001)).cast("int")
 
 
 def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
@@ -243,7 +240,7 @@ def linked(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
         if count > FILTER_IDS:
             segments = segments_of(docs.join(ids, "id", "left_semi"), order, n, None)
         else:
-            segments = segments_of(docs, order, n, spark.sparkContext.broadcast(id_filter(ids, count)))
+            segments = segments_of(docs, order, n, spark.sparkContext.broadcast(bit_filter(ids.select(F.xxhash64("id").alias("hash")), count)))
         found = overlaps(pairs, segments)
         return kept(found.where(F.col("overlap") * 100 >= (F.col("size_a") + F.col("size_b") - F.col("overlap")) * percent).select("a", "b"))
 
@@ -255,9 +252,13 @@ def linked(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
     by = labelled.groupBy("gram", "component").agg(F.count("*").alias("n")).groupBy("gram").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts"))
     several = kept(labelled.join(by.where("parts > 1"), "gram").withColumn("aside", F.col("component") != F.col("most.component")).drop("most", "parts"))
     aside = several.where("aside")
-    many = heavy(aside, "gram", several.count(), SALTED)  # a bucket's rows outside its largest component are dealt
-    x, y = salted(aside, "gram", many, F.xxhash64("key"), "salt").alias("x"), salted(several, "gram", many, None, "salt").alias("y")
-    across = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.component") != F.col("y.component")) & may_link(F.col("x.size"), F.col("x.at"), F.col("y.size"), F.col("y.at")))
+    # They meet by size band in the bucket: a row its own band, the others also those beside theirs.
+    cell = lambda at: F.xxhash64("gram", at)
+    aside = aside.withColumn("cell", cell(band(F.col("size"), percent)))
+    near = several.withColumn("cell", F.explode(F.transform(F.array(*[F.lit(d) for d in (-1, 0, 1)]), lambda d: cell(band(F.col("size"), percent) + d))))
+    many = heavy(aside, "cell", several.count(), SALTED)  # a cell's rows outside the largest component are dealt
+    x, y = salted(aside, "cell", many, F.xxhash64("key"), "salt").alias("x"), salted(near, "cell", many, None, "salt").alias("y")
+    across = x.join(y, (F.col("x.cell") == F.col("y.cell")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.gram") == F.col("y.gram")) & (F.col("x.component") != F.col("y.component")) & may_link(F.col("x.size"), F.col("x.at"), F.col("y.size"), F.col("y.at")))
     across = across.select(*ordered("x.key", "x.size", "y.key", "y.size"))
     rest = kept(across.dropDuplicates(["a", "b"]).join(star.select("a", "b"), ["a", "b"], "left_anti"))
     return members, links.union(compare(rest))

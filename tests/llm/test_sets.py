@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from conftest import SF
+from pyspark.sql import functions as F
 
 from pyrocell.llm import jaccard_join, neighbours
 from pyrocell.llm.components import components
@@ -102,6 +103,24 @@ def test_salts_and_filters_change_nothing(spark, monkeypatch):
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join(df, 3, 80).collect()} == want
 
 
+@pytest.mark.parametrize("percent", [80, 85, 50, 100, 7])
+def test_bands_hold_all_sizes_that_link(spark, percent):
+    """Of all sizes whose quotient allows a link, exactly at its bound too, bands differ by one at most."""
+    sizes = spark.range(1, 3000).select(F.col("id").alias("a"))
+    pairs = sizes.select("a", F.explode(F.array(F.ceil(F.col("a") * percent / 100), F.col("a"), F.expr(f"(a * {percent} + 99) div 100"))).alias("b")).where(f"b * 100 >= a * {percent}")
+    far = pairs.where(F.abs(jaccard_join.band(F.col("a"), percent) - jaccard_join.band(F.col("b"), percent)) > 1)
+    assert pairs.count() > 2000 and not far.count()
+
+
+def test_sets_at_the_edge_of_sizes_link_across_components(spark):
+    """64, 80, 100 and 125 words, each in the next at exactly 80 percent, in one bucket with many that link with none."""
+    words = [f"w{k}" for k in range(125)]
+    rows = [(i, " ".join(words[:n])) for i, n in enumerate((125, 64, 100, 80))]
+    rows += [(10 + i, " ".join([*words[:3], *(f"u{i}x{k}" for k in range(i % 9 + 1))])) for i in range(40)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string"), 1, 80).collect()}
+    assert got == brute_join(rows, 1, 80) and {got[i][1] for i in range(4)} == {0}
+
+
 def test_join_on_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join(docs, 4, 85).collect()}
