@@ -16,17 +16,22 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pyrocell.llm import bpe
 from pyrocell.llm import pieces as P
+from pyrocell.llm.common import heavy, kept
 
 WHITE = re.compile("[" + "".join(map(chr, P.SPACES)) + "]")
 #: Texts that are counted together, so many bytes or one text.
 BLOCK_BYTES = 1 << 20
-CHUNK_CHARS = 1 << 16
+#: Longer texts are cut into chunks of so many code points; a text's maps are composed so many at a time.
+CHUNK_CHARS, FAN = 1 << 16, 64
+#: Long rows of one text, at least, before its count is broadcast to them (those of a thousandth of all, or more).
+REPEATED = 1000
 
 
 class Transducer:
@@ -155,37 +160,104 @@ def folded(maps: list[list[ChunkMap]], totals) -> list[ChunkMap]:
 
 
 def count_texts(texts: list[str], path: str, chunk_chars: int = CHUNK_CHARS) -> list[int]:
-    """The number of tokens of each text, without special tokens of its own."""
-    of = counter(path)
-    if not of.codes.vocab.suffix:
-        raise ValueError("chunks need a vocabulary whose words end at white space")
-    long = [i for i, t in enumerate(texts) if len(t) > chunk_chars]
-    if not long:
-        return of.totals(texts)
-    out = of.totals(["" if len(t) > chunk_chars else t for t in texts])
-    maps = [chunk_maps([texts[i][k : k + chunk_chars] for k in range(0, len(texts[i]), chunk_chars)], of.totals) for i in long]
-    whole = folded(maps, of.totals)
-    ends = iter(of.totals([x for m in whole for x in (m.head, m.tail or "")]))
-    for i, m in zip(long, whole, strict=True):
-        out[i] = m.count + next(ends) + next(ends)
-    return out
+    """The number of tokens of each text, without special tokens of its own: chunked and composed as in the jobs."""
+    of = counter(path).totals
+    maps = folded([chunk_maps([t[k : k + chunk_chars] for k in range(0, len(t), chunk_chars) or (0,)], of) for t in texts], of)
+    return closed(maps, of)
+
+
+def closed(maps: list[ChunkMap], totals) -> list[int]:
+    """The tokens of whole texts: what is open at their ends ends there."""
+    ends = iter(totals([x for m in maps for x in (m.head, m.tail or "")]))
+    return [m.count + next(ends) + next(ends) for m in maps]
+
+
+def _maps(pdf: pd.DataFrame) -> list[ChunkMap]:
+    return [ChunkMap(h, c, t) for h, c, t in zip(pdf["head"], pdf["count"].tolist(), pdf["tail"].where(pdf["tail"].notna(), None), strict=True)]
+
+
+MAP = "head string, count long, tail string"
+
+
+def long_maps(rows: DataFrame, path: str, chunk_chars: int) -> DataFrame:
+    """(id, n_bytes, key, k, head, count, tail): the map of chunk ``k`` of each of ``rows`` (id, n_bytes, text).
+
+    ``key`` tells texts apart. The task that reads a text only cuts it; its chunks are dealt to all tasks.
+    """
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            for a, _, texts in P.text_blocks(batch.column("text"), 1):  # one text at a time
+                for first in range(0, len(texts[0]), FAN * chunk_chars):
+                    at = range(first, min(len(texts[0]), first + FAN * chunk_chars), chunk_chars)
+                    same = [batch.column(c).slice(a, 1).take(pa.array([0] * len(at))) for c in ("id", "n_bytes", "key")]
+                    yield pa.record_batch([*same, pa.array([x // chunk_chars for x in at], pa.int64()), pa.array([texts[0][x : x + chunk_chars] for x in at])], names=["id", "n_bytes", "key", "k", "chunk"])
+
+    def mapped(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, chunks in P.text_blocks(batch.column("chunk"), BLOCK_BYTES):
+                maps = chunk_maps(chunks, counter(path).totals)
+                parts = [pa.array([m.head for m in maps]), pa.array([m.count for m in maps], pa.int64()), pa.array([m.tail for m in maps], pa.string())]
+                yield pa.record_batch([batch.column(c).slice(a, b - a) for c in ("id", "n_bytes", "key", "k")] + parts, names=["id", "n_bytes", "key", "k", "head", "count", "tail"])
+
+    keyed = rows.select("id", "n_bytes", F.sha2("text", 256).alias("key"), "text")
+    chunks = keyed.mapInArrow(cut, f"id {kind}, n_bytes long, key string, k long, chunk string").hint("rebalance")
+    return chunks.mapInArrow(mapped, f"id {kind}, n_bytes long, key string, k long, {MAP}")
+
+
+def scanned(maps: DataFrame, path: str) -> DataFrame:
+    """(key, n_tokens) of whole texts from the maps of their chunks, composed FAN at a time in ever fewer rows.
+
+    Chunks of repeated texts are made one before they meet, so no group has more than FAN rows.
+    """
+    last = maps.agg(F.max("k")).first()[0] or 0
+
+    def joined(pdf: pd.DataFrame) -> pd.DataFrame:
+        m = folded([_maps(pdf.sort_values("k"))], counter(path).totals)[0]
+        return pd.DataFrame({"key": pdf["key"].iloc[:1], "k": pdf["k"].iloc[:1] // FAN, "head": [m.head], "count": [m.count], "tail": [m.tail]})
+
+    level = maps.groupBy("key", "k").agg(F.first(F.struct("head", "count", "tail")).alias("m")).select("key", "k", "m.*")
+    while last:
+        level = level.groupBy("key", F.expr(f"k div {FAN}")).applyInPandas(joined, f"key string, k long, {MAP}")
+        last //= FAN
+
+    def ended(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"key": pdf["key"], "n_tokens": closed(_maps(pdf), counter(path).totals)})
+
+    return level.mapInPandas(ended, "key string, n_tokens long")
 
 
 def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 2048, chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """For each row its id, ``n_bytes`` (UTF-8), ``n_tokens`` and ``over_limit`` (n_tokens > limit).
 
     A null text counts as empty (no tokens); an empty table gives an empty result; repeated rows and null ids are kept
-    row by row; other columns aren't read, whatever their names. No shuffle: one pass of Arrow batches, cut into
-    blocks of about a million bytes, so memory follows neither the table nor the length of a batch, but the longest text.
+    row by row; other columns aren't read, whatever their names. Texts of one chunk take one pass of Arrow batches, cut
+    into blocks of about a million bytes, and no shuffle. Longer ones are read in a second pass and shuffled once, chunk
+    by chunk; then only maps move, whose size follows the words at the chunks' ends. So a task's memory follows the
+    longest text where it is cut, and chunks (or the longest word) where it is counted.
     """
+    if not counter(path).codes.vocab.suffix:
+        raise ValueError("chunks need a vocabulary whose words end at white space")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
             for a, b, texts in P.text_blocks(batch.column(2), BLOCK_BYTES):
-                n = pa.array(count_texts(texts, path, chunk_chars), pa.int64())
+                n = pa.array(counter(path).totals(texts), pa.int64())
                 yield pa.record_batch([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), n], names=["id", "n_bytes", "n_tokens"])
 
     rows = df.select(df[id_col].alias("id"), F.coalesce(F.octet_length(df[text_col]), F.lit(0)).cast("long").alias("n_bytes"), df[text_col].alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    out = rows.mapInArrow(run, f"id {kind}, n_bytes long, n_tokens long")
+    is_long = F.coalesce(F.length("text"), F.lit(0)) > chunk_chars
+    out = rows.where(~is_long).mapInArrow(run, f"id {kind}, n_bytes long, n_tokens long")
+    maps = kept(long_maps(rows.where(is_long), path, chunk_chars))
+    long = maps.where("k = 0").select("id", "n_bytes", "key")
+    total = long.count()
+    if total:
+        counts = kept(scanned(maps, path))
+        often = heavy(long, "key", total, REPEATED).select("key")  # a thousand texts at most
+        known = F.broadcast(counts.join(often, "key", "left_semi"))
+        found = long.join(known, "key").unionByName(long.join(often, "key", "left_anti").join(counts, "key"))
+        out = out.unionByName(found.select("id", "n_bytes", "n_tokens"))
     return out.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

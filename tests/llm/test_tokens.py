@@ -73,6 +73,19 @@ def test_counts_dont_depend_on_chunks(size):
     assert token_counts.count_texts(texts, WORD, size) == [len(ids(WORD, t)) for t in texts]
 
 
+@pytest.mark.parametrize(("size", "fan", "repeated"), [(5, 2, 2), (40, 64, 1000)])
+def test_chunks_of_long_texts_meet_by_a_scan(spark, monkeypatch, size, fan, repeated):
+    """Several levels of maps, texts without white space, ids and texts that repeat, null ids, a text many rows share."""
+    monkeypatch.setattr(token_counts, "FAN", fan)
+    monkeypatch.setattr(token_counts, "REPEATED", repeated)
+    rnd = random.Random(size)
+    texts = [*HARD, None, "", "the cat's  hat\n" * 9, "ab" * 70 + " x", *("".join(rnd.choice(["fire ", "scar", "\u00e9", ", ", "\n", "12.5 "]) for _ in range(rnd.randint(1, 120))) for _ in range(30))]
+    data = [*enumerate(texts), *((None, t) for t in texts[-3:]), *[(7, texts[-1])] * 5, *((500 + i, texts[-2]) for i in range(9))]
+    df = spark.createDataFrame([(i, t, "x") for i, t in data], "doc_id long, text string, key string").repartition(3)
+    got = sorted(((r["doc_id"], r["n_bytes"], r["n_tokens"]) for r in token_counts.count_tokens(df, WORD, chunk_chars=size).collect()), key=repr)
+    assert got == sorted(((i, len((t or "").encode()), len(ids(WORD, t or ""))) for i, t in data), key=repr)
+
+
 def test_a_full_state_table_begins_anew():
     t = token_counts.Transducer(bpe.vocabulary(WORD), most=10)
     for w in ("thanonion", "weather", "kangaroo", "thanonion"):
