@@ -183,8 +183,9 @@ def band(size: Column, percent: int) -> Column:
     return F.floor(F.log(size.cast("double")) / (max(math.log(100 / percent), 0.01) * 1.001)).cast("int")
 
 
-def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """``pairs`` (a, b, size_a, size_b) with the overlap of their sets: counted by fragment, summed by pair.
+def overlaps(pairs: DataFrame, of_a: DataFrame, of_b: DataFrame) -> DataFrame:
+    """``pairs`` (a, b, size_a, size_b) with the overlap of their sets: counted by fragment, summed by pair. ``of_a`` and
+    ``of_b`` hold the segments of either side's classes; other classes' do no harm.
 
     Both joins are on (class, fragment); a class may come more than once. A class with very many pairs, such as the hub
     of a large group of copies, is salted on both sides.
@@ -193,8 +194,8 @@ def overlaps(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     heavy_a, heavy_b = heavy(pairs, "a", total, SALTED), heavy(pairs, "b", total, SALTED)
     dealt = salted(salted(pairs, "a", heavy_a, F.xxhash64("b"), "salt_a"), "b", heavy_b, F.xxhash64("a"), "salt_b")
     parted = dealt.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))))
-    left = salted(segments.select(F.col("key").alias("a"), "fragment", F.col("grams").alias("grams_a")), "a", heavy_a, None, "salt_a")
-    right = salted(segments.select(F.col("key").alias("b"), "fragment", F.col("grams").alias("grams_b")), "b", heavy_b, None, "salt_b")
+    left = salted(of_a.select(F.col("key").alias("a"), "fragment", F.col("grams").alias("grams_a")), "a", heavy_a, None, "salt_a")
+    right = salted(of_b.select(F.col("key").alias("b"), "fragment", F.col("grams").alias("grams_b")), "b", heavy_b, None, "salt_b")
     partial = parted.join(left, ["a", "fragment", "salt_a"]).join(right, ["b", "fragment", "salt_b"]).select("a", "b", "size_a", "size_b", "fragment", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("n"))
     once = partial.groupBy("a", "b", "size_a", "size_b", "fragment").agg(F.max("n").alias("n"))
     return once.groupBy("a", "b", "size_a", "size_b").agg(F.sum("n").alias("overlap"))
@@ -210,7 +211,7 @@ def linked(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
     order = spark.sparkContext.broadcast(Order(sketch(docs.select("text"), n)))
     rows = kept(classes_of(docs, order, n, percent))
     members = rows.select("id", "size", "key")
-    classes = rows.where("size > 0").groupBy("key", "check", "size").agg(F.first("cold").alias("cold"), F.first("hot").alias("hot"))
+    classes = kept(rows.where("size > 0").groupBy("key", "check", "size").agg(F.first("cold").alias("cold"), F.first("hot").alias("hot")))
 
     def may_link(size_a, at_a, size_b, at_b):
         """What holds at the first common n-gram of a linked pair: the overlap can't be more than what is left of
@@ -234,28 +235,34 @@ def linked(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
 
     def compare(pairs: DataFrame) -> DataFrame:
         """Which pairs (a, b, with sizes) are linked."""
-        keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-        ids = kept(members.groupBy("key").agg(F.min("id").alias("id")).join(keys, "key", "left_semi").select("id"))
-        count = ids.count()
-        if count > FILTER_IDS:
-            segments = segments_of(docs.join(ids, "id", "left_semi"), order, n, None)
-        else:
-            segments = segments_of(docs, order, n, spark.sparkContext.broadcast(bit_filter(ids.select(F.xxhash64("id").alias("hash")), count)))
-        found = overlaps(pairs, segments)
+        firsts = members.groupBy("key").agg(F.min("id").alias("id"))
+
+        def segments(side: str) -> DataFrame:
+            ids = kept(firsts.join(pairs.select(F.col(side).alias("key")).distinct(), "key", "left_semi").select("id"))
+            count = ids.count()
+            if count > FILTER_IDS:
+                return segments_of(docs.join(ids, "id", "left_semi"), order, n, None)
+            return segments_of(docs, order, n, spark.sparkContext.broadcast(bit_filter(ids.select(F.xxhash64("id").alias("hash")), count)))
+
+        found = overlaps(pairs, segments("a"), segments("b"))
         return kept(found.where(F.col("overlap") * 100 >= (F.col("size_a") + F.col("size_b") - F.col("overlap")) * percent).select("a", "b"))
 
     star = buckets.where((F.col("hub.key") != F.col("key")) & may_link(F.col("hub.size"), F.col("hub.at"), F.col("size"), F.col("at")))
-    star = star.select(*ordered("hub.key", "hub.size", "key", "size"))
-    star = kept(star.dropDuplicates(["a", "b"]))
-    links = compare(star)
+    star = star.select(*ordered("hub.key", "hub.size", "key", "size"), F.col("hub.key").alias("hub"))
+    star = kept(star.groupBy("a", "b", "size_a", "size_b").agg(F.min("hub").alias("hub")))
+    # Hubs stand on one side and what is compared with them on the other, so either side's segments are moved once.
+    turned = F.col("hub") == F.col("b")
+    pick = lambda x, y: F.when(turned, F.col(x)).otherwise(F.col(y))
+    links = compare(star.select(pick("b", "a").alias("a"), pick("a", "b").alias("b"), pick("size_b", "size_a").alias("size_a"), pick("size_a", "size_b").alias("size_b")))
     labelled = buckets.drop("hub").join(components(links), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    by = labelled.groupBy("gram", "component").agg(F.count("*").alias("n")).groupBy("gram").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts"))
+    by = labelled.groupBy("gram", "component").agg(F.count("*").alias("n")).groupBy("gram").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("parts"), F.sum("n").alias("held"))
     several = kept(labelled.join(by.where("parts > 1"), "gram").withColumn("aside", F.col("component") != F.col("most.component")).drop("most", "parts"))
     aside = several.where("aside")
-    # They meet by size band in the bucket: a row its own band, the others also those beside theirs.
+    # In a bucket of many they meet by size band: a row its own band, the others also those beside theirs.
+    banded, of_size = F.col("held") > SALTED, band(F.col("size"), percent)
     cell = lambda at: F.xxhash64("gram", at)
-    aside = aside.withColumn("cell", cell(band(F.col("size"), percent)))
-    near = several.withColumn("cell", F.explode(F.transform(F.array(*[F.lit(d) for d in (-1, 0, 1)]), lambda d: cell(band(F.col("size"), percent) + d))))
+    aside = aside.withColumn("cell", cell(F.when(banded, of_size))).drop("held", "aside")
+    near = several.withColumn("cell", F.explode(F.when(banded, F.transform(F.array(*[F.lit(d) for d in (-1, 0, 1)]), lambda d: cell(of_size + d))).otherwise(F.array(cell(F.lit(None).cast("int")))))).drop("held", "aside")
     many = heavy(aside, "cell", several.count(), SALTED)  # a cell's rows outside the largest component are dealt
     x, y = salted(aside, "cell", many, F.xxhash64("key"), "salt").alias("x"), salted(near, "cell", many, None, "salt").alias("y")
     across = x.join(y, (F.col("x.cell") == F.col("y.cell")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.gram") == F.col("y.gram")) & (F.col("x.component") != F.col("y.component")) & may_link(F.col("x.size"), F.col("x.at"), F.col("y.size"), F.col("y.at")))
