@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyrocell.model import by_key
+
 
 def quality_mosaic(obs: DataFrame, keys: list[str], index: str, bands: list[str], ties: list[str]) -> DataFrame:
     """Of each key the whole observation whose index is largest; void indices don't count, ties go to the greatest
@@ -34,5 +36,5 @@ def month_of_burn(obs: DataFrame, burned: DataFrame, ties: list[str]) -> DataFra
 
     The burned side filters before observations are reduced.
     """
-    dated = obs.withColumns({"year": F.year("acq_ts"), "month": F.month("acq_ts")}).join(burned.select("pixel_id", "year"), ["pixel_id", "year"], "left_semi")
+    dated = obs.withColumns({"year": F.year("acq_ts"), "month": F.month("acq_ts")}).join(by_key(burned.select("pixel_id", "year")), ["pixel_id", "year"], "left_semi")
     return quality_mosaic(dated, ["pixel_id", "year"], "nbr", ["month"], ties).select("pixel_id", "year", "month")

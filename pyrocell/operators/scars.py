@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pyrocell.functions.products import size_class
+from pyrocell.model import by_key
 from pyrocell.operators.spatial import connected
 
 
@@ -28,7 +29,7 @@ def numbered(table: DataFrame, bucket: int = 64 << 32) -> DataFrame:
     counts = ranged.groupBy("year", "__range").agg(F.count("*").alias("n"))
     before = counts.select("year", "__range", F.coalesce(F.sum("n").over(Window.partitionBy("year").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     ranked = ranged.withColumn("__rank", F.row_number().over(Window.partitionBy("year", "__range").orderBy("scar_id")))
-    return ranked.join(before, ["year", "__range"]).withColumn("unique_id", F.col("__rank") + F.col("__before")).drop("__range", "__rank", "__before")
+    return ranked.join(by_key(before), ["year", "__range"]).withColumn("unique_id", F.col("__rank") + F.col("__before")).drop("__range", "__rank", "__before")
 
 
 def scars_of(fire: DataFrame, area_m2: float = 900.0) -> tuple[DataFrame, DataFrame]:
@@ -40,4 +41,4 @@ def scars_of(fire: DataFrame, area_m2: float = 900.0) -> tuple[DataFrame, DataFr
 def painted(labelled: DataFrame, table: DataFrame) -> DataFrame:
     """Each cell with its scar's number, area and size class."""
     attributes = table.select("year", F.col("scar_id").alias("component"), "unique_id", "area_ha", size_class(F.col("area_ha")).alias("size_class"))
-    return labelled.join(attributes, ["year", "component"])
+    return labelled.join(by_key(attributes), ["year", "component"])

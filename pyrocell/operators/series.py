@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pyrocell.model import by_key
 
 
 def chronosequence(fire: DataFrame, first: int, last: int) -> DataFrame:
@@ -92,6 +93,6 @@ def accumulated(fire: DataFrame, of: DataFrame, cover: DataFrame) -> DataFrame:
     """Pixels that burned in a period, with the land cover of its last year: one join on the pixel, after which each year
     of its cover meets the periods that end in it."""
     burned, periods = _burned_years(fire, of)
-    both = burned.join(cover.select("pixel_id", "year", "class"), "pixel_id")
+    both = burned.join(by_key(cover.select("pixel_id", "year", "class")), "pixel_id")
     rows = both.select("pixel_id", "class", _met(periods, F.col("years"), lambda p: p["y1"] == F.col("year")).alias("p"))
     return rows.select("pixel_id", "p.y1", "p.y0", "class")

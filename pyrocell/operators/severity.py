@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pyrocell.functions.products import severity_class
+from pyrocell.model import by_key
 from pyrocell.operators.composite import quality_mosaic
 
 
@@ -24,7 +25,7 @@ def pre_fire(obs: DataFrame, fire: DataFrame, ties: list[str], pick: str = "late
     month_no = lambda y, m: y * 12 + m - 1
     burns = fire.select("pixel_id", "year", "month", month_no(F.col("year"), F.col("month")).alias("at"))
     dated = obs.where(F.col("nbr").isNotNull()).withColumn("seen", month_no(F.year("acq_ts"), F.month("acq_ts")))
-    near = dated.withColumn("at", F.explode(F.sequence(F.col("seen") + 1, F.col("seen") + 6))).join(burns, ["pixel_id", "at"])
+    near = dated.withColumn("at", F.explode(F.sequence(F.col("seen") + 1, F.col("seen") + 6))).join(by_key(burns), ["pixel_id", "at"])
     ahead = F.col("at") - F.col("seen")
     order = F.struct("acq_ts", *ties)
     index = F.struct(F.col("nbr") if window_index == "max" else -F.col("nbr"), order)
@@ -35,6 +36,6 @@ def pre_fire(obs: DataFrame, fire: DataFrame, ties: list[str], pick: str = "late
 
 def dnbr(obs: DataFrame, fire: DataFrame, ties: list[str], pick: str = "latest") -> DataFrame:
     """(pixel_id, year, month, dnbr, severity) of burned pixels that have both values."""
-    change = pre_fire(obs, fire, ties, pick).join(post_fire(obs, ties), ["pixel_id", "year"])
+    change = pre_fire(obs, fire, ties, pick).join(by_key(post_fire(obs, ties)), ["pixel_id", "year"])
     out = change.withColumn("dnbr", F.col("post") - F.col("pre"))
     return out.withColumn("severity", severity_class(F.col("dnbr"))).select("pixel_id", "year", "month", "dnbr", "severity")

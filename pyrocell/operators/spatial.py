@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pyrocell.model import by_key
 from pyrocell.sources.shared import Rounds, shared_folder
 
 TILE = 1024
@@ -245,7 +246,7 @@ def connected(cells: DataFrame, keys: list[str] = [], tile: int = TILE) -> DataF
     border = tiled.where((F.pmod("x", F.lit(tile)) == tile - 1) | (F.pmod("y", F.lit(tile)) == tile - 1))
     step = F.explode(F.filter(F.array(F.when(F.pmod("x", F.lit(tile)) == tile - 1, F.lit(1)), F.when(F.pmod("y", F.lit(tile)) == tile - 1, F.lit(1 << 32))), lambda s: s.isNotNull()))
     touching = border.select(*keys, "cell", step.alias("step")).withColumn("other", F.col("cell") + F.col("step"))
-    edges = touching.join(labelled, on).withColumnRenamed("label", "a").drop("cell").withColumnRenamed("other", "cell").join(labelled, on).select(*keys, "a", F.col("label").alias("b"))
+    edges = touching.join(by_key(labelled), on).withColumnRenamed("label", "a").drop("cell").withColumnRenamed("other", "cell").join(by_key(labelled), on).select(*keys, "a", F.col("label").alias("b"))
     rounds = Rounds(cells.sparkSession)
     edges = rounds.put(edges.where("a <> b").distinct())
     roots = labelled.select(*keys, F.col("label").alias("node")).distinct().withColumn("component", F.col("node"))
@@ -254,23 +255,23 @@ def connected(cells: DataFrame, keys: list[str] = [], tile: int = TILE) -> DataF
         up = rounds.put(both.groupBy(*keys, "a").agg(F.min("b").alias("b")).select(*keys, F.col("a").alias("node"), F.least("a", "b").alias("to")))
         while True:
             ends = up.select(*keys, F.col("node").alias("to"), F.col("to").alias("end"))
-            jumped = rounds.put(up.join(ends, [*keys, "to"]).select(*keys, "node", F.col("end").alias("new"), (F.col("end") < F.col("to")).alias("moved")))
+            jumped = rounds.put(up.join(by_key(ends), [*keys, "to"]).select(*keys, "node", F.col("end").alias("new"), (F.col("end") < F.col("to")).alias("moved")))
             up = jumped.select(*keys, "node", F.col("new").alias("to"))
             if jumped.where("moved").isEmpty():
                 break
-        roots = rounds.put(roots.join(up.select(*keys, F.col("node").alias("component"), "to"), [*keys, "component"], "left").select(*keys, "node", F.coalesce("to", "component").alias("component")))
+        roots = rounds.put(roots.join(by_key(up.select(*keys, F.col("node").alias("component"), "to")), [*keys, "component"], "left").select(*keys, "node", F.coalesce("to", "component").alias("component")))
         a, b = up.select(*keys, F.col("node").alias("a"), F.col("to").alias("ra")), up.select(*keys, F.col("node").alias("b"), F.col("to").alias("rb"))
-        edges = rounds.put(edges.join(a, [*keys, "a"]).join(b, [*keys, "b"]).where("ra <> rb").select(*keys, F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
+        edges = rounds.put(edges.join(by_key(a), [*keys, "a"]).join(by_key(b), [*keys, "b"]).where("ra <> rb").select(*keys, F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct())
     roots = rounds.only(roots)
-    found = labelled.join(roots.withColumnRenamed("node", "label"), [*keys, "label"]).select(*on, "component")
-    return cells.join(found, on).select("x", "y", *keys, "component")
+    found = labelled.join(by_key(roots.withColumnRenamed("node", "label")), [*keys, "label"]).select(*on, "component")
+    return cells.join(by_key(found), on).select("x", "y", *keys, "component")
 
 
 def without_solitary(cells: DataFrame, most: int = 6, keys: list[str] = [], cap: int = 100) -> DataFrame:
     """Cells of components with more than ``most`` cells, counted up to ``cap``."""
     labelled = connected(cells, keys)
     sizes = labelled.groupBy(*keys, "component").agg(F.least(F.count("*"), F.lit(cap)).alias("n"))
-    return labelled.join(sizes.where(F.col("n") > most), [*keys, "component"], "left_semi").select("x", "y", *keys)
+    return labelled.join(by_key(sizes.where(F.col("n") > most)), [*keys, "component"], "left_semi").select("x", "y", *keys)
 
 
 def merged_pieces(pieces: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

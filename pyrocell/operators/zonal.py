@@ -8,6 +8,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pyrocell.model import by_key
 from pyrocell.sources.scans import dimension
 
 #: Territory units: the columns of a composite code with their factors, the coarsest first (fixed values). A pixel
@@ -40,7 +41,7 @@ def unpacked_code(code: Column, unit: dict[str, int]) -> dict[str, Column]:
 
 def product_on_cover(cover: DataFrame, product: DataFrame, keys: list[str] = ["pixel_id", "year"]) -> DataFrame:
     """Every land-cover pixel with the product's value, 0 where it has none."""
-    return cover.join(product.select(*keys, "value"), keys, "left").withColumn("value", F.coalesce("value", F.lit(0)))
+    return cover.join(by_key(product.select(*keys, "value")), keys, "left").withColumn("value", F.coalesce("value", F.lit(0)))
 
 
 def zonal_area(df: DataFrame, by: list[str]) -> DataFrame:
@@ -103,7 +104,7 @@ def remapped(df: DataFrame, pairs: DataFrame, column: str) -> DataFrame:
 
 def overlaid(first: DataFrame, second: DataFrame) -> DataFrame:
     """Two layers (pixel_id, code) as one, the first above the second."""
-    return first.select("pixel_id", F.col("code").alias("a")).join(second.select("pixel_id", F.col("code").alias("b")), "pixel_id", "full").select("pixel_id", F.coalesce("a", "b").alias("code"))
+    return first.select("pixel_id", F.col("code").alias("a")).join(by_key(second.select("pixel_id", F.col("code").alias("b"))), "pixel_id", "full").select("pixel_id", F.coalesce("a", "b").alias("code"))
 
 
 def prepared_layer(layer: DataFrame, names: list[str], name: str = "name", number: str = "id_text") -> DataFrame:
@@ -141,7 +142,7 @@ def labelled_by_polygon(pixels: DataFrame, polygons: DataFrame, cell: int = 256)
     """
     at = lambda c: F.floor(c / cell).cast("int")
     pieces = scanlines(polygons).where("x0 < x1").withColumn("cx", F.explode(F.sequence(at(F.col("x0")), at(F.col("x1")))))
-    met = pixels.withColumn("cx", at(F.col("x"))).join(pieces, ["y", "cx"])
+    met = pixels.withColumn("cx", at(F.col("x"))).join(by_key(pieces), ["y", "cx"])
     return met.where("x >= x0 AND x < x1").select(*pixels.columns, "code")
 
 

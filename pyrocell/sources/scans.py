@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from pyrocell.functions.hooks import DATA_SETS, data_set
 from pyrocell.functions.optics import CONSTELLATION
-from pyrocell.model import merged
+from pyrocell.model import by_key, merged
 
 #: A dimension (rules, lists, legends) is broadcast up to this many rows and joined by shuffle beyond.
 SMALL_ROWS = 100_000
@@ -51,7 +51,7 @@ def without_blocked(obs: DataFrame, blocklist: DataFrame) -> DataFrame:
 
 def with_scores(obs: DataFrame, scores: DataFrame) -> DataFrame:
     """The score of the same scene and pixel beside each observation; both sides are large, so this is a shuffle."""
-    return obs.join(scores, ["scene_id", "pixel_id"])
+    return obs.join(by_key(scores), ["scene_id", "pixel_id"])
 
 
 def carried_forward(cover: DataFrame, years: int = 1, last: int | None = None) -> DataFrame:
@@ -169,4 +169,4 @@ def mosaic_bands(df: DataFrame, keep: list[str] = ["pixel_id"]) -> DataFrame:
 
 def labelled_samples(mosaic: DataFrame, labels: DataFrame) -> DataFrame:
     """Training samples: bands of the pixels that have a label."""
-    return mosaic_bands(mosaic).join(labels.select("pixel_id", "label"), "pixel_id").select("pixel_id", *SAMPLES)
+    return mosaic_bands(mosaic).join(by_key(labels.select("pixel_id", "label")), "pixel_id").select("pixel_id", *SAMPLES)

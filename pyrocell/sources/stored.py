@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyrocell.model import by_key
+
 #: Buckets of a table by pixel, about one for 128 MB of the largest table that it meets.
 BUCKETS = 64
 
@@ -25,7 +27,7 @@ def by_pixel(spark: SparkSession, table: str) -> DataFrame:
     """A table stored by pixel. Joins on the pixel and more columns then keep its buckets too: the session is told that a
     part of the keys may place the rows."""
     spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    return spark.table(table)
+    return by_key(spark.table(table))
 
 
 def morton(x: Column, y: Column, bits: int = 20) -> Column:

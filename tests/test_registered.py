@@ -20,6 +20,16 @@ def test_agrees_with_sql(spark, con, name):
     assert rows_of(prepared(QUERIES[name])(spark, SF)) == rows_of_sql(con, SQL[name])
 
 
+@pytest.mark.parametrize(
+    "name, legends",
+    {"b23_b25_unpacked": 0, "burned_area_by_territory": 3, "c12_b30_named_units": 3, "c12_d10_zonal_area": 0, "d7_accumulated": 0, "c1_b22_b24_burned_cover": 0, "c4_rule_mask": 1, "c24_by_fire_month": 0, "d11_all_units": 0}.items(),
+)
+def test_pixel_tables_are_never_broadcast(spark, name, legends):
+    """Their files are far below the threshold here; only legends and rules are sent to all."""
+    plan = prepared(QUERIES[name])(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == legends and "SortMergeJoin" in plan
+
+
 def test_unmixing_recovers_its_endmembers(spark):
     from pyrocell.functions import optics
 
