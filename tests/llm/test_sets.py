@@ -195,6 +195,35 @@ def test_recall_on_many_vectors(spark):
     assert hit >= 0.95 * 10 * len(found)
 
 
+def shapes(rng):
+    """Rows that codebooks fitted on the whole describe badly."""
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    yield "many dimensions", rng.normal(size=(6000, 96))
+    yield "far from zero", 1000 + rng.normal(size=(6000, 16))
+    yield "two scales", rng.normal(size=(6000, 24)) * np.where(np.arange(6000) % 2, 1.0, 1e-4)[:, None]
+    yield "lengths of all sizes", unit(rng.normal(size=(6000, 24))) * np.exp(rng.normal(scale=4, size=(6000, 1)))
+    yield "tight groups", unit(rng.normal(size=(40, 24)))[np.arange(6000) % 40] + 1e-5 * rng.normal(size=(6000, 24))
+    yield "one far group", np.where(np.arange(6000)[:, None] % 300 == 0, 1e6 + rng.normal(size=(6000, 16)), rng.normal(size=(6000, 16)))
+    yield "copies", rng.normal(size=(30, 16))[np.arange(6000) % 30]
+    yield "a lattice", rng.integers(0, 3, (6000, 8)) + 1.0
+
+
+def test_no_near_vector_is_missed_whatever_the_rows(spark):
+    for name, x in shapes(np.random.default_rng(8)):
+        x = x.astype(np.float32)
+        table = pa.table({"vec_id": np.arange(len(x)), "embedding": pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float32()))})
+        found = {}
+        for r in neighbours.search(spark.createDataFrame(table).repartition(4), books=8).orderBy("rank").collect():
+            found.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+        assert len(found) == 60
+        ids, x = np.arange(len(x)), x.astype(float)
+        for q, got in found.items():
+            want = brute_nearest(ids, x, q, 10)
+            assert np.allclose([d for _, d in got], [d for _, d in want], rtol=1e-9, atol=0), (name, q)
+            if name in ("copies", "a lattice"):
+                assert [i for i, _ in got] == [i for i, _ in want], (name, q)
+
+
 def test_shuffled_columns_are_codes_not_vectors(spark):
     """What meets the queries holds a code of a byte for each codebook, never the vectors."""
     df = spark.createDataFrame([(i, [float(i % 7), float(i % 5), 1.0]) for i in range(600)], "vec_id long, embedding array<float>")
