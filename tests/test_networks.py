@@ -92,3 +92,18 @@ def test_learning_goes_on(spark):
     last = {r["step"]: r for r in report.collect()}
     assert last[600]["accuracy"] > 0.9 and last[600]["loss"] < last[300]["loss"]
     assert networks.train(df.limit(0), ["id"], BANDS, LAYERS, steps=2, every=1)[0] == {}
+
+
+def test_samples_are_read_three_times_however_many_rounds(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for pdf in batches:
+            read.add(len(pdf))
+            yield pdf
+
+    rng = np.random.default_rng(6)
+    rows = [(k, "ab"[k % 2], *map(float, rng.normal(size=len(BANDS))), k % 3 % 2, k % 5 > 0) for k in range(2000)]
+    df = spark.createDataFrame(rows, "id long, region string, " + ", ".join(f"{b} double" for b in BANDS) + ", label int, training boolean")
+    _, report = networks.train(df.mapInPandas(seen, df.schema), ["id"], BANDS, LAYERS, steps=20, batch=25, every=2)
+    assert report.count() == 20 and read.value == 3 * 2000
