@@ -168,17 +168,37 @@ def overview(df: DataFrame, levels: int, value: str = "value", how: str | list[s
     return df.groupBy(*keys, down("x"), down("y")).agg(*wanted)
 
 
+#: Rows of the grid that a task takes for a pyramid, about; and the levels that a task can make of a tile of its own.
+PYRAMID_ROWS, TILE_LEVELS = 1 << 18, 10
+
+
 def pyramid(df: DataFrame, levels: list[int], value: str = "value", how: str | list[str] = "mode", keys: list[str] = []) -> DataFrame:
     """Overviews of several levels at once, with a column ``level``: values are counted by cell of the finest level,
-    and the coarser ones are made from these counts, so the grid is read once, also for several of mode (ties: the
-    least), mean and median. With a list, each is ``<how>_<value>``."""
+    and the coarser ones are made from these counts, for several of mode (ties: the least), mean and median together.
+    With a list, each is ``<how>_<value>``.
+
+    The grid's rows are counted first and then shuffled once, by tile, into tasks of about PYRAMID_ROWS rows, which make
+    all levels of a tile; so a task's memory doesn't grow with the grid. Levels beyond TILE_LEVELS, whose cells are larger
+    than a tile, take the tiles' counts, which are few, through one more shuffle.
+    """
     of = {"mode": F.max_by(value, F.struct(F.col("__n"), -F.col(value))), "mean": F.sum(F.col(value) * F.col("__n")) / F.sum("__n"), "median": F.percentile(value, F.lit(0.5), F.col("__n"))}
     wanted = [of[how].alias(value)] if isinstance(how, str) else [of[h].alias(f"{h}_{value}") for h in how]
     at = lambda c, by: F.floor(F.col(c) / by).cast("int")
-    first = 1 << min(levels)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, at("x", first).alias("x"), at("y", first).alias("y"), value).agg(F.count("*").alias("__n"))
-    step = F.explode(F.array(*[F.struct(F.lit(n).alias("level"), F.lit(1 << (n - min(levels))).alias("by")) for n in sorted(levels)]))
-    spread = counts.withColumn("__l", step)
-    level, x, y = F.col("__l.level").alias("level"), at("x", F.col("__l.by")).alias("x"), at("y", F.col("__l.by")).alias("y")
-    summed = spread.groupBy(*keys, level, x, y, value).agg(F.sum("__n").alias("__n"))
-    return summed.groupBy(*keys, "level", "x", "y").agg(*wanted)
+    near, far = [[n for n in sorted(levels) if (n <= TILE_LEVELS) == small] for small in (True, False)]
+    made = near or [TILE_LEVELS]
+    tile = ["__tx", "__ty"]
+    rows = df.where(F.col(value).isNotNull()).select(*keys, value, *[at(c, 1 << made[-1]).alias(t) for c, t in zip("xy", tile, strict=True)], *[at(c, 1 << made[0]).alias(c) for c in "xy"])
+    tasks = -(-rows.count() // PYRAMID_ROWS)
+    counts = rows.repartition(max(1, tasks), *keys, *tile).groupBy(*keys, *tile, "x", "y", value).agg(F.count("*").alias("__n"))
+
+    def of_levels(counts: DataFrame, wide: list[str], base: int, levels: list[int]) -> DataFrame:
+        step = F.explode(F.array(*[F.struct(F.lit(n).alias("level"), F.lit(1 << (n - base)).alias("by")) for n in levels]))
+        level, x, y = F.col("__l.level").alias("level"), at("x", F.col("__l.by")).alias("x"), at("y", F.col("__l.by")).alias("y")
+        summed = counts.withColumn("__l", step).groupBy(*keys, *wide, level, x, y, value).agg(F.sum("__n").alias("__n"))
+        return summed.groupBy(*keys, *wide, "level", "x", "y").agg(*wanted).drop(*wide)
+
+    if not far:
+        return of_levels(counts, tile, made[0], near)
+    coarse = counts.groupBy(*keys, *tile, value).agg(F.sum("__n").alias("__n")).withColumnsRenamed({"__tx": "x", "__ty": "y"})
+    out = of_levels(coarse, [], made[-1], far)
+    return of_levels(counts, tile, made[0], near).unionByName(out) if near else out

@@ -218,3 +218,17 @@ def test_users_add_data_sets_and_sensors(spark):
     finally:
         for table, name in added:
             table.pop(name, None)
+
+
+def test_pyramid_of_many_levels_in_one_shuffle(spark, monkeypatch):
+    """Levels within a tile's and beyond; negative places too."""
+    from pyrocell.operators import zonal
+
+    monkeypatch.setattr(zonal, "PYRAMID_ROWS", 500)
+    df = spark.range(3000).selectExpr("int(id * 7919 % 6007 - 900) AS x", "int(id * 104729 % 5003 - 700) AS y", "int(id % 2) AS year", "int(nullif(id * id % 5, 1)) AS value").withColumn("x", F.col("x") - F.col("x") % 3)
+    levels, how = [1, 4, 11, 12], ["mode", "mean", "median"]
+    got = {(r["level"], r["year"], r["x"], r["y"]): tuple(round(r[f"{h}_value"], 9) for h in how) for r in zonal.pyramid(df, levels, how=how, keys=["year"]).collect()}
+    want = {(n, r["year"], r["x"], r["y"]): tuple(round(r[f"{h}_value"], 9) for h in how) for n in levels for r in zonal.overview(df.where("value IS NOT NULL"), n, how=how, keys=["year"]).collect()}
+    assert got == want
+    plan = zonal.pyramid(df, [1, 2, 3], keys=["year"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
