@@ -16,20 +16,27 @@ def windowed_counts(hotspots: DataFrame, by: list[str], size: str = "30 days", s
     return hotspots.withWatermark("ts", late).groupBy(window, *by).agg(F.count("*").alias("n")).select(F.col("window.start").alias("start"), *by, "n")
 
 
+#: Buckets of pixels whose state is kept together; and what stands for a void pixel there.
+BUCKETS, VOID = 4096, -(1 << 63)
+
+
 def first_alerts(hotspots: DataFrame, days: float = 30, late: str = "1 day") -> DataFrame:
     """One alert (pixel_id, event_id, ts) of a pixel in each exclusion period of ``days``.
 
     A pixel's first hotspot is an alert, and so is the first one at or after the end of the period that the last alert
     began (ties: the least event_id). Hotspots wait in the pixel's state until the watermark has passed them and are then
     judged in the order of their times, so alerts don't depend on how the stream is cut into batches; what the watermark
-    hasn't passed isn't judged yet. A pixel's state goes when its period ends with nothing waiting.
+    hasn't passed isn't judged yet. A pixel's state goes when its period ends with nothing waiting; the state of a bucket of
+    pixels is one value, so calls to the store grow with buckets, not with pixels.
 
     The session's new streams keep their state in RocksDB from then on, which timers need.
     """
     hotspots.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    rows = hotspots.select("pixel_id", "event_id", "ts").withWatermark("ts", late)
+    pixel = F.coalesce(F.col("pixel_id").cast("long"), F.lit(VOID))
+    rows = hotspots.select(pixel.alias("pixel_id"), "event_id", "ts").withColumn("bucket", F.pmod(F.xxhash64("pixel_id"), F.lit(BUCKETS))).withWatermark("ts", late)
     processor = FirstAlerts(int(days * 86_400_000_000))
-    return rows.groupBy("pixel_id").transformWithStateInPandas(statefulProcessor=processor, outputStructType="pixel_id long, event_id long, ts timestamp", outputMode="Append", timeMode="EventTime")
+    out = rows.groupBy("bucket").transformWithStateInPandas(statefulProcessor=processor, outputStructType="pixel_id long, event_id long, ts timestamp", outputMode="Append", timeMode="EventTime")
+    return out.withColumn("pixel_id", F.nullif("pixel_id", F.lit(VOID)))
 
 
 def split_late(stream: DataFrame, path: str, checkpoint: str, late: str = "1 day", time: str = "ts"):

@@ -50,6 +50,13 @@ def test_due_times():
     assert judged([], 3, 10) == ([], 3)
 
 
+def test_pixels_of_a_bucket_share_its_state(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "BUCKETS", 3)
+    rows = [(e, p if p else None, t) for e, p, t in hotspots(random.Random(5), 400, 60, 30)]
+    got, _ = run(jobs.first_alerts(files_of(spark, rows, 4, tmp_path / "in"), 2, "1 day"), tmp_path)
+    assert {(r["pixel_id"], r["event_id"], r["ts"]) for r in got} == brute_alerts(rows, 2, max(r[2] for r in rows) - timedelta(days=1))
+
+
 @pytest.mark.parametrize("parts", [1, 4, 9])
 def test_alerts_do_not_depend_on_batches(spark, tmp_path, parts):
     rows = hotspots(random.Random(1), 400, 12, 30)
