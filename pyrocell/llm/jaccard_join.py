@@ -7,9 +7,10 @@
 3. In each bucket all classes are first compared with one of them. Where that leaves a bucket in several components,
    the classes outside its largest component are compared with those of other components and of about their size. Two
    classes of one component needn't be compared, so a group of near copies costs as many pairs as it has members.
-4. A pair is compared by fragments: overlaps are counted in each on its own and summed.
+4. A pair is compared by fragments: overlaps are counted in each on its own and summed. Prefixes are
+   compared first, and most pairs that aren't linked go, as they share too little of these.
 
-No candidate is dropped but by bounds that hold for every linked pair (prefix, sizes, positions).
+No candidate is dropped but by bounds that hold for every linked pair (prefix, sizes, positions, overlap of prefixes).
 """
 
 from __future__ import annotations
@@ -183,7 +184,7 @@ def band(size: Column, percent: int) -> Column:
     return F.floor(F.log(size.cast("double")) / (max(math.log(100 / percent), 0.01) * 1.001)).cast("int")
 
 
-def overlaps(pairs: DataFrame, of_a: DataFrame, of_b: DataFrame) -> DataFrame:
+def overlaps(pairs: DataFrame, of_a: DataFrame, of_b: DataFrame, fragments: int = FRAGMENTS) -> DataFrame:
     """``pairs`` (a, b, size_a, size_b) with the overlap of their sets: counted by fragment, summed by pair. ``of_a`` and
     ``of_b`` hold the segments of either side's classes; other classes' do no harm.
 
@@ -193,7 +194,7 @@ def overlaps(pairs: DataFrame, of_a: DataFrame, of_b: DataFrame) -> DataFrame:
     total = pairs.count()
     heavy_a, heavy_b = heavy(pairs, "a", total, SALTED), heavy(pairs, "b", total, SALTED)
     dealt = salted(salted(pairs, "a", heavy_a, F.xxhash64("b"), "salt_a"), "b", heavy_b, F.xxhash64("a"), "salt_b")
-    parted = dealt.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1))))
+    parted = dealt.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(fragments - 1))))
     left = salted(of_a.select(F.col("key").alias("a"), "fragment", F.col("grams").alias("grams_a")), "a", heavy_a, None, "salt_a")
     right = salted(of_b.select(F.col("key").alias("b"), "fragment", F.col("grams").alias("grams_b")), "b", heavy_b, None, "salt_b")
     partial = parted.join(left, ["a", "fragment", "salt_a"]).join(right, ["b", "fragment", "salt_b"]).select("a", "b", "size_a", "size_b", "fragment", F.size(F.array_intersect("grams_a", "grams_b")).cast("long").alias("n"))
@@ -201,6 +202,36 @@ def overlaps(pairs: DataFrame, of_a: DataFrame, of_b: DataFrame) -> DataFrame:
     return once.groupBy("a", "b", "size_a", "size_b").agg(F.sum("n").alias("overlap"))
 
 
+def prefixes_of(classes: DataFrame, wanted) -> DataFrame:
+    """(key, fragment, grams) with the prefix, as one fragment, of the classes whose key's hash is in the filter ``wanted``."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        bits = wanted.value
+        for batch in batches:
+            at = batch.column(3).to_numpy()
+            yield batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool))).select([0, 1, 2])
+
+    rows = classes.select("key", F.lit(0).alias("fragment"), F.concat("cold", "hot").alias("grams"), F.pmod(F.xxhash64("key"), F.lit(8 * len(wanted.value))).alias("at"))
+    return rows.mapInArrow(run, "key long, fragment int, grams array<long>")
+
+
+def reaching(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` (a, b, size_a, size_b) whose prefixes share enough for a link.
+
+    Of the two prefixes take the one that ends first in the global order. What is common up to its end lies in both
+    prefixes, and beyond it that set has no more than its other n-grams. So an overlap is at most what the prefixes
+    share and the rest of the larger set. Prefixes are a sixth of the sets or so, which then needn't be moved.
+    """
+
+    def prefixes(side: str) -> DataFrame:
+        hashes = pairs.select(F.xxhash64(side).alias("hash")).distinct()
+        return prefixes_of(classes, pairs.sparkSession.sparkContext.broadcast(bit_filter(hashes)))
+
+    shared = overlaps(pairs, prefixes("a"), prefixes("b"), 1)
+    rest = F.floor((F.greatest("size_a", "size_b") * percent + 99) / 100) - 1
+    return shared.where((F.col("overlap") + rest) * (100 + percent) >= (F.col("size_a") + F.col("size_b")) * percent).drop("overlap")
+
+
 def linked(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Membership (id, size, key) of every row, and the links found between classes (a, b).
 
@@ -235,6 +266,7 @@ def linked(df: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id",
 
     def compare(pairs: DataFrame) -> DataFrame:
         """Which pairs (a, b, with sizes) are linked."""
+        pairs = kept(reaching(pairs, classes, percent))
         firsts = members.groupBy("key").agg(F.min("id").alias("id"))
 
         def segments(side: str) -> DataFrame:

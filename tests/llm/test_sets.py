@@ -142,6 +142,25 @@ def test_join_edges(spark):
     assert jaccard_join.join(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("percent", [60, 85, 100])
+def test_prefixes_drop_pairs_that_cannot_link(spark, percent):
+    """Words of three classes of frequency; pairs at all likenesses, with the prefixes that the global order gives."""
+    rng = random.Random(percent)
+    sets, rows = {}, []
+    for k in range(60):
+        base = rng.sample(range(400), rng.randint(3, 40)) if k % 6 == 0 else [w for w in base if rng.random() < 0.97] + rng.sample(range(400), rng.randint(0, 3))
+        sets[k] = sorted(set(base))  # the least number is the rarest
+        size = len(sets[k])
+        prefix = sets[k][: size + (-size * percent // 100) + 1]
+        rows.append((k, size, [w for w in prefix if w < 200], [w for w in prefix if w >= 200]))
+    classes = spark.createDataFrame(rows, "key long, size long, cold array<long>, hot array<long>")
+    like = {(a, b): len(set(sets[a]) & set(sets[b])) for a in sets for b in sets if a < b}
+    pairs = spark.createDataFrame([(a, b, len(sets[a]), len(sets[b])) for (a, b), n in like.items() if n], "a long, b long, size_a long, size_b long")
+    left = {(r["a"], r["b"]) for r in jaccard_join.reaching(pairs, classes, percent).collect()}
+    links = {(a, b) for (a, b), n in like.items() if n and 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n)}
+    assert links and links <= left and len(left) < pairs.count() / 2
+
+
 def test_components_of_chains(spark):
     rnd = random.Random(2)
     order = rnd.sample(range(1000), 300)
